@@ -72,6 +72,10 @@ def stale_keys(df: DataFrame, key: str, loaded_at: str = "_loaded_at") -> DataFr
     )
 
 
+def _older(key: str, loaded_at: str) -> Column:
+    return (F.col(key) == F.col("_stale_key")) & (F.col(loaded_at) < F.col("_newest"))
+
+
 def drop_stale(df: DataFrame, stale: DataFrame, key: str, loaded_at: str = "_loaded_at") -> DataFrame:
     """Drop rows older than their key's newest load; ties and NULL keys or times stay.
 
@@ -79,8 +83,15 @@ def drop_stale(df: DataFrame, stale: DataFrame, key: str, loaded_at: str = "_loa
     hot. Pass a size-checked ``stale`` (``joins.checked_broadcast``) and the
     wide rows are not shuffled at all.
     """
-    older = (F.col(key) == F.col("_stale_key")) & (F.col(loaded_at) < F.col("_newest"))
-    return df.join(stale, older, "left_anti")
+    return df.join(stale, _older(key, loaded_at), "left_anti")
+
+
+def superseded_or(
+    df: DataFrame, stale: DataFrame, key: str, other: Column, loaded_at: str = "_loaded_at"
+) -> DataFrame:
+    """Rows ``drop_stale`` would drop, and those for which ``other`` holds."""
+    matched = df.join(stale, _older(key, loaded_at), "left")
+    return matched.where(F.col("_stale_key").isNotNull() | other).select(df.columns)
 
 
 def keep_latest(df: DataFrame, key: str, loaded_at: str = "_loaded_at") -> DataFrame:

@@ -136,6 +136,19 @@ class Lake:
         rows = self._shaped(name, df.withColumn("_load_id", F.lit(load_id)))
         rows.drop("_load_id").write.mode("overwrite").parquet(leaf)
 
+    def replace_loads(self, name: str, df: DataFrame, load_ids: list[int]) -> None:
+        """Overwrite the partitions of these loads with ``df``, emptying those it has no rows of.
+
+        ``df`` may read the table. It is written to the shared folder first, and
+        that copy stays, so a driver lost during the overwrite can repeat it.
+        """
+        path = self._path(name)
+        rows = self._settled(df)
+        present = {row._load_id for row in rows.select("_load_id").distinct().collect()}
+        self._write(name, rows, path, "overwrite", dynamic=True)
+        for load_id in sorted(set(load_ids) - present):
+            self.replace_load(name, rows.limit(0), load_id)
+
     def replace_date(self, name: str, df: DataFrame, day: date) -> None:
         """Delete one date and insert its rows, also if there are none.
 

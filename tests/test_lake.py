@@ -1,0 +1,115 @@
+from datetime import date, datetime
+from decimal import Decimal
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+
+from tellerlake.operators import snapshots
+from tellerlake.operators.joins import checked_broadcast
+from tellerlake.schemas import FACT_TRANSACTION
+from tellerlake.sources.lake import Lake
+from tellerlake.sources import workspace
+
+FACT = "gold/fact_daily_transaction"
+
+
+def fact(spark, *days):
+    rows = [("c", "a", f"t{d}-{n}", "Fee", Decimal(n), d) for n, d in enumerate(days)]
+    return spark.createDataFrame(rows, FACT_TRANSACTION)
+
+
+def dates(lake):
+    return sorted((r.date_key, r["count"]) for r in lake.read(FACT).groupBy("date_key").count().collect())
+
+
+D = [date(2024, 1, 1), date(2024, 1, 2), date(2024, 2, 1)]
+
+
+@pytest.mark.parametrize("grain", ["day", "month", "year"])
+def test_dated_table(spark, tmp_path, grain):
+    lake = Lake(spark, str(tmp_path), date_grain=grain)
+    assert lake.read(FACT).count() == 0 and lake.read(FACT).schema == FACT_TRANSACTION
+    lake.append(FACT, fact(spark, D[0], D[0], D[1]))
+    lake.append(FACT, fact(spark, D[2]))
+    assert dates(lake) == [(D[0], 2), (D[1], 1), (D[2], 1)]
+    # One date with other rows, rows of other dates ignored; then with none.
+    for _ in range(2):
+        lake.replace_date(FACT, fact(spark, D[0], D[2], D[2]), D[0])
+        assert dates(lake) == [(D[0], 1), (D[1], 1), (D[2], 1)]
+    lake.replace_date(FACT, fact(spark, D[1]).limit(0), D[1])
+    assert dates(lake) == [(D[0], 1), (D[2], 1)]
+    lake.replace_dates(FACT, fact(spark, D[1], D[2], D[2], D[2]))
+    assert dates(lake) == [(D[0], 1), (D[1], 1), (D[2], 3)]
+    assert lake.read(FACT, D[1], D[1]).count() == 1 and lake.read(FACT, start=D[1]).count() == 4
+    assert Lake(spark, str(tmp_path), date_grain=grain).read(FACT).count() == 5
+
+
+def test_date_range_reads_its_partitions_only(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.append(FACT, fact(spark, *D))
+    plan = lake.read(FACT, D[2], D[2])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_part" in plan and "GreaterThanOrEqual(date_key,2024-02-01)" in plan
+
+
+def test_replace_may_read_the_table_it_replaces(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.replace(FACT, fact(spark, *D))
+    lake.replace(FACT, lake.read(FACT).where(F.col("date_key") != F.lit(D[0])))
+    assert lake.read(FACT).count() == 2
+
+
+def test_a_failed_rewrite_leaves_the_old_state(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.replace(FACT, fact(spark, *D))
+    broken = fact(spark, *D).withColumn("customer_id", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        lake.replace(FACT, broken)
+    assert lake.read(FACT).count() == 3
+    assert Lake(spark, str(tmp_path)).read(FACT).count() == 3
+
+
+def accounts(spark, load_id, *ids):
+    rows = [(i, "c", "t", "s", "CAD", None, None, datetime(2024, 1, load_id), load_id) for i in ids]
+    return spark.createDataFrame(rows, Lake(spark, "/nowhere").tables["bronze/t_account"][0])
+
+
+def test_loads_and_snapshots(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    name = "bronze/t_account"
+    for _ in range(2):  # the second time is a replay
+        lake.replace_load(name, accounts(spark, 1, "a", "b", "c"), 1)
+        lake.replace_load(name, accounts(spark, 2, "b", "d"), 2)
+    table = lake.read(name)
+    assert table.count() == 5 and snapshots.as_of_load(table, 1).count() == 3
+    assert snapshots.as_of_time(table, datetime(2024, 1, 1, 12)).count() == 3
+    line = [tuple(r) for r in snapshots.snapshot_timeline({"t": table}).orderBy("load_id").collect()]
+    assert line == [("t", 1, 1, 3, 3), ("t", 2, 2, 2, 5)]
+    files = snapshots.file_inventory(table).collect()
+    assert {r.load_type for r in files} == {"History", "Incremental"} and all(r.size_bytes > 0 for r in files)
+    summary = snapshots.table_overview({"t": table}).first()
+    assert (summary.column_count, summary.total_rows, summary.history_rows, summary.snapshots) == (7, 5, 3, 2)
+    lake.replace_loads(name, table.where("account_id = 'd'"), [1, 2])
+    assert [r.account_id for r in lake.read(name).collect()] == ["d"]
+
+
+def test_broadcast_only_below_the_bound(spark):
+    df = spark.range(10)
+    small, is_small = checked_broadcast(df, "t", max_rows=10)
+    large, is_large_small = checked_broadcast(df, "t", max_rows=9)
+    assert is_small and not is_large_small and large.count() == 10
+    assert "hint" in small._jdf.queryExecution().logical().toString().lower()
+
+
+def fake_session(master, **settings):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: settings.get("folder", default)),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
+
+def test_shared_folder_comes_from_the_session():
+    path = workspace.new_dir(fake_session("spark://host:7077", folder="hdfs:///shared/"), "x")
+    assert path.startswith("hdfs:///shared/tellerlake/x-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.new_dir(fake_session("spark://host:7077"), "x")
