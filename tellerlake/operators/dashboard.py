@@ -10,8 +10,10 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tellerlake.functions.dates import month_start
 from tellerlake.functions.numbers import ratio
 from tellerlake.functions.text import full_name
+from tellerlake.operators.dimensions import current_versions
 from tellerlake.operators.facts import GRAIN_NAMES, grain_of
 
 
@@ -66,12 +68,22 @@ def count_by(fact: DataFrame, column: str) -> DataFrame:
     )
 
 
-def one_month(spend: DataFrame, month: date | None = None) -> DataFrame:
-    """Rows of a month, by default the newest one in the view."""
-    if month is not None:
-        return spend.where(F.col("month_key") == F.lit(month))
-    newest = spend.agg(F.max("month_key").alias("month_key"))
-    return spend.join(newest, "month_key", "left_semi")
+def one_month(spend: DataFrame, month: date) -> DataFrame:
+    return spend.where(F.col("month_key") == F.lit(month))
+
+
+def newest_month(fact: DataFrame, dim_customer: DataFrame) -> date | None:
+    """The month the spend page opens on: the last one in which a current customer has
+    transactions. The fact is folded to one row per customer before the join, and one
+    row reaches the driver."""
+    last = fact.groupBy("customer_id").agg(F.max("date_key").alias("last_day"))
+    held = last.join(current_versions(dim_customer).select("customer_id"), "customer_id", "left_semi")
+    return held.agg(month_start(F.max("last_day")).alias("month")).first().month
+
+
+def fact_of_month(fact: DataFrame, month: date) -> DataFrame:
+    """The month's rows, as a plain date range that reaches the scan."""
+    return fact.where(F.col("date_key").between(F.lit(month), F.last_day(F.lit(month))))
 
 
 def month_kpis(spend_month: DataFrame) -> DataFrame:

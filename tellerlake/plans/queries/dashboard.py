@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tellerlake.operators import dashboard as dash
+from tellerlake.operators.views import monthly_spend_profile
 from tellerlake.plans import bank
 from tellerlake.plans.registry import query
 
@@ -88,6 +89,13 @@ def per_day(spark, sf_dir):
     return dash.count_by(bank.fact(spark, sf_dir), "date_key")
 
 
+def _newest_spend(spark, sf_dir):
+    """Spend of the newest month only; earlier transactions are not read."""
+    fact, customers = bank.fact(spark, sf_dir), bank.dim_now(spark, sf_dir)
+    month = dash.newest_month(fact, customers)
+    return monthly_spend_profile(dash.fact_of_month(fact, month), customers)
+
+
 _NEWEST = "SELECT * FROM spend WHERE month_key = (SELECT MAX(month_key) FROM spend)"
 
 
@@ -101,7 +109,7 @@ _NEWEST = "SELECT * FROM spend WHERE month_key = (SELECT MAX(month_key) FROM spe
     ),
 )
 def month_kpis(spark, sf_dir):
-    return dash.month_kpis(dash.one_month(bank.spend(spark, sf_dir)))
+    return dash.month_kpis(_newest_spend(spark, sf_dir))
 
 
 @query(
@@ -112,7 +120,7 @@ def month_kpis(spark, sf_dir):
         FROM ({_NEWEST}) GROUP BY 1, 2, 3 ORDER BY 4 DESC, 1 LIMIT 15""",
 )
 def top_spenders(spark, sf_dir):
-    return dash.top_spenders(dash.one_month(bank.spend(spark, sf_dir)))
+    return dash.top_spenders(_newest_spend(spark, sf_dir))
 
 
 @query(

@@ -182,11 +182,24 @@ def test_month_averages(spark):
          ("c2", date(2024, 1, 1), "Fee", Decimal("3.00")), ("c9", date(2023, 1, 1), "Fee", Decimal("9.00"))],
         "customer_id string, month_key date, transaction_type string, total_spend decimal(18,2)",
     )
-    row = dashboard.month_kpis(dashboard.one_month(spend)).first()
+    row = dashboard.month_kpis(dashboard.one_month(spend, date(2024, 1, 1))).first()
     assert (row.unique_customers, row.total_spend) == (2, Decimal("6.00"))
     assert (row.avg_per_customer, row.avg_spend_per_distinct_customer) == (2.0, 3.0)
 
 
+def test_newest_month_needs_a_current_customer(spark, small):
+    fact = facts.transaction_fact(*small)
+    later = transactions(spark, ("t9", "a3", 3, "Fee", "1.00")).withColumn(
+        "transaction_date", F.lit("2024-05-31 23:00:00").cast("timestamp_ntz")
+    )
+    owner = spark.createDataFrame([("a3", "gone")], ACCOUNTS)
+    fact = fact.unionByName(facts.transaction_fact(later, owner))
+    dim = spark.createDataFrame([("c1", "Y"), ("gone", "N")], "customer_id string, current_flag string")
+    assert dashboard.newest_month(fact, dim) == date(2024, 1, 1)
+    assert dashboard.fact_of_month(fact, date(2024, 5, 1)).count() == 1
+    assert dashboard.newest_month(fact.limit(0), dim) is None
+
+
 def test_reconciliation_shows_late_rows(spark, small):
     txn, acct = small
     fact = facts.transaction_fact(txn.where("transaction_id <> 't3'"), acct)
