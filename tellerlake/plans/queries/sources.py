@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tellerlake.plans import bank
+from tellerlake.plans.daily import append_snapshot
 from tellerlake.plans.registry import query
 from tellerlake.schemas import ACCOUNT_FILE, TRANSACTION_FILE
 from tellerlake.sources import files
@@ -188,10 +189,10 @@ def csv_to_snapshots(spark, sf_dir):
     delivered = bank.transactions(spark, sf_dir)
     early = F.col("transaction_date") < F.lit(bank.CUTOFF)
     for load_id, part in ((1, early), (2, ~early)):
-        rows = files.read_csv(spark, _export_csv(delivered.where(part)), TRANSACTION_FILE)
-        lake.append("snapshots/t_transaction", files.with_load_audit(rows, load_id, bank.HISTORY_AT))
+        append_snapshot(lake, "t_transaction", _export_csv(delivered.where(part)), load_id, bank.HISTORY_AT)
+    money = F.col("amount").cast("decimal(18,2)")
     return (
         lake.read("snapshots/t_transaction")
         .groupBy("_load_id")
-        .agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col("amount").cast("decimal(18,2)")).alias("total_amount"))
+        .agg(F.count(F.lit(1)).alias("row_count"), F.sum(money).alias("total_amount"))
     )

@@ -1,0 +1,73 @@
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+
+from tellerlake import __main__ as command_line
+from tellerlake.plans import daily
+from tellerlake.plans.publish import publish
+from tellerlake.sources.lake import Lake
+
+
+def csv(path, *lines):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join(["header", *lines]) + "\n")
+
+
+@pytest.fixture(scope="module")
+def root(tmp_path_factory):
+    """CSV folders of one small delivery."""
+    root = tmp_path_factory.mktemp("publish")
+    csv(root / "in/customer/1.csv", "CUST-1,Ann,Lee,ann@x.com,416-555-0101,Toronto,ON,Canada,2023-01-01 00:00:00")
+    csv(root / "in/account/1.csv", "ACCT-1,CUST-1,Savings,Active,,2023-01-01,2023-01-01 00:00:00")
+    csv(
+        root / "in/transaction/1.csv",
+        "TXN-1,ACCT-1,2023-01-06 09:00:00,Fee,2.50,x",
+        "TXN-2,ACCT-1,2023-02-06 09:00:00,Fee,4.00,x",
+    )
+    return root
+
+
+def test_command_line_loads_and_fills_the_calendar(spark, root, capsys):
+    where = ["--root", f"{root}/lake"]
+    command_line.main(
+        ["historical", *where, "--folder", f"{root}/in", "--checkpoint", f"{root}/cp", "--as-of", "2024-01-01"]
+    )
+    for _ in range(2):
+        command_line.main(["calendar", *where, "--start", "2023-01-01", "--end", "2023-12-31"])
+    command_line.main(["daily", *where, "--as-of", "2024-01-02", "--report-date", "2023-01-06"])
+    command_line.main(["checks", *where])
+    assert "ERROR" not in capsys.readouterr().out
+    lake = Lake(spark, f"{root}/lake")
+    assert lake.read("silver/dim_date").count() == 365
+    counts = {r.table_name: r.row_count for r in daily.lake_counts(lake).collect()}
+    assert (counts["fact_daily_transaction"], counts["fact_daily_agg"], counts["dim_customer"]) == (2, 8, 1)
+    with pytest.raises(SystemExit):
+        command_line.parse(["historical", *where])
+
+
+def test_views_by_role(spark, root):
+    lake = Lake(spark, f"{root}/lake")
+    names = publish(lake, ["SYSADMIN"])
+    assert {"t_customer", "dim_customer", "monthly_spend_profile", "txn_type_trend"} <= set(names)
+    clear = spark.sql("SELECT first_name, sum(total_spend) AS s FROM monthly_spend_profile GROUP BY 1").first()
+    assert (clear.first_name, clear.s) == ("Ann", Decimal("6.50"))
+    publish(lake, ["ANALYST"])
+    hidden = spark.sql("SELECT first_name, sum(total_spend) AS s FROM monthly_spend_profile GROUP BY 1").first()
+    assert (hidden.first_name, hidden.s) == ("A***", Decimal("0.00"))
+    assert spark.sql("SELECT email_address FROM t_customer").first().email_address == "a***@x.com"
+
+
+def test_snapshot_tables_as_source(spark, root):
+    snapshots = Lake(spark, f"{root}/snapshots")
+    for table in daily.DELIVERED:
+        folder = f"{root}/in/{table.removeprefix('t_')}"
+        for _ in range(2):  # the second time is a repeat
+            daily.append_snapshot(snapshots, table, folder, 1, datetime(2024, 1, 1))
+    assert dict(snapshots.read("snapshots/t_transaction").dtypes)["amount"] == "double"
+    lake = Lake(spark, f"{root}/from-snapshots")
+    load = daily.from_snapshots(snapshots, 1, datetime(2024, 1, 1))
+    daily.historical_run(lake, load, date(2024, 1, 1))
+    direct = Lake(spark, f"{root}/lake").read("bronze/t_transaction").drop("_loaded_at")
+    assert lake.read("bronze/t_transaction").drop("_loaded_at").exceptAll(direct).count() == 0
+    assert lake.read("gold/fact_daily_transaction").count() == 2
