@@ -86,12 +86,9 @@ def drop_stale(df: DataFrame, stale: DataFrame, key: str, loaded_at: str = "_loa
     return df.join(stale, _older(key, loaded_at), "left_anti")
 
 
-def superseded_or(
-    df: DataFrame, stale: DataFrame, key: str, other: Column, loaded_at: str = "_loaded_at"
-) -> DataFrame:
-    """Rows ``drop_stale`` would drop, and those for which ``other`` holds."""
-    matched = df.join(stale, _older(key, loaded_at), "left")
-    return matched.where(F.col("_stale_key").isNotNull() | other).select(df.columns)
+def superseded_rows(df: DataFrame, stale: DataFrame, key: str, loaded_at: str = "_loaded_at") -> DataFrame:
+    """The rows ``drop_stale`` drops."""
+    return df.join(stale, _older(key, loaded_at), "left_semi")
 
 
 def keep_latest(df: DataFrame, key: str, loaded_at: str = "_loaded_at") -> DataFrame:

@@ -43,6 +43,12 @@ def loaded_dates(fact: DataFrame) -> DataFrame:
     return F.broadcast(fact.select("date_key").where(F.col("date_key").isNotNull()).distinct())
 
 
+def missing_dates(transactions: DataFrame, fact: DataFrame, report_date: date | None = None) -> DataFrame:
+    """Transaction dates the fact does not hold; reads one column of either table."""
+    days = _dated(transactions, report_date).select("date_key").where(F.col("date_key").isNotNull()).distinct()
+    return days.join(loaded_dates(fact), "date_key", "left_anti")
+
+
 def transaction_fact(
     transactions: DataFrame,
     accounts: DataFrame,

@@ -12,6 +12,8 @@ grain than the data deserves costs a directory listing and a tiny file per day.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterable
 from datetime import date
 from uuid import uuid4
 
@@ -24,6 +26,7 @@ from tellerlake.schemas import DATE_PART, TABLES
 from tellerlake.sources.workspace import new_dir
 
 _COMMITS = "table_name string, version long, path string"
+_CLEANSED = "table_name string, load_id int, written_ns long, cleansed boolean"
 
 
 class Lake:
@@ -41,25 +44,57 @@ class Lake:
         self.date_grain = date_grain
         self.tables = tables
         self._current = self._read_commits()
+        self._cleansed = self._read_cleansed()
 
-    # Commit log
+    # Logs: one appended row set per change, folded to the latest state when a lake is opened
 
-    def _read_commits(self) -> dict[str, tuple[int, str]]:
-        """Latest version and path by table; one row per table reaches the driver."""
+    def _log(self, log: str, schema: str) -> DataFrame:
         try:
-            log = self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{log}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return {}
-        newest = log.groupBy("table_name").agg(F.max(F.struct("version", "path")).alias("c"))
+            return self.spark.createDataFrame([], schema)
+
+    def _append_log(self, log: str, schema: str, rows: list[tuple]) -> None:
+        entries = self.spark.createDataFrame(rows, schema).coalesce(1)
+        entries.write.mode("append").parquet(f"{self.root}/{log}")
+
+    def _read_commits(self) -> dict[str, tuple[int, str]]:
+        """Latest version and path by table; one row per table reaches the driver."""
+        newest = self._log("commits", _COMMITS).groupBy("table_name").agg(
+            F.max(F.struct("version", "path")).alias("c")
+        )
         return {row.table_name: (row.c.version, row.c.path) for row in newest.collect()}
 
     def _commit(self, name: str, version: int, path: str) -> None:
-        row = self.spark.createDataFrame([(name, version, path)], _COMMITS)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        self._append_log("commits", _COMMITS, [(name, version, path)])
         self._current[name] = (version, path)
 
+    def _read_cleansed(self) -> dict[str, set[int]]:
+        """Loads whose last mark says cleansed; one row per load reaches the driver."""
+        last = self._log("cleansed", _CLEANSED).groupBy("table_name", "load_id").agg(
+            F.max_by("cleansed", "written_ns").alias("cleansed")
+        )
+        marks: dict[str, set[int]] = {}
+        for row in last.where("cleansed").collect():
+            marks.setdefault(row.table_name, set()).add(row.load_id)
+        return marks
+
+    def mark_loads(self, name: str, load_ids: Iterable[int], cleansed: bool) -> None:
+        """Note that loads have been cleansed, or hold new rows again."""
+        known = self._cleansed.setdefault(name, set())
+        changed = sorted(set(load_ids) - known if cleansed else set(load_ids) & known)
+        if changed:
+            now = time.time_ns()
+            self._append_log("cleansed", _CLEANSED, [(name, load_id, now, cleansed) for load_id in changed])
+            self._cleansed[name] = known | set(changed) if cleansed else known - set(changed)
+
+    def pending_loads(self, name: str) -> list[int]:
+        """Loads in the table that are not marked as cleansed."""
+        present = {row._load_id for row in self.read(name).select("_load_id").distinct().collect()}
+        return sorted(present - self._cleansed.get(name, set()))
+
     def _next(self, name: str) -> tuple[int, str]:
         version = self._current.get(name, (0, ""))[0] + 1
         return version, f"{self.root}/{name}/v{version:06d}-{uuid4().hex[:8]}"
@@ -116,6 +151,7 @@ class Lake:
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Truncate and insert. ``df`` may read the table it replaces."""
+        self.mark_loads(name, self._cleansed.get(name, ()), cleansed=False)
         version, path = self._next(name)
         self._write(name, df, path, "error")
         self._commit(name, version, path)
@@ -132,6 +168,10 @@ class Lake:
 
     def replace_load(self, name: str, df: DataFrame, load_id: int) -> None:
         """Overwrite one load's partition, also with no rows; a replay gives the same state."""
+        self.mark_loads(name, [load_id], cleansed=False)
+        self._write_load(name, df, load_id)
+
+    def _write_load(self, name: str, df: DataFrame, load_id: int) -> None:
         leaf = f"{self._path(name)}/_load_id={load_id}"
         rows = self._shaped(name, df.withColumn("_load_id", F.lit(load_id)))
         rows.drop("_load_id").write.mode("overwrite").parquet(leaf)
@@ -147,7 +187,7 @@ class Lake:
         present = {row._load_id for row in rows.select("_load_id").distinct().collect()}
         self._write(name, rows, path, "overwrite", dynamic=True)
         for load_id in sorted(set(load_ids) - present):
-            self.replace_load(name, rows.limit(0), load_id)
+            self._write_load(name, rows.limit(0), load_id)
 
     def replace_date(self, name: str, df: DataFrame, day: date) -> None:
         """Delete one date and insert its rows, also if there are none.

@@ -71,10 +71,7 @@ def test_keep_latest_against_brute_force(spark):
 
 
 def test_superseded_rows_are_what_is_dropped(spark):
-    from pyspark.sql import functions as F
-
     df = customers(spark, ("C1", "x", None, T1), ("C1", "y", None, T2), ("C2", "z", None, T1))
     stale = cleanse.stale_keys(df, "customer_id")
-    hit = cleanse.superseded_or(df, stale, "customer_id", F.col("first_name") == "z")
-    assert {r.first_name for r in hit.collect()} == {"x", "z"}
-    assert hit.columns == df.columns
+    hit = cleanse.superseded_rows(df, stale, "customer_id")
+    assert {r.first_name for r in hit.collect()} == {"x"} and hit.columns == df.columns

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tellerlake.operators import snapshots
 from tellerlake.operators.joins import checked_broadcast
+from tellerlake.plans import daily
 from tellerlake.schemas import FACT_TRANSACTION
 from tellerlake.sources.lake import Lake
 from tellerlake.sources import workspace
@@ -93,6 +94,36 @@ def test_loads_and_snapshots(spark, tmp_path):
     assert [r.account_id for r in lake.read(name).collect()] == ["d"]
 
 
+def test_loads_wait_until_they_are_cleansed(spark, tmp_path):
+    lake, name = Lake(spark, str(tmp_path)), "bronze/t_account"
+    lake.replace_load(name, accounts(spark, 1, " a ", "b"), 1)
+    assert lake.pending_loads(name) == [1]
+    daily.cleanse_bronze(lake, "t_account")
+    assert lake.pending_loads(name) == [] == Lake(spark, str(tmp_path)).pending_loads(name)
+    # A newer copy of a key of the cleansed load, blanks around it.
+    lake.replace_load(name, accounts(spark, 2, "a", " c"), 2)
+    assert lake.pending_loads(name) == [2]
+    daily.cleanse_bronze(lake, "t_account")
+    assert sorted((r.account_id, r._load_id) for r in lake.read(name).collect()) == [("a", 2), ("b", 1), ("c", 2)]
+    # The same load delivered again is pending again, also for a lake opened afresh.
+    lake.replace_load(name, accounts(spark, 1, "a", " d"), 1)
+    assert Lake(spark, str(tmp_path)).pending_loads(name) == [1]
+    daily.cleanse_bronze(lake, "t_account")
+    assert sorted((r.account_id, r._load_id) for r in lake.read(name).collect()) == [("a", 2), ("c", 2), ("d", 1)]
+    lake.reset(name)
+    assert lake.pending_loads(name) == []
+    lake.replace_load(name, accounts(spark, 1, "z"), 1)
+    assert lake.pending_loads(name) == [1]
+
+
+def test_a_load_emptied_by_a_later_one(spark, tmp_path):
+    lake, name = Lake(spark, str(tmp_path)), "bronze/t_account"
+    for load_id in (1, 2):
+        lake.replace_load(name, accounts(spark, load_id, "a"), load_id)
+    daily.cleanse_bronze(lake, "t_account")
+    assert [(r.account_id, r._load_id) for r in lake.read(name).collect()] == [("a", 2)]
+
+
 def test_broadcast_only_below_the_bound(spark):
     df = spark.range(10)
     small, is_small = checked_broadcast(df, "t", max_rows=10)
