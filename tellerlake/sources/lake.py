@@ -57,7 +57,9 @@ class Lake:
             return self.spark.createDataFrame([], schema)
 
     def _append_log(self, log: str, schema: str, rows: list[tuple]) -> None:
-        entries = self.spark.createDataFrame(rows, schema).coalesce(1)
+        names = StructType.fromDDL(schema).fieldNames()
+        cells = [F.struct(*[F.lit(value).alias(name) for name, value in zip(names, row)]) for row in rows]
+        entries = self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*cells))).to(StructType.fromDDL(schema))
         entries.write.mode("append").parquet(f"{self.root}/{log}")
 
     def _read_commits(self) -> dict[str, tuple[int, str]]:

@@ -13,7 +13,11 @@ def connection():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+# pip_03 starts with all that pip_01 and pip_02 do.
+NAMES = sorted(entry.queries().keys() - {"pip_01", "pip_02"})
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, connection, name):
     found = differences(entry.queries()[name](spark, SF_DIR), connection, entry.oracle_sql()[name])
     assert not found, found
