@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tellerlake.operators.quality import RULES
+from tellerlake.schemas import TRACKED
 
 VIEWS: dict[str, str] = {}
 
@@ -96,11 +97,9 @@ UNION ALL
 SELECT {_VERSION.format(city="'OLD TOWN'")}, DATE '2020-01-01', DATE '2023-02-28', 'N'
 FROM tidy_customers WHERE _load_id = 1 AND state_province = 'BUILDING'"""
 
-VIEWS["dim_changed"] = """
+VIEWS["dim_changed"] = f"""
 SELECT DISTINCT d.customer_id FROM dim_prior d JOIN people s ON d.customer_id = s.customer_id
-WHERE d.current_flag = 'Y'
-  AND (d.first_name <> s.first_name OR d.last_name <> s.last_name OR d.email_address <> s.email_address
-       OR d.city <> s.city OR d.state_province <> s.state_province OR d.country <> s.country)"""
+WHERE d.current_flag = 'Y' AND ({" OR ".join(f"d.{c} <> s.{c}" for c in TRACKED)})"""
 
 VIEWS["dim_closed"] = """
 SELECT d.customer_id, d.first_name, d.last_name, d.email_address, d.city, d.state_province, d.country,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tellerlake.operators.cleanse import count_untidy, keep_latest, tidy
+from tellerlake.operators.cleanse import TRIMMED, count_untidy, keep_latest, tidy
 from tellerlake.plans import bank
 from tellerlake.plans.registry import query
 
@@ -45,23 +45,18 @@ def transactions(spark, sf_dir):
     return tidy(bank.raw_transactions(spark, sf_dir), "t_transaction").drop("_loaded_at", "_load_id")
 
 
-@query(
-    "cln_05",
-    """SELECT 't_customer' AS table_name, COUNT(*) AS rows_to_change FROM raw_customers
-       WHERE customer_id <> trim(customer_id) OR first_name <> trim(first_name)
-          OR last_name <> trim(last_name) OR email_address <> lower(trim(email_address))
-          OR phone_number <> trim(phone_number) OR city <> trim(city)
-          OR state_province <> trim(state_province) OR country <> trim(country)
-       UNION ALL
-       SELECT 't_account', COUNT(*) FROM raw_accounts
-       WHERE account_id <> trim(account_id) OR customer_id <> trim(customer_id)
-          OR account_type <> trim(account_type) OR status <> trim(status)
-          OR currency_code IS NULL OR currency_code <> trim(currency_code)
-       UNION ALL
-       SELECT 't_transaction', COUNT(*) FROM raw_transactions
-       WHERE transaction_id <> trim(transaction_id) OR account_id <> trim(account_id)
-          OR transaction_type <> trim(transaction_type) OR description <> trim(description)""",
-)
+def _guard_sql() -> str:
+    """Rows with a column that differs from its cleaned form."""
+    special = {"email_address": "lower(trim(email_address))", "currency_code": "coalesce(trim(currency_code), 'CAD')"}
+    views = {"t_customer": "raw_customers", "t_account": "raw_accounts", "t_transaction": "raw_transactions"}
+    return "\nUNION ALL ".join(
+        f"SELECT '{table}' AS table_name, COUNT(*) AS rows_to_change FROM {views[table]} WHERE "
+        + " OR ".join(f"{c} IS DISTINCT FROM {special.get(c, f'trim({c})')}" for c in columns)
+        for table, columns in TRIMMED.items()
+    )
+
+
+@query("cln_05", _guard_sql())
 def rows_to_change(spark, sf_dir):
     return (
         count_untidy(bank.raw_customers(spark, sf_dir), "t_customer")

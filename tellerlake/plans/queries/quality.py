@@ -81,8 +81,7 @@ def run_summary(spark, sf_dir):
 @query(
     "dq_11",
     """SELECT severity, COUNT(*) AS check_count, CAST(SUM(records_failed) AS BIGINT) AS total_failures
-       FROM quality_log WHERE run_id = (SELECT MAX(run_id) FROM quality_log) GROUP BY severity
-       ORDER BY CASE severity WHEN 'ERROR' THEN 1 WHEN 'WARNING' THEN 2 ELSE 3 END""",
+       FROM quality_log WHERE run_id = (SELECT MAX(run_id) FROM quality_log) GROUP BY severity""",
 )
 def latest_by_severity(spark, sf_dir):
     return dq.severity_summary(dq.latest_run(bank.quality_log(spark, sf_dir)))
@@ -91,8 +90,7 @@ def latest_by_severity(spark, sf_dir):
 @query(
     "dq_12",
     """SELECT table_name, check_name, severity, records_failed, details FROM quality_log
-       WHERE run_id = (SELECT MAX(run_id) FROM quality_log) AND records_failed > 0
-       ORDER BY CASE severity WHEN 'ERROR' THEN 1 WHEN 'WARNING' THEN 2 ELSE 3 END, 1, 2""",
+       WHERE run_id = (SELECT MAX(run_id) FROM quality_log) AND records_failed > 0""",
 )
 def latest_failures(spark, sf_dir):
     return dq.failing_checks(dq.latest_run(bank.quality_log(spark, sf_dir)))
@@ -157,6 +155,6 @@ def filtered(spark, sf_dir):
     return chosen.select("check_name", "table_name", "severity", "records_failed", "details")
 
 
-@query("dq_20", f"SELECT {_LOG} FROM quality_log ORDER BY quality_log.check_timestamp DESC, log_id DESC")
+@query("dq_20", f"SELECT {_LOG} FROM quality_log")
 def whole_log(spark, sf_dir):
     return dq.newest_first(bank.quality_log(spark, sf_dir)).drop("sample_ids")
