@@ -2,6 +2,7 @@
 
   historical  --root R --folder F --checkpoint C      empty the tables and load the folder
   incremental --root R --folder F --checkpoint C      load what has arrived since
+  ingest      --root R --folder F --checkpoint C      only load the folder; with --poll, keep on watching it
   daily       --root R [--report-date D]              cleanse, dimensions, facts, checks
   calendar    --root R --start D --end D              fill the calendar
   counts      --root R                                rows per table
@@ -28,13 +29,16 @@ from tellerlake.streaming.file_ingest import utc_now
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tellerlake", description="Load runs of the warehouse.")
     commands = parser.add_subparsers(dest="command", required=True)
-    for name in ("historical", "incremental", "daily", "calendar", "counts", "checks"):
+    for name in ("historical", "incremental", "ingest", "daily", "calendar", "counts", "checks"):
         command = commands.add_parser(name)
         command.add_argument("--root", required=True, help="folder of the lake")
         command.add_argument("--date-grain", default="month", choices=["day", "month", "year"])
-        if name in ("historical", "incremental"):
+        if name in ("historical", "incremental", "ingest"):
             command.add_argument("--folder", help="folder with customer, account and transaction")
             command.add_argument("--checkpoint", help="folder for the file streams' progress")
+        if name == "ingest":
+            command.add_argument("--poll", help="interval between looks at the folder, such as '5 minutes'")
+        if name in ("historical", "incremental"):
             command.add_argument("--snapshots", help="root of the lake with the snapshot tables")
             command.add_argument("--load-id", type=int, help="snapshot to load")
         if name in ("historical", "incremental", "daily"):
@@ -45,6 +49,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
             command.add_argument("--start", type=date.fromisoformat, required=True)
             command.add_argument("--end", type=date.fromisoformat, required=True)
     args = parser.parse_args(argv)
+    if args.command == "ingest" and not (args.folder and args.checkpoint):
+        parser.error("give --folder and --checkpoint")
     if args.command in ("historical", "incremental"):
         from_files = bool(args.folder and args.checkpoint)
         from_loads = bool(args.snapshots and args.load_id is not None)
@@ -67,6 +73,11 @@ def main(argv: list[str] | None = None) -> None:
             load = daily.from_snapshots(Lake(spark, args.snapshots), args.load_id, utc_now())
         run = daily.historical_run if args.command == "historical" else daily.incremental_run
         run(lake, load, args.as_of).show(100, truncate=False)
+    elif args.command == "ingest" and args.poll:
+        daily.watch_csv_folders(lake, args.folder, args.checkpoint, args.poll)
+        spark.streams.awaitAnyTermination()
+    elif args.command == "ingest":
+        daily.from_csv_folders(args.folder, args.checkpoint)(lake)
     elif args.command == "daily":
         daily.daily_run(lake, args.as_of, report_date=args.report_date).show(100, truncate=False)
     elif args.command == "calendar":

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tellerlake.operators.joins import on_hot_key
+
 # Fixed value: the currency of an account that names none.
 DEFAULT_CURRENCY = "CAD"
 
@@ -73,7 +75,7 @@ def stale_keys(df: DataFrame, key: str, loaded_at: str = "_loaded_at") -> DataFr
 
 
 def _older(key: str, loaded_at: str) -> Column:
-    return (F.col(key) == F.col("_stale_key")) & (F.col(loaded_at) < F.col("_newest"))
+    return on_hot_key(key, "_stale_key") & (F.col(loaded_at) < F.col("_newest"))
 
 
 def drop_stale(df: DataFrame, stale: DataFrame, key: str, loaded_at: str = "_loaded_at") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerlake.functions.dates import calendar_columns
+from tellerlake.operators.joins import on_hot_key
 from tellerlake.schemas import OPEN_END, TRACKED
 
 def is_current() -> Column:
@@ -43,7 +44,7 @@ def outdated_versions(
     changed = reduce(lambda a, b: a | b, [_differs(c, f"_old_{c}", null_safe) for c in tracked])
     return (
         source.select(key, *tracked)
-        .join(held, F.col(key) == F.col("_key"))
+        .join(held, on_hot_key(key, "_key"))
         .where(changed)
         .select("_key", *[f"_old_{c}" for c in tracked])
         .distinct()
@@ -88,8 +89,8 @@ def new_versions(
     tracked: list[str] = TRACKED,
 ) -> DataFrame:
     """Source rows without a current version in an already closed ``dim``; copies all enter."""
-    held = current_versions(dim).select(key)
-    return source.join(held, key, "left_anti").select(
+    held = current_versions(dim).select(F.col(key).alias("_held"))
+    return source.join(held, on_hot_key(key, "_held"), "left_anti").select(
         key,
         *tracked,
         F.lit(as_of).alias("start_date"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake.functions.numbers import money
+from tellerlake.operators.joins import on_hot_key
 
 # Grain of each rollup level, besides the date.
 GRAINS = {
@@ -65,11 +66,10 @@ def transaction_fact(
         # Filter before the account join. Broadcasting the dates spares the rows a
         # shuffle on date, where one busy day would be one task.
         rows = rows.join(loaded_dates(already_loaded), "date_key", "left_anti")
-    owners = accounts.select("account_id", "customer_id")
+    owners = accounts.select(F.col("account_id").alias("_owned"), "customer_id")
     # Transactions on the left: AQE splits a hot account's rows over several tasks.
-    return rows.select("date_key", "account_id", "transaction_id", "transaction_type", "amount").join(
-        owners, "account_id"
-    ).select("date_key", "customer_id", "account_id", "transaction_id", "transaction_type", "amount")
+    owned = rows.join(owners, on_hot_key("account_id", "_owned"))
+    return owned.select("date_key", "customer_id", "account_id", "transaction_id", "transaction_type", "amount")
 
 
 def _level(df: DataFrame, level: int) -> DataFrame:

@@ -1,8 +1,8 @@
-"""Join helper for sides whose size is only known at run time."""
+"""Join helpers: keys that may be hot, and sides whose size is only known at run time."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake.sources.workspace import new_dir
@@ -10,6 +10,19 @@ from tellerlake.sources.workspace import new_dir
 BROADCAST_ROWS = 1_000_000
 
 
+def on_hot_key(left: str, right: str) -> Column:
+    """Equality of two columns, for a join whose left side may hold many rows of one key.
+
+    The hashes add nothing to the result. AQE splits a hot key only where both
+    sides were shuffled for this very join and no later step counts on its
+    partitioning. A plain key often breaks that, as a grouping by the same key
+    before or after the join shares the shuffle. With the hash as second key the
+    join has its own shuffle, and a grouping after it combines before its own.
+    """
+    a, b = F.col(left), F.col(right)
+    return (a == b) & (F.xxhash64(a) == F.xxhash64(b))
+
+
 def settle(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Write ``df`` once to the shared folder; return the written table and its row count."""
     spark = df.sparkSession

@@ -134,19 +134,22 @@ class Lake:
 
     # Reading
 
-    def read(self, name: str, start: date | None = None, end: date | None = None) -> DataFrame:
-        """The current state, or of a dated table the dates from ``start`` to ``end``."""
+    def _stored(self, name: str) -> DataFrame:
+        """The current state with its partition column."""
         schema, parts = self.tables[name]
+        if DATE_PART in parts:
+            schema = StructType([*schema.fields]).add(DATE_PART, "date")
         if name not in self._current:
             return self.spark.createDataFrame([], schema)
-        if DATE_PART not in parts:
-            return self.spark.read.schema(schema).parquet(self._current[name][1])
-        stored = StructType([*schema.fields]).add(DATE_PART, "date")
-        df = self.spark.read.schema(stored).parquet(self._current[name][1])
+        return self.spark.read.schema(schema).parquet(self._current[name][1])
+
+    def read(self, name: str, start: date | None = None, end: date | None = None) -> DataFrame:
+        """The current state, or of a dated table the dates from ``start`` to ``end``."""
+        df, part, day = self._stored(name), F.col(DATE_PART), F.col("date_key")
         if start is not None:
-            df = df.where((F.col(DATE_PART) >= self._date_part(F.lit(start))) & (F.col("date_key") >= F.lit(start)))
+            df = df.where((part >= self._date_part(F.lit(start))) & (day >= F.lit(start)))
         if end is not None:
-            df = df.where((F.col(DATE_PART) <= self._date_part(F.lit(end))) & (F.col("date_key") <= F.lit(end)))
+            df = df.where((part <= self._date_part(F.lit(end))) & (day <= F.lit(end)))
         return df.drop(DATE_PART)
 
     # Writing
@@ -201,8 +204,8 @@ class Lake:
             first = day
         else:
             first = day.replace(day=1) if self.date_grain == "month" else day.replace(month=1, day=1)
-            whole = self.read(name).where(self._date_part(F.col("date_key")) == F.lit(first))
-            wanted = wanted.unionByName(whole.where(F.col("date_key") != F.lit(day)).select(*wanted.columns))
+            others = (F.col(DATE_PART) == F.lit(first)) & (F.col("date_key") != F.lit(day))
+            wanted = wanted.unionByName(self._stored(name).where(others).select(*wanted.columns))
         rows = self._settled(self._shaped(name, wanted)).drop(DATE_PART).sortWithinPartitions("date_key")
         rows.write.mode("overwrite").parquet(f"{self._path(name)}/{DATE_PART}={first}")
 
@@ -214,8 +217,7 @@ class Lake:
         dates = df.select("date_key").distinct()
         parts = dates.select(self._date_part(F.col("date_key")).alias(DATE_PART)).distinct()
         kept = (
-            self.read(name)
-            .withColumn(DATE_PART, self._date_part(F.col("date_key")))
+            self._stored(name)
             .join(F.broadcast(parts), DATE_PART, "left_semi")
             .join(F.broadcast(dates), "date_key", "left_anti")
             .select(*df.columns)

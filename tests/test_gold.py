@@ -1,4 +1,5 @@
 from collections import defaultdict
+from contextlib import contextmanager
 from datetime import date, datetime
 from decimal import Decimal
 from random import Random
@@ -6,8 +7,8 @@ from random import Random
 import pytest
 from pyspark.sql import functions as F
 
-from tellerlake.operators import dashboard, facts, load_stats, views
-from tellerlake.schemas import TRANSACTION_FILE
+from tellerlake.operators import cleanse, dashboard, dimensions, facts, load_stats, views
+from tellerlake.schemas import TRACKED, TRANSACTION_FILE
 
 ACCOUNTS = "account_id string, customer_id string"
 
@@ -209,33 +210,90 @@ def test_reconciliation_shows_late_rows(spark, small):
     assert (rows[2].late_rows, rows[2].late_amount) == (0, Decimal("0.00"))
 
 
-def test_hot_account_is_split_by_aqe(spark, tmp_path):
-    """One account holds a third of all transactions; its join partition is split."""
-    n = 120_000
-    day = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    account = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), (F.col("id") % 5000).cast("string")))
-    txn = spark.range(n).select(
-        F.col("id").cast("string").alias("transaction_id"), account.alias("account_id"),
-        day.alias("transaction_date"), F.lit("Fee").alias("transaction_type"),
-        F.lit("1.00").cast("decimal(18,2)").alias("amount"), F.lit("d").alias("description"),
-    )
-    txn.repartition(16).write.parquet(f"{tmp_path}/t")
-    txn.select("account_id").distinct().withColumn("customer_id", F.lit("c")).write.parquet(f"{tmp_path}/a")
-    small = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
-        "spark.sql.shuffle.partitions": "16",
-    }
-    before = {key: spark.conf.get(key, None) for key in small}
-    for key, value in small.items():
-        spark.conf.set(key, value)
+@contextmanager
+def settings(spark, **values):
+    names = {key: f"spark.sql.{key.replace('__', '.')}" for key in values}
+    before = {name: spark.conf.get(name, None) for name in names.values()}
+    for key, value in values.items():
+        spark.conf.set(names[key], value)
     try:
-        fact = facts.transaction_fact(spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/a"))
-        assert len(fact.collect()) == n
-        assert "SortMergeJoin(skew=true)" in fact._jdf.queryExecution().executedPlan().toString()
+        yield
     finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+# Sizes that make a few megabytes look like a cluster's hot partition.
+TIGHT = {
+    "autoBroadcastJoinThreshold": "-1",
+    "adaptive__autoBroadcastJoinThreshold": "-1",
+    "adaptive__skewJoin__skewedPartitionThresholdInBytes": "64k",
+    "adaptive__skewJoin__skewedPartitionFactor": "1.5",
+    "adaptive__advisoryPartitionSizeInBytes": "64k",
+    "shuffle__partitions": "16",
+}
+
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    """120,000 transactions, a third of them of one account, in two loads."""
+    path = f"{tmp_path_factory.mktemp('hot')}/t"
+    account = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), (F.col("id") % 5000).cast("string")))
+    loaded = F.when(F.col("id") % 2 == 0, "2024-01-01 00:00:00").otherwise("2024-01-02 00:00:00")
+    rows = spark.range(120_000).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        account.alias("account_id"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("transaction_date"),
+        F.lit("Fee").alias("transaction_type"),
+        F.lit("1.00").cast("decimal(18,2)").alias("amount"),
+        F.lit("d").alias("description"),
+        loaded.cast("timestamp_ntz").alias("_loaded_at"),
+    )
+    rows.repartition(16).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_account_is_split_in_the_fact_join(spark, tmp_path, hot):
+    hot.select("account_id").distinct().withColumn("customer_id", F.lit("c")).write.parquet(f"{tmp_path}/a")
+    with settings(spark, **TIGHT):
+        fact = facts.transaction_fact(hot, spark.read.parquet(f"{tmp_path}/a"))
+        assert len(fact.collect()) == 120_000
+        assert "SortMergeJoin(skew=true)" in final_plan(fact)
+        # Also where a grouping that includes the account follows the join.
+        trend = views.type_trend(fact)
+        assert [r.transaction_count for r in trend.collect()] == [120_000]
+        assert "SortMergeJoin(skew=true)" in final_plan(trend)
+
+
+def test_hot_customer_is_split_in_the_version_joins(spark, tmp_path, hot):
+    source = hot.select(
+        F.col("account_id").alias("customer_id"),
+        *[F.lit("x").alias(c) for c in TRACKED if c != "city"],
+        F.col("transaction_id").alias("city"),
+    )
+    held = source.groupBy("customer_id").agg(*[F.max(c).alias(c) for c in TRACKED])
+    held.withColumns({"current_flag": F.lit("Y")}).write.parquet(f"{tmp_path}/d")
+    dim = spark.read.parquet(f"{tmp_path}/d")
+    with settings(spark, **TIGHT):
+        outdated = dimensions.outdated_versions(dim, source)
+        n = len(outdated.collect())
+        assert n == source.groupBy("customer_id").count().where("count > 1").count()
+        assert "SortMergeJoin(skew=true)" in final_plan(outdated)
+        fresh = dimensions.new_versions(dim.where("customer_id <> 'hot'"), source, date(2024, 1, 1))
+        assert len(fresh.collect()) == 40_000
+        assert "SortMergeJoin(skew=true)" in final_plan(fresh)
+
+
+def test_hot_key_is_split_in_the_dedupe_join(spark, hot):
+    with settings(spark, **TIGHT):
+        kept = cleanse.keep_latest(hot, "account_id")
+        newest = {}
+        rows = [(r.account_id, r._loaded_at) for r in hot.select("account_id", "_loaded_at").collect()]
+        for key, at in rows:
+            newest[key] = max(newest.get(key, at), at)
+        assert len(kept.collect()) == sum(at == newest[key] for key, at in rows)
+        assert "SortMergeJoin(skew=true)" in final_plan(kept)

@@ -53,6 +53,16 @@ def test_date_range_reads_its_partitions_only(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date_part" in plan and "GreaterThanOrEqual(date_key,2024-02-01)" in plan
 
 
+def test_a_date_reload_reads_its_partition_only(spark, tmp_path):
+    """The other months' files are gone, and the reload does not miss them."""
+    lake = Lake(spark, str(tmp_path))
+    lake.append(FACT, fact(spark, *D))
+    for path in (tmp_path / FACT).glob("*/date_part=2024-02-01/*.parquet"):
+        path.write_bytes(b"unreadable")
+    lake.replace_date(FACT, fact(spark, D[0], D[0]), D[0])
+    assert lake.read(FACT, end=D[1]).count() == 3
+
+
 def test_replace_may_read_the_table_it_replaces(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     lake.replace(FACT, fact(spark, *D))

@@ -178,6 +178,23 @@ def test_one_file_per_batch_gives_one_load_each(spark, tmp_path):
     assert n == 30 and sorted(r["count"] for r in loads) == [10, 20]
 
 
+def test_watching_the_folders(spark, tmp_path):
+    arrive(tmp_path / "in", "history", HISTORY)
+    lake = Lake(spark, f"{tmp_path}/lake")
+    queries = daily.watch_csv_folders(lake, f"{tmp_path}/in", f"{tmp_path}/cp", "1 second")
+    try:
+        for query in queries:
+            query.processAllAvailable()
+        assert [lake.read(name).count() for name in daily.LOADED] == [20, 30, 100]
+        arrive(tmp_path / "in", "increment", INCREMENT)
+        for query in queries:
+            query.processAllAvailable()
+        assert [lake.read(name).count() for name in daily.LOADED] == [30, 40, 131]
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def test_dimension_follows_a_stream(spark, tmp_path):
     arrive(tmp_path / "in", "history", HISTORY)
     lake = Lake(spark, f"{tmp_path}/lake")
