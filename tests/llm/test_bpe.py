@@ -1,0 +1,73 @@
+import hashlib
+import random
+
+import pytest
+from tellerlake.llm import bpe, queries
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def plain():
+    return bpe.load(queries.word_vocabulary())
+
+
+PARTS = [
+    "don't", "we'll", "!'s", "'", "word", "Thatouion", "ß", "É", "é", "́", " ", "\n", "\t", " ", "\x0b", "\x1c", " ",
+    "<|endoftext|>", "<|startoftext|>", "<|endof", "text|>", "123", "!!??", "…", "日本語", "😀", "İ", "Σ", "‍", "a" * 30, "\x85", "-",
+]
+
+
+def reference(plain, text):
+    ids = plain.encode(text, add_special_tokens=False).ids
+    return len(ids), " ".join(map(str, ids)), plain.decode(ids, skip_special_tokens=False)
+
+
+def test_pieces_give_what_the_library_gives(plain):
+    rng, encoder = random.Random(2), bpe.Encoder(queries.word_vocabulary())
+    texts = ["".join(rng.choices(PARTS, k=rng.randint(0, 12))) for _ in range(3000)]
+    for text, got in zip(texts, encoder([t.encode() for t in texts])):
+        assert got == reference(plain, text), repr(text)
+
+
+@pytest.mark.parametrize("leaf_chars,reach", [(8, 2), (16, 4), (50, 8), (300, 16)])
+def test_joined_halves_equal_the_whole(plain, leaf_chars, reach):
+    rng = random.Random(leaf_chars)
+    unsplit = [p for p in PARTS if not p.isspace()]
+    for k in range(150):
+        if k % 3 == 0:
+            text = "".join(rng.choices("abcdeéthionrs", k=rng.randint(1, 900)))
+        elif k % 3 == 1:
+            text = "".join(rng.choices(unsplit, k=rng.randint(1, 150)))
+        else:
+            text = "".join(rng.choices(["a", "ab", "!", "!!", "'s", "th", "é"], weights=[9, 3, 3, 1, 1, 1, 1], k=rng.randint(1, 600)))
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert bpe.encode_tree(plain, text, leaf_chars, reach) == want, repr(text)
+
+
+def test_periodic_text_falls_back_to_wider_windows(plain):
+    for text in ("a" * 30_001, "ab" * 9_000 + "a", "!" * 20_003, "thethe" * 5_000):
+        assert bpe.encode_tree(plain, text) == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_edge_rows(spark, plain):
+    long = "".join(random.Random(5).choices("etaoinshr", k=40_000))
+    rows = [(1, None), (1, None), (None, ""), (2, " \n "), (3, long), (4, "x " * 100_000)]
+    docs = spark.createDataFrame(rows, "bpe long, text string")
+    out = bpe.encode(docs, queries.word_vocabulary(), out="tokens")
+    assert out.columns == ["bpe", "text", "tokens"]
+    for r in out.collect():
+        n, ids, decoded = reference(plain, r.text or "")
+        assert (" ".join(map(str, r.tokens.ids)), r.tokens.decoded) == (ids, decoded)
+    assert bpe.encode(docs.limit(0), queries.word_vocabulary()).count() == 0
+
+
+def test_query_over_the_whole_table(spark, plain):
+    rows = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = queries.QUERIES["op2_bpe"](spark, SF).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        n, ids, decoded = reference(plain, rows[r.doc_id])
+        assert r.n_tokens == n
+        assert r.ids_sha256 == hashlib.sha256(ids.encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
