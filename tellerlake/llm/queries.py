@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import bpe, secrets
+from tellerlake.llm import bpe, decontaminate, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -61,3 +61,54 @@ def word_vocabulary() -> str:
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode(docs, word_vocabulary(), finish=_bpe_digest, fields=BPE_FIELDS).select("doc_id", "bpe.*")
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hits = F.col("hits")
+    return decontaminate.find(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id",
+        hits["n_words"].alias("n_words"),
+        F.size(hits["words"]).cast("long").alias("n_hit"),
+        F.size(hits["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort(hits["items"]), ","), 256).alias("items_sha256"),
+        decontaminate.contaminated(hits).alias("contaminated"),
+    )
+
+
+@query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return placed.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
+CHECK_SQL["op8_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, text, row_number() OVER () AS rid,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+sized AS (SELECT item_id, w, least(13, len(w)) AS size FROM b WHERE len(w) > 0),
+grams AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[k : k + size - 1], ' ') AS gram
+  FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM sized)),
+sizes AS (SELECT DISTINCT size FROM grams),
+windows AS (
+  SELECT rid, size, k, array_to_string(w[k : k + size - 1], ' ') AS gram
+  FROM (SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM d, sizes WHERE len(w) >= size)),
+found AS (SELECT rid, size, k, item_id FROM windows JOIN grams USING (size, gram)),
+hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(k, k + size)) AS p FROM found) GROUP BY rid),
+items AS (
+  SELECT rid, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY rid)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN items USING (rid)
+"""
