@@ -63,6 +63,13 @@ class Index:
             first[[np.frombuffer(g[:4], np.int32)[0] for g in grams]] = True
             self.first[size] = first
 
+    @classmethod
+    def of(cls, parts: dict) -> Index:
+        """The index whose attributes are ``parts``: plain data, which any worker can unpickle."""
+        index = cls([])
+        vars(index).update(parts)
+        return index
+
     def occurrences(self, words: list[bytes]) -> tuple[np.ndarray, list[str]]:
         """Positions of the words inside any window, and the items whose windows occur."""
         ids = np.array(list(map(self.number.get, words, repeat(0))), np.int32)
@@ -80,9 +87,9 @@ class Index:
         return np.flatnonzero(hit), sorted({self.names[i] for i in items})
 
 
-def _scanner(index) -> Column:
+def _scanner(parts) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        block = index.value
+        block = Index.of(parts.value)
         for batch in batches:
             rows = []
             for text in batch.cast(pa.binary()):
@@ -120,7 +127,7 @@ def find(
     context = docs.sparkSession.sparkContext
     column, docs, begun = F.col(f"`{text}`"), docs.drop(out), False
     for rows in _blocks(benchmark, item, item_text, block_bytes):
-        scan = _scanner(context.broadcast(Index(rows, window)))
+        scan = _scanner(context.broadcast(vars(Index(rows, window))))
         if not begun:
             docs, begun = docs.withColumn(out, scan(column)), True
             continue

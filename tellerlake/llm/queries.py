@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import bpe, decontaminate, secrets, simhash
+from tellerlake.llm import bpe, decontaminate, mil, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -31,12 +31,12 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     def of(*kinds):
         return F.filter(spans, lambda s: s["kind"].isin(*kinds))
 
-    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in secrets.BASE_KINDS]
-    return secrets.scan(docs).select(
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in secret_scan.BASE_KINDS]
+    return secret_scan.scan(docs).select(
         "doc_id",
         *counts,
-        F.sha2(secrets.joined(of(*secrets.BASE_KINDS)), 256).alias("base_sha256"),
-        secrets.joined(spans).alias("spans"),
+        F.sha2(secret_scan.joined(of(*secret_scan.BASE_KINDS)), 256).alias("base_sha256"),
+        secret_scan.joined(spans).alias("spans"),
     )
 
 
@@ -112,3 +112,24 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN items USING (rid)
 """
+
+
+def fold(column: str, folds: int):
+    """crc32 of the column as text, modulo ``folds``; null counts as empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
+
+
+QUALITY_CUT = 0.7
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 4) != 2)
+    scored = mil.score(docs, mil.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        (fold("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"),
+    )
