@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import bpe, decontaminate, mil, secret_scan, simhash
+from tellerlake.llm import bpe, decontaminate, lbl, mil, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -133,3 +133,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"),
     )
+
+
+@query
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lbl.score(docs, fold("doc_id", 5) == 1)
+    return scored.select(
+        "doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
