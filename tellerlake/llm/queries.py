@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import bpe, decontaminate, lbl, mil, secret_scan, simhash
+from tellerlake.llm import bpe, chat, decontaminate, lbl, licenses, mil, rules, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -142,3 +142,62 @@ def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query
+def op4_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+CONTROL = "</s>[INST] ok [/INST]"
+
+
+@query
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    added = spark.createDataFrame([(-7, 0, "user", CONTROL), (-7, 1, "assistant", CONTROL)], "conv_id long, turn long, role string, text string")
+    rows = rows.select("conv_id", "turn", "role", "text").union(added)
+    read = chat.format_rows(rows).withColumn("turns", chat.read_back(F.col("formatted")))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join(chat.loss_texts(F.col("turns")), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+CHECK_SQL["op6_chat"] = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM (SELECT conv_id, turn, role, text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+        UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(8 + length(role) + length(regexp_replace(role, '[^\\\[<\n]', '', 'g'))
+                  + length(text) + length(regexp_replace(text, '[^\\\[<]', '', 'g'))) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
+
+@query
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    places = F.sort_array(F.concat(*[F.col(f"base.`{label}`") for label in licenses.BASE]))
+    labels = F.array_compact(F.array(*[F.when(F.size(F.col(f"base.`{label}`")) > 0, F.lit(label)) for label in licenses.BASE]))
+    return found.withColumns({"places": places, "base_labels": labels}).select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.get("places", F.lit(0)).cast("long").alias("first_word"),
+        F.get("places", F.size("places") - 1).cast("long").alias("last_word"),
+        F.array_join(F.sort_array("base_labels"), ",").alias("base_labels"),
+        F.array_join(F.sort_array(F.array_union("base_labels", "notices")), ",").alias("labels"),
+        "score",
+    )
