@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import bpe, chat, decontaminate, lbl, licenses, mil, rules, secret_scan, simhash
+from tellerlake.llm import bpe, chat, decontaminate, lbl, licenses, mil, rules, secret_scan, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -201,3 +201,20 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.sort_array(F.array_union("base_labels", "notices")), ",").alias("labels"),
         "score",
     )
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+CHECK_SQL["op7_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS response FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response <> page_id THEN response END AS refers_to
+FROM f
+"""
