@@ -3,13 +3,16 @@
 A 64-bit fingerprint has two segments of 23 bits and a rest of 18. Each segment
 is decoded, together with its 23 one-bit neighbours, to the indices of nearby
 Golay codewords, one or six of them; segments that differ in two bits or fewer
-share an index. With four errors or fewer in all, the pigeonhole leaves three
-cases, and each makes fingerprints share a key:
-
-* two errors or fewer in either segment: an index of one with an index of the other;
-* three or more in the first: the second and the rest have one at most, so the
-  rest is equal and the second shares an index, or the second is equal and so is
-  one half of the rest;
+share an index. With four errors or fewer in all, the pigeonhole leaves these
+cases, and each makes fingerprints share a key of 30 bits or more:
+
+* two errors or fewer in either segment and in the rest: an index of one with an
+  index of the other and with one third of the rest, which has no error;
+* two or fewer in either segment, three or more in the rest: the segments have
+  one at most, so one is equal and so is a half of the other;
+* three or more in the first segment: the second and the rest have one at most,
+  so the rest is equal and the second shares an index, or the second is equal and
+  so is one half of the rest;
 * three or more in the second: likewise.
 
 Fingerprints that share a key are joined and their distance is verified.
@@ -105,12 +108,17 @@ def keys_of(values: np.ndarray, golay: Golay) -> tuple[np.ndarray, np.ndarray]:
         parts.append((row[at], (np.uint64(case) << np.uint64(56)) | keys[use]))
 
     use_a, use_b = slot[None, :] < na[:, None], slot[None, :] < nb[:, None]
-    add(1, ((a << np.uint64(12))[:, :, None] | b[:, None, :]).reshape(len(row), 36), (use_a[:, :, None] & use_b[:, None, :]).reshape(len(row), 36))
+    both = ((a << np.uint64(12))[:, :, None] | b[:, None, :]).reshape(len(row), 36)
+    use = (use_a[:, :, None] & use_b[:, None, :]).reshape(len(row), 36)
+    for third in range(3):
+        add(8 + third, (both << np.uint64(6)) | ((rest >> np.uint64(6 * third)) & 0x3F)[:, None], use)
     add(2, (rest << np.uint64(12))[:, None] | b, use_b)
     add(3, (rest << np.uint64(12))[:, None] | a, use_a)
     every = np.ones((len(row), 1), bool)
-    for case, segment, half in ((4, second, rest & 0x1FF), (5, second, rest >> np.uint64(9)), (6, first, rest & 0x1FF), (7, first, rest >> np.uint64(9))):
-        add(case, ((segment << np.uint64(9)) | half)[:, None], every)
+    halves = [(segment, half) for segment in (second, first) for half in (rest & 0x1FF, rest >> np.uint64(9))]
+    halves += [(x, half) for x, y in ((first, second), (second, first)) for half in (y & 0xFFF, y >> np.uint64(12))]
+    for case, (segment, half) in enumerate(halves, 16):
+        add(case, ((segment << np.uint64(12)) | half)[:, None], every)
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
