@@ -40,7 +40,7 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _bpe_digest(n: int, ids: str, decoded: str) -> dict:
+def bpe_digest(n: int, ids: str, decoded: str) -> dict:
     return {
         "n_tokens": n,
         "ids_sha256": hashlib.sha256(ids.encode()).hexdigest(),
@@ -60,7 +60,7 @@ def word_vocabulary() -> str:
 @query
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.encode(docs, word_vocabulary(), finish=_bpe_digest, fields=BPE_FIELDS).select("doc_id", "bpe.*")
+    return bpe.encode(docs, word_vocabulary(), finish=bpe_digest, fields=BPE_FIELDS).select("doc_id", "bpe.*")
 
 
 @query
