@@ -82,8 +82,8 @@ def drop_stale(df: DataFrame, stale: DataFrame, key: str, loaded_at: str = "_loa
     """Drop rows older than their key's newest load; ties and NULL keys or times stay.
 
     ``df`` is the left side of an anti join, which AQE can split when a key is
-    hot. Pass a size-checked ``stale`` (``joins.checked_broadcast``) and the
-    wide rows are not shuffled at all.
+    hot. With a written ``stale`` (``joins.written``) Catalyst knows its bytes, and
+    if they are few the wide rows are not shuffled at all.
     """
     return df.join(stale, _older(key, loaded_at), "left_anti")
 

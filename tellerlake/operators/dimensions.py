@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerlake.functions.dates import calendar_columns
-from tellerlake.operators.joins import on_hot_key
+from tellerlake.operators.joins import on_hot_key, written
 from tellerlake.schemas import OPEN_END, TRACKED
 
 def is_current() -> Column:
@@ -51,6 +51,14 @@ def outdated_versions(
     )
 
 
+def _same_version(key: str, tracked: list[str]) -> Column:
+    """A version equals one of ``outdated_versions``."""
+    return reduce(
+        lambda a, b: a & b,
+        [F.col(key) == F.col("_key"), *[F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in tracked]],
+    )
+
+
 def close_versions(
     dim: DataFrame,
     source: DataFrame,
@@ -63,12 +71,8 @@ def close_versions(
     """Expire contradicted current versions the day before ``as_of``; other rows pass through."""
     if outdated is None:
         outdated = outdated_versions(dim, source, key, tracked, null_safe)
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(key) == F.col("_key"), *[F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in tracked]],
-    )
     closes = is_current() & F.col("_key").isNotNull()
-    joined = dim.join(outdated, same, "left")
+    joined = dim.join(outdated, _same_version(key, tracked), "left")
     return joined.select(
         *[
             F.when(closes, F.date_sub(F.lit(as_of), 1)).otherwise(F.col(c)).alias(c)
@@ -89,7 +93,11 @@ def new_versions(
     tracked: list[str] = TRACKED,
 ) -> DataFrame:
     """Source rows without a current version in an already closed ``dim``; copies all enter."""
-    held = current_versions(dim).select(F.col(key).alias("_held"))
+    return _inserted(current_versions(dim).select(F.col(key).alias("_held")), source, as_of, key, tracked)
+
+
+def _inserted(held: DataFrame, source: DataFrame, as_of: date, key: str, tracked: list[str]) -> DataFrame:
+    """Source rows whose key is not ``_held``, as new current versions."""
     return source.join(held, on_hot_key(key, "_held"), "left_anti").select(
         key,
         *tracked,
@@ -107,9 +115,15 @@ def apply_scd2(
     tracked: list[str] = TRACKED,
     null_safe: bool = False,
 ) -> DataFrame:
-    """Close and insert in one plan. New rows get a NULL surrogate if ``dim`` has one."""
-    closed = close_versions(dim, source, as_of, key, tracked, null_safe)
-    fresh = new_versions(closed, source, as_of, key, tracked)
+    """Close and insert. New rows get a NULL surrogate if ``dim`` has one.
+
+    What the source contradicts is found and written once; both halves start
+    from it, so source and versions are compared a single time.
+    """
+    outdated = written(outdated_versions(dim, source, key, tracked, null_safe), "outdated")
+    closed = close_versions(dim, source, as_of, key, tracked, null_safe, outdated)
+    remaining = current_versions(dim).join(outdated, _same_version(key, tracked), "left_anti")
+    fresh = _inserted(remaining.select(F.col(key).alias("_held")), source, as_of, key, tracked)
     return closed.unionByName(fresh, allowMissingColumns=True)
 
 

@@ -9,10 +9,18 @@ from pyspark.sql import functions as F
 def latest_entries(log: DataFrame, key: str, order: list[str], success: Column | None = None) -> DataFrame:
     """The newest accepted entry of each key.
 
-    An aggregate, not a ranking window: each task keeps one candidate per key,
-    so a key with a third of the log is no bigger than any other.
+    The greatest order value per key is a hash aggregate over two columns; whole
+    rows are then only filtered by it. Rows that tie on one order column go on to
+    the next, and rows that tie on all of them are settled by their JSON text, so
+    map columns are no obstacle and the pick is repeatable.
     """
     kept = log if success is None else log.where(success)
-    rest = [c for c in log.columns if c != key and c not in order]
-    newest = F.max(F.struct(*order, *rest)).alias("_entry")
-    return kept.groupBy(key).agg(newest).select(key, *[F.col(f"_entry.{c}").alias(c) for c in [*order, *rest]])
+    for column in order:
+        top = kept.groupBy(F.col(key).alias("_key")).agg(F.max(column).alias("_top"))
+        # The hash gives the join a shuffle of its own, which AQE may split on a hot key.
+        same = F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(key) == F.xxhash64("_key"))
+        kept = kept.join(top, same & F.col(column).eqNullSafe(F.col("_top")), "left_semi")
+    rest = [c for c in log.columns if c != key]
+    entry = F.struct(*rest)
+    picked = kept.groupBy(key).agg(F.max_by(entry, F.to_json(entry)).alias("_entry"))
+    return picked.select(key, *[F.col(f"_entry.{c}").alias(c) for c in [*order, *[c for c in rest if c not in order]]])

@@ -59,9 +59,10 @@ def transaction_fact(
     """Transactions with their account's customer.
 
     Rows of a date that ``already_loaded`` holds are skipped, late ones too.
-    Transactions without an account drop out; a duplicated account fans out.
+    Transactions without an account drop out; a duplicated account fans out. One
+    without a date, which no load lets in, keeps its row and a NULL date.
     """
-    rows = _dated(transactions, report_date).where(F.col("date_key").isNotNull())
+    rows = _dated(transactions, report_date)
     if already_loaded is not None:
         # Filter before the account join. Broadcasting the dates spares the rows a
         # shuffle on date, where one busy day would be one task.

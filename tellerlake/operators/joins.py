@@ -1,4 +1,4 @@
-"""Join helpers: keys that may be hot, and sides whose size is only known at run time."""
+"""Join helpers: keys that may be hot, and tables that are written down before they are used twice."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from tellerlake.sources.workspace import new_dir
 
-BROADCAST_ROWS = 1_000_000
-
 
 def on_hot_key(left: str, right: str) -> Column:
     """Equality of two columns, for a join whose left side may hold many rows of one key.
@@ -23,23 +21,19 @@ def on_hot_key(left: str, right: str) -> Column:
     return (a == b) & (F.xxhash64(a) == F.xxhash64(b))
 
 
-def settle(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """Write ``df`` once to the shared folder; return the written table and its row count."""
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it from there.
+
+    What reads it twice computes it once, lineage ends there, and Catalyst knows
+    its size in bytes when it plans a join with it.
+    """
     spark = df.sparkSession
     path = new_dir(spark, label)
     df.write.parquet(path)
-    written = spark.read.schema(df.schema).parquet(path)
-    return written, written.count()
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def checked_broadcast(df: DataFrame, label: str, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Settle ``df`` and mark it for broadcast only if it has at most ``max_rows`` rows.
-
-    AQE alone would find out too late: by the time it has measured this side,
-    the big side's shuffle has been written. Beyond ``max_rows`` the written
-    table is joined by a normal shuffle, which AQE may still split on skew.
-    The flag says whether the join will go without that shuffle.
-    """
-    written, rows = settle(df, label)
-    small = rows <= max_rows
-    return (F.broadcast(written) if small else written), small
+def settle(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``written`` and its row count."""
+    table = written(df, label)
+    return table, table.count()

@@ -18,7 +18,7 @@ from tellerlake.functions.numbers import money
 from tellerlake.operators.cleanse import cleanse, tidy
 from tellerlake.operators.dimensions import apply_scd2
 from tellerlake.operators.facts import daily_rollups, transaction_fact
-from tellerlake.operators.joins import settle
+from tellerlake.operators.joins import written
 from tellerlake.operators.quality import run_checks
 from tellerlake.operators.views import monthly_spend_profile, type_trend
 from tellerlake.schemas import OPEN_END
@@ -73,20 +73,25 @@ def _padded(column: str, before: str = "", after: str = ""):
     return F.concat(F.lit(before), F.col(column), F.lit(after))
 
 
-def customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Untidy first delivery, without the overdrawn, under the segment's old name."""
-    renamed = F.when(F.col("state_province") == "AUTOMOBILE", "VEHICLES").otherwise(F.col("state_province"))
-    return people(spark, sf_dir).where(~F.col("overdrawn")).drop("overdrawn").withColumns(
+def untidy_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer, as a source with blanks and capitals delivers them."""
+    return people(spark, sf_dir).withColumns(
         {
             "customer_id": _padded("customer_id", "  "),
             "first_name": _padded("first_name", " ", "  "),
             "email_address": F.concat(F.upper("email_address"), F.lit(" ")),
             "city": _padded("city", "", " "),
-            "state_province": renamed,
         }
     )
 
 
+def customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Untidy first delivery, without the overdrawn, under the segment's old name."""
+    renamed = F.when(F.col("state_province") == "AUTOMOBILE", "VEHICLES").otherwise(F.col("state_province"))
+    held = untidy_customers(spark, sf_dir).where(~F.col("overdrawn")).drop("overdrawn")
+    return held.withColumn("state_province", renamed)
+
+
 def customer_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrived = F.col("overdrawn") | (F.col("state_province") == "AUTOMOBILE")
     return people(spark, sf_dir).where(arrived).drop("overdrawn")
@@ -259,8 +264,7 @@ def quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         dim_prior(spark, sf_dir),
         HISTORY_AT,
     )
-    written, _ = settle(clean.unionByName(faulty_run(spark, sf_dir)), "quality-log")
-    return written
+    return written(clean.unionByName(faulty_run(spark, sf_dir)), "quality-log")
 
 
 def faulty_run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -177,6 +177,7 @@ VIEWS["faulty_dim"] = """
 SELECT customer_id, current_flag FROM dim_prior
 UNION ALL SELECT customer_id, 'Y' FROM people WHERE state_province = 'AUTOMOBILE'"""
 
+# Fixed value: the pattern of an e-mail address.
 _BAD_EMAIL = r"""email_address IS NOT NULL AND NOT regexp_matches(email_address,
       '^[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}$')"""
 

@@ -55,22 +55,23 @@ def domains(spark, sf_dir):
 
 @query(
     "ana_03",
-    f"""SELECT COUNT(*) AS total_transactions, CAST(SUM(amount) AS DOUBLE) AS total_volume,
-               CAST(SUM(amount) AS DOUBLE) / COUNT(amount) AS avg_transaction,
-               COUNT(DISTINCT customer_id) AS unique_customers
-        FROM ({_CHOSEN})""",
+    """SELECT COUNT(*) AS total_transactions, CAST(SUM(amount) AS DOUBLE) AS total_volume,
+              CAST(SUM(amount) AS DOUBLE) / COUNT(amount) AS avg_transaction,
+              COUNT(DISTINCT customer_id) AS unique_customers
+       FROM fact WHERE transaction_type IS NOT NULL""",
 )
 def kpis(spark, sf_dir):
-    return dash.kpis(_chosen(spark, sf_dir))
+    """As the page opens: every date and type."""
+    return dash.kpis(dash.filter_fact(bank.fact(spark, sf_dir)))
 
 
 @query(
     "ana_04",
     f"""SELECT {_DAY}, COUNT(transaction_id) AS transactions, CAST(SUM(amount) AS DOUBLE) AS volume
-        FROM ({_CHOSEN}) c GROUP BY c.date_key""",
+        FROM fact WHERE transaction_type IS NOT NULL GROUP BY fact.date_key""",
 )
 def daily_volume(spark, sf_dir):
-    return dash.daily_volume(_chosen(spark, sf_dir))
+    return dash.daily_volume(dash.filter_fact(bank.fact(spark, sf_dir)))
 
 
 @query(
@@ -131,7 +132,9 @@ def top_spenders(spark, sf_dir):
        ORDER BY total_spend DESC, customer_id, transaction_type""",
 )
 def month_detail(spark, sf_dir):
-    return dash.month_detail(dash.one_month(bank.spend(spark, sf_dir), date(1998, 6, 1)))
+    """The month is a date range of the fact, so only its transactions are read."""
+    fact = dash.fact_of_month(bank.fact(spark, sf_dir), date(1998, 6, 1))
+    return dash.month_detail(monthly_spend_profile(fact, bank.dim_now(spark, sf_dir)))
 
 
 @query(

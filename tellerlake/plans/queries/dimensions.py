@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tellerlake.operators import dimensions as dim
 from tellerlake.plans import bank
 from tellerlake.plans.registry import query
+from tellerlake.sources.lake import Lake
 from tellerlake.sources.workspace import new_dir
+from tellerlake.streaming.dimension_feed import apply_customers
 
 _VERSIONS = """customer_id, first_name, last_name, email_address, city, state_province, country,
   CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date, current_flag"""
@@ -30,6 +32,20 @@ def one_pass(spark, sf_dir):
     return bank.dim_now(spark, sf_dir)
 
 
+@query("dim_03_feed", f"SELECT {_VERSIONS} FROM dim_now")
+def replayed_feed(spark, sf_dir):
+    """The second delivery comes as a batch with two versions of a customer, and is replayed."""
+    lake = Lake(spark, new_dir(spark, "feed"))
+    lake.replace("silver/dim_customer", bank.dim_prior(spark, sf_dir).withColumn("customer_key", F.lit(None).cast("long")))
+    newest = bank.people(spark, sf_dir).drop("overdrawn")
+    older = newest.withColumns(
+        {"city": F.lit("PASSED THROUGH"), "created_timestamp": F.lit("1990-01-01 00:00:00").cast("timestamp_ntz")}
+    )
+    for _ in range(2):
+        apply_customers(lake, older.unionByName(newest), 0, "feed", bank.INCREMENT_DAY)
+    return lake.read("silver/dim_customer").drop("customer_key")
+
+
 # Surrogate values are arbitrary; what can be checked is that each is given once.
 @query(
     "dim_04",

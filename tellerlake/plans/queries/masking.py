@@ -107,6 +107,17 @@ def coverage_by_policy(spark, sf_dir):
     return masking.coverage_by(coverage(spark, sf_dir), "policy", "category")
 
 
+@query(
+    "msk_08_by_layer",
+    f"""SELECT layer, COUNT(*) AS protected_columns, COUNT(DISTINCT table_name) AS protected_tables,
+               CAST(SUM(present_values) AS BIGINT) AS present_values,
+               CAST(SUM(masked_values) AS BIGINT) AS masked_values
+        FROM ({_coverage_sql()}) GROUP BY 1""",
+)
+def coverage_by_layer(spark, sf_dir):
+    return masking.coverage_by(coverage(spark, sf_dir), "layer")
+
+
 @query(
     "msk_09",
     f"""SELECT {_FIRST.format('first_name')} AS first_name, {_FIRST.format('last_name')} AS last_name,

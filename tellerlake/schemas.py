@@ -17,15 +17,23 @@ from pyspark.sql.types import (
 MONEY = DecimalType(18, 2)
 
 
+# A delivered row without a value here fails its load.
+REQUIRED = {"required": True}
+
+
 def _struct(*fields: tuple) -> StructType:
-    return StructType([StructField(name, kind, True) for name, kind in fields])
+    return StructType([StructField(name, kind, True, *rest) for name, kind, *rest in fields])
+
+
+def is_required(field: StructField) -> bool:
+    return bool(field.metadata.get("required"))
 
 
 _S, _D, _TS = StringType(), DateType(), TimestampNTZType()
 
 # What a delivered file holds, in file order.
 CUSTOMER_FILE = _struct(
-    ("customer_id", _S),
+    ("customer_id", _S, REQUIRED),
     ("first_name", _S),
     ("last_name", _S),
     ("email_address", _S),
@@ -36,8 +44,8 @@ CUSTOMER_FILE = _struct(
     ("created_timestamp", _TS),
 )
 ACCOUNT_FILE = _struct(
-    ("account_id", _S),
-    ("customer_id", _S),
+    ("account_id", _S, REQUIRED),
+    ("customer_id", _S, REQUIRED),
     ("account_type", _S),
     ("status", _S),
     ("currency_code", _S),
@@ -45,9 +53,9 @@ ACCOUNT_FILE = _struct(
     ("created_timestamp", _TS),
 )
 TRANSACTION_FILE = _struct(
-    ("transaction_id", _S),
-    ("account_id", _S),
-    ("transaction_date", _TS),
+    ("transaction_id", _S, REQUIRED),
+    ("account_id", _S, REQUIRED),
+    ("transaction_date", _TS, REQUIRED),
     ("transaction_type", _S),
     ("amount", MONEY),
     ("description", _S),

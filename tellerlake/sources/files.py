@@ -19,26 +19,37 @@ from pyspark.sql.types import (
 
 from tellerlake.functions.dates import from_epoch_micros
 from tellerlake.functions.text import null_tokens_to_null
+from tellerlake.operators.joins import on_hot_key
+from tellerlake.schemas import is_required
 
 # Columns bind by position, the header line is skipped, short rows are padded
-# with NULL, surplus fields are ignored, and "" inside quotes is a quote.
+# with NULL, surplus fields are ignored, and "" inside quotes is a quote. A line
+# break inside quotes belongs to the field; therefore a file is read by one task.
 CSV_OPTIONS = {
     "header": "true",
     "enforceSchema": "true",
     "quote": '"',
     "escape": '"',
     "mode": "PERMISSIVE",
+    "multiLine": "true",
 }
 
 
+def csv_options(header: bool = True, multi_line: bool = True) -> dict[str, str]:
+    """``multi_line=False`` lets Spark split large files; give it only for sources
+    known to have no line breaks inside fields, as it would cut such records in two."""
+    return {**CSV_OPTIONS, "header": str(header).lower(), "multiLine": str(multi_line).lower()}
+
+
 def text_schema(schema: StructType) -> StructType:
     return StructType([StructField(f.name, StringType(), True) for f in schema.fields])
 
 
-def csv_text(spark: SparkSession, paths: str | list[str], schema: StructType, header: bool = True) -> DataFrame:
+def csv_text(
+    spark: SparkSession, paths: str | list[str], schema: StructType, header: bool = True, multi_line: bool = True
+) -> DataFrame:
     """All fields as text, NULL tokens resolved."""
-    options = {**CSV_OPTIONS, "header": str(header).lower()}
-    return resolve_nulls(spark.read.schema(text_schema(schema)).options(**options).csv(paths))
+    return resolve_nulls(spark.read.schema(text_schema(schema)).options(**csv_options(header, multi_line)).csv(paths))
 
 
 def resolve_nulls(df: DataFrame) -> DataFrame:
@@ -54,38 +65,49 @@ def strict_cast(column: Column, name: str, target: DataType) -> Column:
     return F.coalesce(column.try_cast(target), F.when(column.isNotNull(), failed).cast(target))
 
 
+def required(column: Column, name: str) -> Column:
+    """The column, or fail the job on a NULL, in the same pass as the load."""
+    return F.coalesce(column, F.raise_error(F.lit(f"cannot load a row without {name}")))
+
+
+def loaded(column: Column, field: StructField, cast: bool = True) -> Column:
+    """One column of a delivery, cast and checked as its declaration says."""
+    if cast:
+        column = strict_cast(column, field.name, field.dataType)
+    return (required(column, field.name) if is_required(field) else column).alias(field.name)
+
+
 def typed(text: DataFrame, schema: StructType) -> DataFrame:
-    return text.select(
-        *[
-            F.col(f.name) if isinstance(f.dataType, StringType) else strict_cast(F.col(f.name), f.name, f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    return text.select(*[loaded(F.col(f.name), f, not isinstance(f.dataType, StringType)) for f in schema.fields])
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType, header: bool = True) -> DataFrame:
-    return typed(csv_text(spark, paths, schema, header), schema)
+def read_csv(
+    spark: SparkSession, paths: str | list[str], schema: StructType, header: bool = True, multi_line: bool = True
+) -> DataFrame:
+    return typed(csv_text(spark, paths, schema, header, multi_line), schema)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Pick columns by name and cast them; integers bound for a timestamp are epoch
-    microseconds, a column the data lacks is NULL."""
+    microseconds, a column the data lacks is NULL, and an error if rows must have it."""
     present = {f.name.lower(): f for f in df.schema.fields}
 
     def pick(field: StructField) -> Column:
         found = present.get(field.name.lower())
         if found is None:
-            return F.lit(None).cast(field.dataType)
-        column = F.col(found.name)
+            if is_required(field):
+                raise ValueError(f"the delivery has no column {field.name}: {df.columns}")
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        column = F.col(f"`{found.name}`")
         if found.dataType == field.dataType:
-            return column
+            return loaded(column, field, cast=False)
         if isinstance(field.dataType, TimestampNTZType) and isinstance(found.dataType, (LongType, IntegerType)):
-            return from_epoch_micros(column)
+            return loaded(from_epoch_micros(column), field, cast=False)
         if isinstance(field.dataType, TimestampNTZType) and isinstance(found.dataType, TimestampType):
-            return column.cast(field.dataType)
-        return strict_cast(column, field.name, field.dataType)
+            return loaded(column.cast(field.dataType), field, cast=False)
+        return loaded(column, field)
 
-    return df.select(*[pick(f).alias(f.name) for f in schema.fields])
+    return df.select(*[pick(f) for f in schema.fields])
 
 
 def read_parquet(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
@@ -101,10 +123,12 @@ def with_load_audit(df: DataFrame, load_id: int, loaded_at: datetime) -> DataFra
     return df.withColumns({"_loaded_at": stamp, "_load_id": F.lit(load_id)})
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
-    """One row per file, without reading any content."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    return found.select("path", "length", "modificationTime")
+def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
+    """One row per file below the folder, whatever its name, without reading any content."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(folder).select("path", "length", "modificationTime")
 
 
 def unloaded_files(files: DataFrame, load_log: DataFrame) -> DataFrame:
@@ -113,14 +137,14 @@ def unloaded_files(files: DataFrame, load_log: DataFrame) -> DataFrame:
 
 
 def read_new_csv(
-    spark: SparkSession, folder: str, schema: StructType, load_log: DataFrame
+    spark: SparkSession, folder: str, schema: StructType, load_log: DataFrame, multi_line: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """The rows of files not loaded yet, and the log entries to append once they are written.
 
-    The paths pass through the driver, which lists and schedules files anyway.
+    Each row's own file name meets the log, so no list of files passes the driver.
     """
-    fresh = unloaded_files(list_files(spark, folder), load_log)
-    paths = [row.path for row in fresh.select("path").collect()]
-    if not paths:
-        return spark.createDataFrame([], schema), load_log.select("path").limit(0)
-    return read_csv(spark, paths, schema), spark.createDataFrame([(p,) for p in paths], "path string")
+    reader = spark.read.schema(text_schema(schema)).options(**csv_options(multi_line=multi_line))
+    rows = reader.option("recursiveFileLookup", "true").csv(folder).select("*", F.col("_metadata.file_path").alias("_file"))
+    loaded_before = load_log.select(F.col("path").alias("_loaded"))
+    fresh = rows.join(loaded_before, on_hot_key("_file", "_loaded"), "left_anti").drop("_file")
+    return typed(resolve_nulls(fresh), schema), unloaded_files(list_files(spark, folder), load_log).select("path")

@@ -1,8 +1,13 @@
-"""Parquet tables below one root, with a commit log that names each table's current directory.
+"""Parquet tables below one root, with a log per table that names its current directory.
 
 Plain Parquet cannot update in place. A rewrite goes to a new directory and a
-row appended to the commit log makes it current, so a reader sees the old or
-the new state and a lost job leaves the old one. One writer at a time.
+row appended to the table's log makes it current, so a reader sees the old or
+the new state and a lost job leaves the old one. Partitions are overwritten in
+place; a row that names the settled rows is logged first and cleared after, and
+a lake that finds one open does the overwrite again before anything else. An
+append of new dates logs those dates first; found open, they are taken out, so
+the next load brings them whole. One writer a table at a time; every table has
+log folders of its own, so tables may be written side by side.
 
 Tables with a ``date_key`` are clustered by date: partitioned by its day, month
 or year and sorted by date inside each file, so a date range reads only its
@@ -18,15 +23,21 @@ from datetime import date
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tellerlake.schemas import DATE_PART, TABLES
-from tellerlake.sources.workspace import new_dir
+from tellerlake.sources.workspace import new_dir, remove
 
-_COMMITS = "table_name string, version long, path string"
-_CLEANSED = "table_name string, load_id int, written_ns long, cleansed boolean"
+_COMMITS = "version long, path string, source string, batch long"
+_MARKS = "version long, load_id int, written_ns long, cleansed boolean"
+_LOADS = "version long, load_id int, source string, batch long"
+_FILES = "version long, path string, load_id int"
+_INTENTS = "intent string, path string, leaves array<string>, days array<date>, is_open boolean"
+
+#: Source of a load whose id the caller chose.
+GIVEN = "given"
 
 
 class Lake:
@@ -43,67 +54,97 @@ class Lake:
         self.root = root.rstrip("/")
         self.date_grain = date_grain
         self.tables = tables
-        self._current = self._read_commits()
-        self._cleansed = self._read_cleansed()
+        self._current: dict[str, tuple[int, str] | None] = {}
+        self._rows: dict[str, int] = {}
 
-    # Logs: one appended row set per change, folded to the latest state when a lake is opened
+    # Logs: one appended row set per change, folded when it is needed
 
-    def _log(self, log: str, schema: str) -> DataFrame:
+    def _log(self, log: str, name: str, schema: str) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{log}")
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{log}/{name}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def _append_log(self, log: str, schema: str, rows: list[tuple]) -> None:
-        names = StructType.fromDDL(schema).fieldNames()
-        cells = [F.struct(*[F.lit(value).alias(name) for name, value in zip(names, row)]) for row in rows]
-        entries = self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*cells))).to(StructType.fromDDL(schema))
-        entries.write.mode("append").parquet(f"{self.root}/{log}")
-
-    def _read_commits(self) -> dict[str, tuple[int, str]]:
-        """Latest version and path by table; one row per table reaches the driver."""
-        newest = self._log("commits", _COMMITS).groupBy("table_name").agg(
-            F.max(F.struct("version", "path")).alias("c")
-        )
-        return {row.table_name: (row.c.version, row.c.path) for row in newest.collect()}
-
-    def _commit(self, name: str, version: int, path: str) -> None:
-        self._append_log("commits", _COMMITS, [(name, version, path)])
+    def _append_log(self, log: str, name: str, schema: str, rows: list[tuple]) -> None:
+        entries = self.spark.createDataFrame(rows, schema).coalesce(1)
+        entries.write.mode("append").parquet(f"{self.root}/{log}/{name}")
+
+    def _state(self, name: str) -> tuple[int, str] | None:
+        """(version, directory) of a table, after whatever a lost driver left open has been redone."""
+        if name not in self._current:
+            newest = self._log("commits", name, _COMMITS).agg(F.max(F.struct("version", "path")).alias("c")).first().c
+            self._current[name] = newest and (newest.version, newest.path)
+            if newest:
+                self._recover(name)
+        return self._current[name]
+
+    def version(self, name: str) -> int:
+        """Counts the rewrites of a table; progress, marks and loaded files belong to one version."""
+        self._path(name)
+        return self._current[name][0]
+
+    def _commit(self, name: str, version: int, path: str, source: str | None = None, batch: int | None = None) -> None:
+        self._append_log("commits", name, _COMMITS, [(version, path, source, batch)])
         self._current[name] = (version, path)
 
-    def _read_cleansed(self) -> dict[str, set[int]]:
-        """Loads whose last mark says cleansed; one row per load reaches the driver."""
-        last = self._log("cleansed", _CLEANSED).groupBy("table_name", "load_id").agg(
-            F.max_by("cleansed", "written_ns").alias("cleansed")
-        )
-        marks: dict[str, set[int]] = {}
-        for row in last.where("cleansed").collect():
-            marks.setdefault(row.table_name, set()).add(row.load_id)
-        return marks
+    def last_batch(self, name: str, source: str) -> int:
+        """The last batch of a stream that a rewrite of the table has applied; -1 for none."""
+        applied = self._log("commits", name, _COMMITS).where(F.col("source") == source)
+        return applied.agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0]
+
+    # Loads: ids belong to the table, not to who loads
+
+    def claim_load(self, name: str, source: str, batch: int) -> int:
+        """The load id of a source's batch: the one it had before, else the next of the table."""
+        version = self.version(name)
+        loads = self._log("loads", name, _LOADS).where(F.col("version") == version)
+        own = (F.col("source") == source) & (F.col("batch") == batch)
+        before, highest = loads.agg(F.max(F.when(own, F.col("load_id"))), F.max("load_id")).first()
+        if before is not None:
+            return before
+        self._append_log("loads", name, _LOADS, [(version, (highest or 0) + 1, source, batch)])
+        return (highest or 0) + 1
+
+    def _claim_given(self, name: str, load_id: int) -> None:
+        version = self.version(name)
+        owner = self._log("loads", name, _LOADS).where((F.col("version") == version) & (F.col("load_id") == load_id))
+        owner = owner.agg(F.max("source")).first()[0]
+        if owner is None:
+            self._append_log("loads", name, _LOADS, [(version, load_id, GIVEN, load_id)])
+        elif owner != GIVEN:
+            raise ValueError(f"load {load_id} of {name} belongs to {owner}")
+
+    def loaded_files(self, name: str) -> DataFrame:
+        """(path, load_id) of the files the current version holds."""
+        return self._log("files", name, _FILES).where(F.col("version") == self.version(name)).select("path", "load_id")
+
+    def record_files(self, name: str, paths: DataFrame, load_id: int) -> None:
+        rows = paths.select(F.lit(self.version(name)).alias("version"), "path", F.lit(load_id).alias("load_id"))
+        rows.write.mode("append").parquet(f"{self.root}/files/{name}")
 
     def mark_loads(self, name: str, load_ids: Iterable[int], cleansed: bool) -> None:
         """Note that loads have been cleansed, or hold new rows again."""
-        known = self._cleansed.setdefault(name, set())
-        changed = sorted(set(load_ids) - known if cleansed else set(load_ids) & known)
-        if changed:
-            now = time.time_ns()
-            self._append_log("cleansed", _CLEANSED, [(name, load_id, now, cleansed) for load_id in changed])
-            self._cleansed[name] = known | set(changed) if cleansed else known - set(changed)
+        version, now = self.version(name), time.time_ns()
+        rows = [(version, load_id, now, cleansed) for load_id in load_ids]
+        if rows:
+            self._append_log("cleansed", name, _MARKS, rows)
 
     def pending_loads(self, name: str) -> list[int]:
-        """Loads in the table that are not marked as cleansed."""
-        present = {row._load_id for row in self.read(name).select("_load_id").distinct().collect()}
-        return sorted(present - self._cleansed.get(name, set()))
+        """Loads in the table that are not marked as cleansed; only these reach the driver."""
+        marks = self._log("cleansed", name, _MARKS).where(F.col("version") == self.version(name))
+        last = marks.groupBy("load_id").agg(F.max_by("cleansed", "written_ns").alias("cleansed")).where("cleansed")
+        present = self.read(name).select(F.col("_load_id").alias("load_id")).distinct()
+        return sorted(row.load_id for row in present.join(last, "load_id", "left_anti").collect())
 
     def _next(self, name: str) -> tuple[int, str]:
-        version = self._current.get(name, (0, ""))[0] + 1
+        version = (self._state(name) or (0, ""))[0] + 1
         return version, f"{self.root}/{name}/v{version:06d}-{uuid4().hex[:8]}"
 
     def _path(self, name: str) -> str:
         """Current directory, created empty for a table not written yet."""
-        if name not in self._current:
+        if self._state(name) is None:
             self.reset(name)
         return self._current[name][1]
 
@@ -119,18 +160,21 @@ class Lake:
             columns.append(self._date_part(F.col("date_key")).alias(DATE_PART))
         return df.select(*columns)
 
-    def _write(self, name: str, df: DataFrame, path: str, mode: str, dynamic: bool = False) -> None:
+    def _write(self, name: str, df: DataFrame, path: str, mode: str, dynamic: bool = False) -> int:
+        """Write in the table's layout; the number of rows comes from the write itself."""
         _, parts = self.tables[name]
         df = self._shaped(name, df)
         if DATE_PART in parts:
             # Whole files per partition: AQE splits a busy one and merges quiet ones.
             df = df.hint("rebalance", DATE_PART).sortWithinPartitions(DATE_PART, "date_key")
-        writer = df.write.mode(mode)
+        counted = Observation()
+        writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(mode)
         if dynamic:
             writer = writer.option("partitionOverwriteMode", "dynamic")
         if parts:
             writer = writer.partitionBy(*parts)
         writer.parquet(path)
+        return counted.get.get("rows", 0)
 
     # Reading
 
@@ -139,7 +183,7 @@ class Lake:
         schema, parts = self.tables[name]
         if DATE_PART in parts:
             schema = StructType([*schema.fields]).add(DATE_PART, "date")
-        if name not in self._current:
+        if self._state(name) is None:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self._current[name][1])
 
@@ -152,80 +196,141 @@ class Lake:
             df = df.where((part <= self._date_part(F.lit(end))) & (day <= F.lit(end)))
         return df.drop(DATE_PART)
 
+    def rows(self, name: str) -> int:
+        """Rows of a table: counted by the writes of this lake, else by a read."""
+        if name not in self._rows:
+            self._rows[name] = self.read(name).count()
+        return self._rows[name]
+
     # Writing
 
-    def replace(self, name: str, df: DataFrame) -> None:
+    def replace(self, name: str, df: DataFrame, source: str | None = None, batch: int | None = None) -> None:
         """Truncate and insert. ``df`` may read the table it replaces."""
-        self.mark_loads(name, self._cleansed.get(name, ()), cleansed=False)
         version, path = self._next(name)
-        self._write(name, df, path, "error")
-        self._commit(name, version, path)
+        rows = self._write(name, df, path, "error")
+        self._commit(name, version, path, source, batch)
+        self._rows[name] = rows
 
     def reset(self, *names: str) -> None:
         for name in names:
             self.replace(name, self.spark.createDataFrame([], self.tables[name][0]))
 
-    def append(self, name: str, df: DataFrame) -> None:
-        if name in self._current:
-            self._write(name, df, self._current[name][1], "append")
-        else:
-            self.replace(name, df)
-
-    def replace_load(self, name: str, df: DataFrame, load_id: int) -> None:
-        """Overwrite one load's partition, also with no rows; a replay gives the same state."""
+    def append(self, name: str, df: DataFrame, days: list[date] | None = None) -> None:
+        """Add rows. ``days`` are dates the table has no rows of yet; named, they are all or not at all there."""
+        if self._state(name) is None:
+            return self.replace(name, df)
+        before = self._rows.pop(name, None)
+        intent = self._intend(name, None, [], days) if days else None
+        rows = self._write(name, df, self._current[name][1], "append")
+        if intent:
+            self._fulfilled(name, intent)
+        if before is not None:
+            self._rows[name] = before + rows
+
+    def replace_load(self, name: str, df: DataFrame, load_id: int, claimed: bool = False) -> int:
+        """Overwrite one load's partition, also with no rows; a replay gives the same state.
+
+        Without ``claimed`` the id must be free or have been given before. Returns the rows written.
+        """
+        if not claimed:
+            self._claim_given(name, load_id)
         self.mark_loads(name, [load_id], cleansed=False)
-        self._write_load(name, df, load_id)
+        self._rows.pop(name, None)
+        return self._write_load(name, df, load_id)
 
-    def _write_load(self, name: str, df: DataFrame, load_id: int) -> None:
-        leaf = f"{self._path(name)}/_load_id={load_id}"
-        rows = self._shaped(name, df.withColumn("_load_id", F.lit(load_id)))
-        rows.drop("_load_id").write.mode("overwrite").parquet(leaf)
+    def _write_load(self, name: str, df: DataFrame, load_id: int) -> int:
+        rows = self._shaped(name, df.withColumn("_load_id", F.lit(load_id))).drop("_load_id")
+        counted = Observation()
+        rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+        rows.write.mode("overwrite").parquet(f"{self._path(name)}/_load_id={load_id}")
+        return counted.get.get("rows", 0)
 
     def replace_loads(self, name: str, df: DataFrame, load_ids: list[int]) -> None:
         """Overwrite the partitions of these loads with ``df``, emptying those it has no rows of.
 
-        ``df`` may read the table. It is written to the shared folder first, and
-        that copy stays, so a driver lost during the overwrite can repeat it.
+        ``df`` may read the table.
         """
-        path = self._path(name)
-        rows = self._settled(df)
-        present = {row._load_id for row in rows.select("_load_id").distinct().collect()}
-        self._write(name, rows, path, "overwrite", dynamic=True)
-        for load_id in sorted(set(load_ids) - present):
-            self._write_load(name, rows.limit(0), load_id)
+        settled = self._settle(self._shaped(name, df))
+        held = self._read_settled(name, settled).select("_load_id").distinct()
+        present = {row._load_id for row in held.collect()}
+        self._overwrite(name, settled, [f"_load_id={n}" for n in sorted(set(load_ids) - present)])
 
     def replace_date(self, name: str, df: DataFrame, day: date) -> None:
         """Delete one date and insert its rows, also if there are none.
 
         The other dates of the partition are carried over; with grain "day" there are none.
         """
-        wanted = df.where(F.col("date_key") == F.lit(day))
-        if self.date_grain == "day":
-            first = day
-        else:
-            first = day.replace(day=1) if self.date_grain == "month" else day.replace(month=1, day=1)
-            others = (F.col(DATE_PART) == F.lit(first)) & (F.col("date_key") != F.lit(day))
-            wanted = wanted.unionByName(self._stored(name).where(others).select(*wanted.columns))
-        rows = self._settled(self._shaped(name, wanted)).drop(DATE_PART).sortWithinPartitions("date_key")
-        rows.write.mode("overwrite").parquet(f"{self._path(name)}/{DATE_PART}={first}")
+        self._replace_days(name, df.where(F.col("date_key") == F.lit(day)), self._one_day(day))
 
     def replace_dates(self, name: str, df: DataFrame) -> None:
         """Replace exactly the dates ``df`` holds, rewriting only the partitions they lie in."""
-        path = self._path(name)
-        df = self._settled(df)
-        # Sets of dates are small by their type, so both joins broadcast.
-        dates = df.select("date_key").distinct()
-        parts = dates.select(self._date_part(F.col("date_key")).alias(DATE_PART)).distinct()
-        kept = (
-            self._stored(name)
-            .join(F.broadcast(parts), DATE_PART, "left_semi")
-            .join(F.broadcast(dates), "date_key", "left_anti")
-            .select(*df.columns)
-        )
-        self._write(name, self._settled(df.unionByName(kept)), path, "overwrite", dynamic=True)
-
-    def _settled(self, df: DataFrame) -> DataFrame:
+        settled = new_dir(self.spark, "dates")
+        df.write.parquet(settled)
+        rows = self.spark.read.schema(df.schema).parquet(settled)
+        self._replace_days(name, rows, rows.select("date_key").distinct())
+        remove(self.spark, settled)
+
+    def _one_day(self, *days: date) -> DataFrame:
+        return self.spark.createDataFrame([(d,) for d in days], "date_key date")
+
+    def _replace_days(self, name: str, df: DataFrame, days: DataFrame) -> None:
+        """Overwrite the partitions of ``days`` with ``df`` and the other dates that lie there."""
+        self._path(name)
+        # Sets of dates are bounded by their type, so both joins may broadcast.
+        parts = days.select(self._date_part(F.col("date_key")).alias(DATE_PART)).distinct()
+        touched = [row[0] for row in parts.collect()]
+        kept = self._stored(name).where(F.col(DATE_PART).isin(touched)).join(F.broadcast(days), "date_key", "left_anti")
+        columns = self.tables[name][0].fieldNames()
+        settled = self._settle(self._shaped(name, df.select(*columns).unionByName(kept.select(*columns))))
+        held = self._read_settled(name, settled).select(DATE_PART).distinct()
+        present = {row[0] for row in held.collect()}
+        self._overwrite(name, settled, [f"{DATE_PART}={d}" for d in sorted(set(touched) - present)])
+
+    # Overwriting in place
+
+    def _settle(self, shaped: DataFrame) -> str:
         """Write first what is about to overwrite its own source."""
         path = new_dir(self.spark, "overwrite")
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        shaped.write.parquet(path)
+        return path
+
+    def _read_settled(self, name: str, path: str) -> DataFrame:
+        schema, parts = self.tables[name]
+        if DATE_PART in parts:
+            schema = StructType([*schema.fields]).add(DATE_PART, "date")
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _overwrite(self, name: str, settled: str, emptied: list[str]) -> None:
+        """Put settled rows in the place of the partitions they belong to, and empty others."""
+        self._path(name)
+        self._rows.pop(name, None)
+        intent = self._intend(name, settled, emptied, None)
+        self._put(name, settled, emptied)
+        self._fulfilled(name, intent)
+        remove(self.spark, settled)
+
+    def _put(self, name: str, settled: str, emptied: list[str]) -> None:
+        """The same state however often it is done."""
+        path, rows = self._current[name][1], self._read_settled(name, settled)
+        self._write(name, rows, path, "overwrite", dynamic=True)
+        for leaf in emptied:
+            rows.drop(*self.tables[name][1]).limit(0).write.mode("overwrite").parquet(f"{path}/{leaf}")
+
+    def _intend(self, name: str, settled: str | None, emptied: list[str], days: list[date] | None) -> str:
+        intent = uuid4().hex
+        self._append_log("intents", name, _INTENTS, [(intent, settled, emptied, days or [], True)])
+        return intent
+
+    def _fulfilled(self, name: str, intent: str) -> None:
+        self._append_log("intents", name, _INTENTS, [(intent, None, [], [], False)])
+
+    def _recover(self, name: str) -> None:
+        """Finish an overwrite, or take out the dates of an append, that a lost driver left open."""
+        log = self._log("intents", name, _INTENTS)
+        closed = log.where("NOT is_open").select("intent")
+        for left in log.where("is_open").join(closed, "intent", "left_anti").collect():
+            if left.path:
+                self._put(name, left.path, left.leaves)
+            else:
+                self._replace_days(name, self.read(name).limit(0), self._one_day(*left.days))
+            self._fulfilled(name, left.intent)

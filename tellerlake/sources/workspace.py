@@ -2,32 +2,29 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
-_local_root: str | None = None
-
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Only a local session without that
-    setting gets a temporary folder; a cluster without it is an error, since no
-    machine-local folder is visible to all executors."""
-    global _local_root
+    """The folder named by spark.checkpoint.dir. A local session without that setting
+    uses its warehouse folder; a cluster without it is an error, since the folder
+    must be one that all executors share."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="tellerlake-")
-        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
-    return _local_root
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        named = spark.conf.get("spark.sql.warehouse.dir")
+    return named.rstrip("/")
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     return f"{shared_root(spark)}/tellerlake/{label}-{uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that is not needed any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -83,3 +83,29 @@ def test_only_new_files_are_read(spark, tmp_path):
     assert [r.account_id for r in rows.collect()] == ["A2", "A2"]
     rows, none = files.read_new_csv(spark, f"{tmp_path}/in", ACCOUNT_FILE, loaded.union(more))
     assert rows.count() == 0 and none.count() == 0
+
+
+def test_line_breaks_inside_quotes_stay_in_their_field(spark, tmp_path):
+    path = write(tmp_path / "x.csv", 'a,b\nT1,"two\nlines"\nT2,ok\n')
+    schema = StructType([StructField(c, StringType()) for c in "ab"])
+    assert [tuple(r) for r in files.read_csv(spark, path, schema).collect()] == [("T1", "two\nlines"), ("T2", "ok")]
+    assert files.read_csv(spark, path, schema, multi_line=False).count() == 3
+
+
+@pytest.mark.parametrize("bad", [",A1,2024-02-28 00:00:00", "T2,,2024-02-28 00:00:00", "T2,A1,"])
+def test_a_row_without_a_required_value_aborts(spark, tmp_path, bad):
+    path = write(tmp_path / "t.csv", f"a,b,c,d,e,f\nT1,A1,2024-02-28 00:00:00,Fee,1.00,x\n{bad},Fee,1.00,x\n")
+    with pytest.raises(PySparkException, match="cannot load a row without"):
+        files.read_csv(spark, path, TRANSACTION_FILE).write.parquet(f"{tmp_path}/out")
+
+
+def test_only_files_not_loaded_yet_are_read(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write(folder / "one.csv", "a,b,c\n1,x,y\n")
+    log = files.list_files(spark, str(folder)).select("path")
+    known = spark.createDataFrame(log.collect(), log.schema)
+    write(folder / "TWO.TXT", "a,b,c\n2,x,y\n")
+    rows, entries = files.read_new_csv(spark, str(folder), ABC, known)
+    assert [r.a for r in rows.collect()] == ["2"]
+    assert [r.path.rpartition("/")[2] for r in entries.collect()] == ["TWO.TXT"]

@@ -1,14 +1,17 @@
 from datetime import date, datetime
 from decimal import Decimal
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tellerlake.operators import snapshots
-from tellerlake.operators.joins import checked_broadcast
+from tellerlake.operators.joins import written
 from tellerlake.plans import daily
 from tellerlake.schemas import FACT_TRANSACTION
+from tellerlake.sources import lake as lake_module
 from tellerlake.sources.lake import Lake
 from tellerlake.sources import workspace
 
@@ -134,12 +137,17 @@ def test_a_load_emptied_by_a_later_one(spark, tmp_path):
     assert [(r.account_id, r._load_id) for r in lake.read(name).collect()] == [("a", 2)]
 
 
-def test_broadcast_only_below_the_bound(spark):
-    df = spark.range(10)
-    small, is_small = checked_broadcast(df, "t", max_rows=10)
-    large, is_large_small = checked_broadcast(df, "t", max_rows=9)
-    assert is_small and not is_large_small and large.count() == 10
-    assert "hint" in small._jdf.queryExecution().logical().toString().lower()
+def test_bytes_decide_whether_a_written_side_is_broadcast(spark):
+    """No hint and no row count: the plan follows the size of the written table."""
+    side = written(spark.range(1000).withColumnRenamed("id", "k"), "t")
+    large = spark.range(10_000_000).withColumn("k", F.col("id"))
+    name, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plans = []
+    for threshold in ("10m", "100"):
+        spark.conf.set(name, threshold)
+        plans.append(large.join(side, "k")._jdf.queryExecution().sparkPlan().toString())
+    spark.conf.set(name, before)
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" in plans[1]
 
 
 def fake_session(master, **settings):
@@ -154,3 +162,77 @@ def test_shared_folder_comes_from_the_session():
     assert path.startswith("hdfs:///shared/tellerlake/x-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.new_dir(fake_session("spark://host:7077"), "x")
+    local = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, *default: {"spark.sql.warehouse.dir": "file:/w"}.get(key, *default)),
+        sparkContext=SimpleNamespace(master="local[2]"),
+    )
+    assert workspace.new_dir(local, "x").startswith("file:/w/tellerlake/x-")
+
+
+def test_an_unfinished_overwrite_is_done_again(spark, tmp_path, monkeypatch):
+    """The driver is lost after a part of the partitions has been replaced."""
+    lake, name = Lake(spark, str(tmp_path)), "bronze/t_account"
+    for load_id in (1, 2, 3):
+        lake.replace_load(name, accounts(spark, load_id, "a", "b"), load_id)
+
+    def lost(self, name, settled, emptied):
+        rows = self._read_settled(name, settled).where("_load_id = 1")
+        self._write(name, rows, self._current[name][1], "overwrite", dynamic=True)
+        raise ConnectionError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Lake, "_put", lost)
+        with pytest.raises(ConnectionError):
+            lake.replace_loads(name, lake.read(name).where("_load_id < 3 AND account_id = 'b'"), [1, 2, 3])
+    for _ in range(2):
+        got = sorted((r.account_id, r._load_id) for r in Lake(spark, str(tmp_path)).read(name).collect())
+        assert got == [("b", 1), ("b", 2)]
+
+
+def test_an_unfinished_append_is_taken_out_and_loaded_whole(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path))
+    lake.append(FACT, fact(spark, D[0], D[2]))
+
+    def lost(self, name, df, path, mode, dynamic=False, write=Lake._write):
+        write(self, name, df.where(F.col("date_key") == F.lit(D[1])).limit(1), path, mode, dynamic)
+        raise ConnectionError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Lake, "_write", lost)
+        with pytest.raises(ConnectionError):
+            lake.append(FACT, fact(spark, D[1], D[1]), [D[1]])
+    again = Lake(spark, str(tmp_path))
+    assert dates(again) == [(D[0], 1), (D[2], 1)]
+    again.append(FACT, fact(spark, D[1], D[1]), [D[1]])
+    assert dates(Lake(spark, str(tmp_path))) == [(D[0], 1), (D[1], 2), (D[2], 1)]
+
+
+def test_settled_rows_are_removed_after_the_overwrite(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.append(FACT, fact(spark, *D))
+    made = []
+    new_dir = lake_module.new_dir
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(lake_module, "new_dir", lambda *a: made.append(new_dir(*a)) or made[-1])
+        lake.replace_dates(FACT, fact(spark, D[0], D[0]))
+    assert made and not any(Path(p.removeprefix("file:")).exists() for p in made)
+    assert dates(lake) == [(D[0], 2), (D[1], 1), (D[2], 1)]
+
+
+def test_tables_are_created_side_by_side(spark, tmp_path):
+    names = ["bronze/t_customer", "bronze/t_account", "bronze/t_transaction"]
+    for k in range(20):
+        lake = Lake(spark, f"{tmp_path}/{k}")
+        with ThreadPoolExecutor(3) as pool:
+            list(pool.map(lake.version, names))
+        again = Lake(spark, f"{tmp_path}/{k}")
+        assert [again._state(name)[0] for name in names] == [1, 1, 1]
+
+
+def test_rows_are_counted_by_the_writes(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.replace(FACT, fact(spark, *D))
+    lake.append(FACT, fact(spark, D[0]))
+    assert lake._rows[FACT] == 4 == lake.read(FACT).count()
+    lake.replace_date(FACT, fact(spark, D[0]).limit(0), D[0])
+    assert lake.rows(FACT) == 2

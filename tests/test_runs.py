@@ -1,5 +1,8 @@
 """Whole runs over two small deliveries with known counts."""
 
+import gzip
+import os
+import time
 from datetime import date, datetime
 
 import pytest
@@ -9,7 +12,7 @@ from tellerlake.operators import dimensions, load_stats
 from tellerlake.plans import daily
 from tellerlake.schemas import CUSTOMER_FILE, DIM_ACCOUNT
 from tellerlake.sources.lake import Lake
-from tellerlake.streaming.dimension_feed import follow_customers
+from tellerlake.streaming.dimension_feed import apply_customers, follow_customers
 from tellerlake.streaming.file_ingest import csv_stream, ingest
 
 DAY1, DAY2 = date(2024, 1, 1), date(2024, 1, 2)
@@ -131,6 +134,8 @@ def test_running_again_changes_nothing(loaded):
     root, lake, _, _ = loaded
     before = counts(lake)
     assert ingest(lake, "bronze/t_customer", f"{root}/in/customer", f"{root}/cp/customer") == 0
+    # Another progress folder knows no file, but the table does.
+    assert ingest(lake, "bronze/t_customer", f"{root}/in/customer", f"{root}/cp/other") == 0
     daily.daily_run(lake, date(2024, 1, 3), lambda: datetime(2024, 1, 3))
     assert counts(lake) == before
 
@@ -208,3 +213,86 @@ def test_dimension_follows_a_stream(spark, tmp_path):
     arrive(tmp_path / "in", "increment", INCREMENT)
     assert follow(DAY2).count() == 30
     assert follow(DAY2).count() == 30
+
+
+def rows(table):
+    return sorted(map(str, table.drop("_loaded_at").collect()))
+
+
+def lines_of(path, *lines):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join([",".join("abcdefghi"), *lines]) + "\n")
+
+
+def test_old_files_and_other_names_are_loaded(spark, tmp_path):
+    lake, folder = Lake(spark, f"{tmp_path}/lake"), tmp_path / "in"
+    lines_of(folder / "new.csv", customer(1, "Toronto"))
+    assert ingest(lake, "bronze/t_customer", str(folder), f"{tmp_path}/cp") == 1
+    lines_of(folder / "old.csv", customer(2, "Toronto"))
+    month_ago = time.time() - 30 * 86_400
+    os.utime(folder / "old.csv", (month_ago, month_ago))
+    lines_of(folder / "LOUD.CSV", customer(3, "Toronto"))
+    lines_of(folder / "below" / "plain.txt", customer(4, "Toronto"))
+    with gzip.open(folder / "packed.csv.gz", "wt") as packed:
+        packed.write("header\n" + customer(5, "Toronto") + "\n")
+    assert ingest(lake, "bronze/t_customer", str(folder), f"{tmp_path}/cp") == 4
+    assert lake.read("bronze/t_customer").count() == 5
+
+
+def test_two_folders_and_two_progress_folders_share_a_table(spark, tmp_path):
+    lake = Lake(spark, f"{tmp_path}/lake")
+    lines_of(tmp_path / "a" / "x.csv", customer(1, "Toronto"), customer(2, "Toronto"))
+    lines_of(tmp_path / "b" / "x.csv", customer(3, "Toronto"))
+    assert ingest(lake, "bronze/t_customer", f"{tmp_path}/a", f"{tmp_path}/cpa") == 2
+    assert ingest(lake, "bronze/t_customer", f"{tmp_path}/b", f"{tmp_path}/cpb") == 1
+    assert sorted(r._load_id for r in lake.read("bronze/t_customer").collect()) == [1, 1, 2]
+    one = lake.read("bronze/t_customer").limit(1)
+    with pytest.raises(ValueError, match="belongs to"):
+        daily.from_tables({"t_customer": one}, 1, datetime(2024, 1, 1))(lake)
+
+
+def test_history_can_be_run_again(spark, tmp_path):
+    arrive(tmp_path / "in", "history", HISTORY)
+    lake = Lake(spark, f"{tmp_path}/lake")
+    results = []
+    for _ in range(2):
+        load = daily.from_csv_folders(f"{tmp_path}/in", f"{tmp_path}/cp", lambda: datetime(2024, 1, 1))
+        daily.historical_run(lake, load, DAY1, lambda: datetime(2024, 1, 1))
+        results.append({name: rows(lake.read(name).drop("customer_key")) for name in [*daily.LOADED, *daily.BUILT]})
+    assert results[0] == results[1] and len(results[0]["bronze/t_customer"]) == 20
+
+
+def test_the_row_count_is_exact_however_many_batches(spark, tmp_path):
+    for n in range(12):
+        lines_of(tmp_path / "in" / f"{n}.csv", customer(n, "Toronto"))
+    lake = Lake(spark, f"{tmp_path}/lake")
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        assert ingest(lake, "bronze/t_customer", f"{tmp_path}/in", f"{tmp_path}/cp", files_per_batch=1) == 12
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    versions = [("C1", "F", "L", "e", "p", "Old", "ON", "CA", datetime(2020, 1, 1)), ("C1", "F", "L", "e", "p", "New", "ON", "CA", datetime(2021, 1, 1))]
+    batch = spark.createDataFrame(versions, CUSTOMER_FILE)
+    for _ in range(2):
+        apply_customers(lake, batch, 0, "stream", DAY1)
+        table = lake.read("silver/dim_customer")
+        assert [(r.city, r.current_flag) for r in table.collect()] == [("New", "Y")]
+    apply_customers(lake, batch.where("city = 'Old'"), 1, "stream", DAY2)
+    current = dimensions.current_versions(lake.read("silver/dim_customer"))
+    assert [r.city for r in current.collect()] == ["Old"] and lake.read("silver/dim_customer").count() == 2
+
+
+def test_deliveries_without_required_values_fail(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    bad_key = spark.createDataFrame([("A1", "C1")], "acount_id string, customer_id string")
+    with pytest.raises(ValueError, match="account_id"):
+        daily.from_tables({"t_account": bad_key}, 1, datetime(2024, 1, 1))(lake)
+    undated = spark.createDataFrame([("T1", "A1", None)], "transaction_id string, account_id string, transaction_date timestamp_ntz")
+    with pytest.raises(Exception, match="without transaction_date"):
+        daily.from_tables({"t_transaction": undated}, 1, datetime(2024, 1, 1))(lake)
+    assert lake.read("bronze/t_transaction").count() == 0
