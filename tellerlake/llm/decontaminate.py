@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake.llm.words import alnum_words
-from tellerlake.operators.joins import settle
+from tellerlake.operators.joins import written
 
 #: Bytes of benchmark text in one broadcast.
 BLOCK_BYTES = 32 << 20
@@ -133,7 +133,7 @@ def find(
             continue
         # Written down between blocks, so that a job needs one broadcast only.
         before, after = F.col(f"`{out}`"), F.col("`__hits`")
-        docs = settle(docs, "decontaminate")[0].withColumn("__hits", scan(column))
+        docs = written(docs, "decontaminate").withColumn("__hits", scan(column))
         both = [F.array_sort(F.array_union(before[k], after[k])).alias(k) for k in ("words", "items")]
         docs = docs.withColumn(out, F.struct(before["n_words"].alias("n_words"), *both)).drop("__hits")
     return docs

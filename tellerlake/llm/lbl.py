@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake.llm.words import spaced_words
-from tellerlake.operators.joins import on_hot_key, settle
+from tellerlake.operators.joins import on_hot_key, written
 
 CLASSES = 1024
 SPELLINGS = 256
@@ -180,7 +180,7 @@ class Model:
 def count_words(training: DataFrame, text: str) -> DataFrame:
     """(word, n) over all texts, the end token included; settled."""
     counted = training.select(F.col(f"`{text}`").alias("text")).mapInArrow(_counts, "word binary, n long")
-    return settle(counted.groupBy("word").agg(F.sum("n").alias("n")), "lbl-counts")[0]
+    return written(counted.groupBy("word").agg(F.sum("n").alias("n")), "lbl-counts")
 
 
 def train(training: DataFrame, counts: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[dict, dict]:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tellerlake.operators.joins import on_hot_key, settle
+from tellerlake.operators.joins import on_hot_key, written
 
 ALPHA, DELTA = 0.05, 0.05
 STRATA = 64
@@ -163,7 +163,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, id: str = "doc_id", label: s
     known = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{id}`").isNotNull())
     good = known.groupBy(F.col(f"`{id}`").alias("__labelled")).agg(F.avg(f"`{label}`").alias("__good")).where("__good >= 0.5")
     held = measured.join(good, on_hot_key(id, "__labelled")).groupBy("stratum", "passed").agg(F.count("*").alias("n"))
-    held, _ = settle(held, "rules-held")
+    held = written(held, "rules-held")
     sizes = held.groupBy("stratum").agg(F.sum("n").alias("size"))
     large = sizes.orderBy(F.desc("size"), "stratum").limit(STRATA).select(F.col("stratum").alias("large"))
     named = held.join(F.broadcast(large), F.col("stratum").eqNullSafe(F.col("large")), "left")
@@ -189,9 +189,9 @@ def judge(
     """Per row of ``docs``: its id, counts, ``base_failed`` and ``kept``."""
     columns = [F.col(f"`{id}`").alias(id), F.coalesce(F.col(f"`{stratum}`").cast("string"), F.lit("")).alias("stratum")]
     measured = measure(docs.select(*columns, F.col(f"`{text}`").alias("__body")), "__body")
-    measured, _ = settle(measured.withColumn("passed", strictest_passed()), "rules-measured")
+    measured = written(measured.withColumn("passed", strictest_passed()), "rules-measured")
     allowed = cutoffs(measured, labels, id, label).select(F.col("stratum").alias("__stratum"), "level")
-    allowed, _ = settle(allowed, "rules-cutoffs")
+    allowed = written(allowed, "rules-cutoffs")
     # At most STRATA + 1 rows; the one without a name is for all other strata.
     own = F.broadcast(allowed.where("__stratum IS NOT NULL"))
     rest = allowed.where("__stratum IS NULL").agg(F.coalesce(F.max("level"), F.lit(0))).first()[0]

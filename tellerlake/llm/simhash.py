@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tellerlake.llm.golay import Golay
 from tellerlake.llm.words import spaced_words
-from tellerlake.operators.joins import on_hot_key, settle
+from tellerlake.operators.joins import on_hot_key, written
 
 SHINGLE = 4
 SEED = 42
@@ -159,10 +159,10 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
             )
         return kept.where(F.col("a") != F.col("b")).distinct()
 
-    edges, _ = settle(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
+    edges = written(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
     before = state(edges)
     while before[0]:
-        edges, _ = settle(star(star(edges, True), False), label)
+        edges = written(star(star(edges, True), False), label)
         now = state(edges)
         if now == before:
             break
@@ -175,22 +175,22 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
 def classes(nodes: DataFrame) -> DataFrame:
     """(node, root) of the fingerprints in ``nodes`` that link to another one; the root is the smallest of the class."""
     keys = nodes.select("node").mapInArrow(_emit_keys, "key long, node long")
-    keys, _ = settle(keys, "simhash-keys")
+    keys = written(keys, "simhash-keys")
     span = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     shared = keys.join(span.withColumnRenamed("key", "shared"), on_hot_key("key", "shared"))
-    shared, _ = settle(shared.select("key", "node", "low", "high"), "simhash-shared")
+    shared = written(shared.select("key", "node", "low", "high"), "simhash-shared")
     stars = [
         shared.where((F.col("node") != F.col(end)) & _near("node", end)).select(F.col("node").alias("a"), F.col(end).alias("b"))
         for end in ("low", "high")
     ]
-    first, _ = settle(components(stars[0].union(stars[1]).distinct(), "simhash-stars"), "simhash-first")
+    first = written(components(stars[0].union(stars[1]).distinct(), "simhash-stars"), "simhash-first")
     labelled = shared.select("key", F.col("node").alias("fp")).join(first, on_hot_key("fp", "node"), "left")
     labelled = labelled.select("key", "fp", F.coalesce("root", "fp").alias("root"))
-    labelled, _ = settle(labelled, "simhash-labelled")
+    labelled = written(labelled, "simhash-labelled")
     mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     mixed = mixed.select(F.col("key").alias("mixed"))
     left = labelled.join(mixed, on_hot_key("key", "mixed"), "left_semi")
-    left, _ = settle(left, "simhash-mixed")
+    left = written(left, "simhash-mixed")
     right = left.select(F.col("key").alias("key2"), F.col("fp").alias("fp2"), F.col("root").alias("root2"))
     crossing = left.join(right, on_hot_key("key", "key2") & (F.col("root") < F.col("root2")) & _near("fp", "fp2"))
     links = crossing.select(F.col("root").alias("a"), F.col("root2").alias("b"))
@@ -206,11 +206,11 @@ def classes(nodes: DataFrame) -> DataFrame:
 def _placed(docs: DataFrame, id: str, text: str, shingle: int) -> tuple[DataFrame, DataFrame]:
     """Rows (id, fp), and per fingerprint (node) the root and the smallest id of its class."""
     rows = fingerprints(docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")), out="fp", shingle=shingle)
-    rows, _ = settle(rows.select("id", "fp"), "simhash-fingerprints")
-    nodes, _ = settle(rows.groupBy(F.col("fp").alias("node")).agg(F.min("id").alias("least")), "simhash-nodes")
+    rows = written(rows.select("id", "fp"), "simhash-fingerprints")
+    nodes = written(rows.groupBy(F.col("fp").alias("node")).agg(F.min("id").alias("least")), "simhash-nodes")
     roots = classes(nodes).select(F.col("node").alias("linked"), "root")
     placed = nodes.join(roots, on_hot_key("node", "linked"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    placed, _ = settle(placed, "simhash-placed")
+    placed = written(placed, "simhash-placed")
     smallest = placed.groupBy(F.col("root").alias("class")).agg(F.min("least").alias("component_id"))
     return rows, placed.join(smallest, on_hot_key("root", "class")).select("node", "root", "component_id")
 
@@ -227,9 +227,9 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: i
     Of rows that repeat that id one stays; of a class without any id, one row.
     """
     rows, named = _placed(docs, id, text, shingle)
-    named, _ = settle(named, "simhash-named")
+    named = written(named, "simhash-named")
     own = rows.join(named, on_hot_key("fp", "node")).where("id = component_id")
-    ids, _ = settle(own.groupBy(F.col("id").alias("__kept")).agg(F.count("*").alias("__rows")), "simhash-kept")
+    ids = written(own.groupBy(F.col("id").alias("__kept")).agg(F.count("*").alias("__rows")), "simhash-kept")
     kept = docs.join(ids, F.col(f"`{id}`") == F.col("__kept"))
     single = kept.where("__rows = 1").select(docs.columns)
     repeated = kept.where("__rows > 1").dropDuplicates(["__kept"]).select(docs.columns)

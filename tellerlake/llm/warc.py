@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.operators.joins import on_hot_key, settle
+from tellerlake.operators.joins import on_hot_key, written
 from tellerlake.sources.workspace import new_dir
 
 MIN_REVISIT = 100
@@ -201,7 +201,7 @@ def write(records: DataFrame, path: str) -> None:
     large = records.where(F.col("payload_bytes") >= MIN_REVISIT)
     shared = large.groupBy(F.col("payload_digest").alias("digest"))
     shared = shared.agg(F.min("page_id").alias("response"), F.count("*").alias("n")).where("n > 1").drop("n")
-    shared, _ = settle(shared, "warc-shared")
+    shared = written(shared, "warc-shared")
     placed = records.join(shared, on_hot_key("payload_digest", "digest"), "left")
     made = F.arrow_udf(run, "string")("page_id", "target", "ip", "date", "block", "payload_at", "payload_digest", "response")
     placed.select(made.alias("record")).hint("rebalance").write.option("lineSep", END_OF_RECORD).text(path)
