@@ -45,7 +45,7 @@ WORDS = CLASSES - SPELLINGS - 1
 WIDTH = 16
 ROUNDS = 3
 BATCH, NOISE, RATE = 256, 64, 0.05
-LEXICON, LEXICON_BYTES = 200_000, 64
+LEXICON, LEXICON_BYTES = 100_000, 64
 #: Distinct words that a task counts before it hands them on, and tokens it trains on at a time.
 COUNTED = 300_000
 TRAINED = 1 << 18
@@ -183,11 +183,32 @@ def count_words(training: DataFrame, text: str) -> DataFrame:
     return written(counted.groupBy("word").agg(F.sum("n").alias("n")), "lbl-counts")
 
 
+def most_frequent(counts: DataFrame) -> list[tuple[bytes, int]]:
+    """At most LEXICON words with their counts, by count and then word.
+
+    A histogram over the logarithm of the count, of a few thousand rows at any
+    size, gives the count from which on the words are few enough; so only these
+    words come to the driver, and no task sends a candidate list of its own.
+    """
+    step = F.floor(F.log2("n") * 64)
+    known = counts.where(F.octet_length("word") <= LEXICON_BYTES).withColumn("step", step)
+    sizes = {r["step"]: r["count"] for r in known.groupBy("step").count().collect()}
+    lowest, size = None, 0
+    for at in sorted(sizes, reverse=True):
+        size += sizes[at]
+        if size > LEXICON:
+            break
+        lowest = at
+    if lowest is None:
+        return []
+    found = known.where(F.col("step") >= lowest).select("word", "n").toArrow()
+    return sorted(zip(found["word"].to_pylist(), found["n"].to_pylist()), key=lambda x: (-x[1], x[0]))
+
+
 def train(training: DataFrame, counts: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[dict, dict]:
-    """The model as plain data, and the lexicon: word to (number, count)."""
-    top = counts.where(F.octet_length("word") <= LEXICON_BYTES).orderBy(F.desc("n"), "word").limit(LEXICON).collect()
-    words = [bytes(r.word) for r in top]
-    numbers = {w: k + 1 for k, w in enumerate(words[:WORDS])}
+    """The model as plain data, and the lexicon: word to count."""
+    top = most_frequent(counts)
+    numbers = {w: k + 1 for k, (w, _) in enumerate(top[:WORDS])}
     own = training.sparkSession.createDataFrame([(bytearray(w), True) for w in numbers], "own binary, is_class boolean")
     spelled = F.pmod(F.crc32(F.substring("word", 1, 2)), F.lit(SPELLINGS)) + (CLASSES - SPELLINGS)
     # The classes' words have a fixed bound: WORDS words of LEXICON_BYTES.
@@ -199,13 +220,13 @@ def train(training: DataFrame, counts: DataFrame, id: str = "doc_id", text: str
         if r["class"]:
             class_total[r["class"]], class_distinct[r["class"]] = r.n, r.v
     share = class_total.copy()
-    share[1 : len(numbers) + 1] = [r.n for r in top[:WORDS]]
+    share[1 : len(numbers) + 1] = [n for _, n in top[:WORDS]]
     parameters = Parameters((share + 0.5) / (share + 0.5).sum())
     for part in range(ROUNDS if total else 0):
         chosen = training.where(F.pmod(F.xxhash64(f"`{id}`"), F.lit(ROUNDS)) == part)
         parameters = _round(chosen.select(F.col(f"`{text}`").alias("text")), numbers, parameters, part)
     model = Model(numbers, total, distinct, class_total, class_distinct, parameters)
-    return vars(model), {w: (k, r.n) for k, (w, r) in enumerate(zip(words, top))}
+    return vars(model), dict(top)
 
 
 def _round(texts: DataFrame, numbers: dict, parameters: Parameters, part: int) -> Parameters:
@@ -277,9 +298,9 @@ def _scorer(model, lexicon):
         m, known = model.value, lexicon.value
         tables = Tables.__new__(Tables)
         tables.near, tables.far, tables.norm = m["near"], m["far"], m["norm"]
-        place = {w: k for w, (k, _) in known.items()}
+        place = {w: k for k, w in enumerate(known)}
         class_of = np.array([m["numbers"].get(w) or spelling(w) for w in known], np.int64)
-        counts = np.array([n for _, n in known.values()], float)
+        counts = np.array(list(known.values()), float)
         all_log = np.log10(m["total"] + 0.5 * (m["distinct"] + 1))
         class_log = np.log10(m["class_total"] + 0.5 * (m["class_distinct"] + 1))
         base_of = np.log10(counts + 0.5) - all_log
