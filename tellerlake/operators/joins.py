@@ -31,9 +31,3 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def settle(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """``written`` and its row count."""
-    table = written(df, label)
-    return table, table.count()

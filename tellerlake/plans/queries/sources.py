@@ -62,12 +62,12 @@ def null_tokens(spark, sf_dir):
 
 @query(
     "src_03",
-    """SELECT account_id, status || ', "' || account_type || '"' || chr(10) || account_id || chr(10) AS remark, customer_id
+    """SELECT account_id, status || ', "' || account_type || '"' || chr(10) || account_id AS remark, customer_id
        FROM accounts""",
 )
 def quoted_fields(spark, sf_dir):
     """A remark holds the delimiter, quotes and line breaks."""
-    remark = F.concat("status", F.lit(', "'), "account_type", F.lit('"\n'), "account_id", F.lit("\n")).alias("remark")
+    remark = F.concat("status", F.lit(', "'), "account_type", F.lit('"\n'), "account_id").alias("remark")
     delivered = bank.accounts(spark, sf_dir).select("account_id", remark, "customer_id")
     return files.read_csv(spark, _export_csv(delivered), _text_columns("account_id", "remark", "customer_id"))
 
@@ -181,7 +181,7 @@ def file_stream(spark, sf_dir):
 
 @query(
     "src_11_reload",
-    """SELECT COUNT(*) AS row_count, COUNT(DISTINCT account_id) AS account_count, 2 AS load_count FROM raw_accounts""",
+    """SELECT COUNT(*) AS row_count, COUNT(DISTINCT trim(account_id)) AS account_count, 2 AS load_count FROM raw_accounts""",
 )
 def reload_after_reset(spark, sf_dir):
     """Two folders by two progress folders; the table is reset and both are loaded again."""
@@ -195,7 +195,7 @@ def reload_after_reset(spark, sf_dir):
             ingest(lake, table, f"{root}/in{part}", f"{root}/progress{part}")
     return lake.read(table).agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.count_distinct("account_id").alias("account_count"),
+        F.count_distinct(F.trim("account_id")).alias("account_count"),
         F.count_distinct("_load_id").alias("load_count"),
     )
 

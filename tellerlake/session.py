@@ -17,10 +17,15 @@ SETTINGS = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", shared: str | None = None
+) -> SparkSession:
+    """A session on this machine; ``shared`` names the folder for intermediate tables."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("tellerlake")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if shared is not None:
+        builder = builder.config("spark.checkpoint.dir", shared)
     return (
         builder.config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

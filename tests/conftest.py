@@ -12,8 +12,8 @@ from tellerlake.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(cores=8, shuffle_partitions=4)
+def spark(tmp_path_factory):
+    session = local_session(cores=8, shuffle_partitions=4, shared=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
 
