@@ -59,14 +59,18 @@ class Lake:
 
     # Logs: one appended row set per change, folded when it is needed
 
-    def _log(self, log: str, name: str, schema: str) -> DataFrame:
+    def _parquet(self, path: str, schema: StructType | str) -> DataFrame:
+        """What is there, or no rows if nothing has been written yet."""
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{log}/{name}")
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _log(self, log: str, name: str, schema: str) -> DataFrame:
+        return self._parquet(f"{self.root}/{log}/{name}", schema)
+
     def _append_log(self, log: str, name: str, schema: str, rows: list[tuple]) -> None:
         entries = self.spark.createDataFrame(rows, schema).coalesce(1)
         entries.write.mode("append").parquet(f"{self.root}/{log}/{name}")
@@ -107,7 +111,8 @@ class Lake:
         self._append_log("loads", name, _LOADS, [(version, (highest or 0) + 1, source, batch)])
         return (highest or 0) + 1
 
-    def _claim_given(self, name: str, load_id: int) -> None:
+    def _claim_given(self, name: str, load_id: int) -> bool:
+        """Whether the load is new."""
         version = self.version(name)
         owner = self._log("loads", name, _LOADS).where((F.col("version") == version) & (F.col("load_id") == load_id))
         owner = owner.agg(F.max("source")).first()[0]
@@ -115,6 +120,7 @@ class Lake:
             self._append_log("loads", name, _LOADS, [(version, load_id, GIVEN, load_id)])
         elif owner != GIVEN:
             raise ValueError(f"load {load_id} of {name} belongs to {owner}")
+        return owner is None
 
     def loaded_files(self, name: str) -> DataFrame:
         """(path, load_id) of the files the current version holds."""
@@ -143,7 +149,7 @@ class Lake:
         return version, f"{self.root}/{name}/v{version:06d}-{uuid4().hex[:8]}"
 
     def _path(self, name: str) -> str:
-        """Current directory, created empty for a table not written yet."""
+        """Current directory; a table not written yet gets one."""
         if self._state(name) is None:
             self.reset(name)
         return self._current[name][1]
@@ -185,7 +191,7 @@ class Lake:
             schema = StructType([*schema.fields]).add(DATE_PART, "date")
         if self._state(name) is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self._current[name][1])
+        return self._parquet(self._current[name][1], schema)
 
     def read(self, name: str, start: date | None = None, end: date | None = None) -> DataFrame:
         """The current state, or of a dated table the dates from ``start`` to ``end``."""
@@ -212,8 +218,10 @@ class Lake:
         self._rows[name] = rows
 
     def reset(self, *names: str) -> None:
+        """Empty tables: a new version whose directory nothing has been written to."""
         for name in names:
-            self.replace(name, self.spark.createDataFrame([], self.tables[name][0]))
+            self._commit(name, *self._next(name))
+            self._rows[name] = 0
 
     def append(self, name: str, df: DataFrame, days: list[date] | None = None) -> None:
         """Add rows. ``days`` are dates the table has no rows of yet; named, they are all or not at all there."""
@@ -232,9 +240,8 @@ class Lake:
 
         Without ``claimed`` the id must be free or have been given before. Returns the rows written.
         """
-        if not claimed:
-            self._claim_given(name, load_id)
-        self.mark_loads(name, [load_id], cleansed=False)
+        if claimed or not self._claim_given(name, load_id):
+            self.mark_loads(name, [load_id], cleansed=False)
         self._rows.pop(name, None)
         return self._write_load(name, df, load_id)
 
