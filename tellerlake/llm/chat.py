@@ -142,11 +142,18 @@ def format_rows(rows: DataFrame, id: str = "conv_id") -> DataFrame:
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in LAYOUTS["rows"]["each"])
     number = F.col("turn").cast("long")
     key = F.col(f"`{id}`").alias(id)
-    turn = F.struct(F.coalesce(number, F.lit(-(2**63))).alias("number"), role.alias("role"), text.alias("text"), written(role, text).alias("out"))
+    first = F.lit(-(2**63))
+    turn = F.struct(
+        F.coalesce(number, first).alias("number"),
+        role.alias("role"),
+        text.alias("text"),
+        written(role, text).alias("out"),
+    )
     blocks = rows.select(key, F.floor(number / BLOCK_TURNS).alias("block"), turn.alias("turn")).groupBy(id, "block")
     joined = blocks.agg(F.sort_array(F.collect_list("turn")).alias("turns"))
-    joined = joined.select(id, F.struct(F.coalesce("block", F.lit(-(2**63))).alias("block"), F.array_join(F.col("turns.out"), "").alias("out")).alias("part"))
-    return joined.groupBy(id).agg(F.array_join(F.sort_array(F.collect_list("part"))["out"], "").alias("formatted"))
+    part = F.struct(F.coalesce("block", first).alias("block"), F.array_join("turns.out", "").alias("out"))
+    parts = F.sort_array(F.collect_list(part))
+    return joined.groupBy(id).agg(F.array_join(parts["out"], "").alias("formatted"))
 
 
 def read_back(formatted: Column) -> Column:
@@ -156,7 +163,8 @@ def read_back(formatted: Column) -> Column:
     def turn(piece: Column) -> Column:
         role = F.substring_index(piece, "\n", 1)
         text = F.substring(piece, F.length(role) + 2, F.length(piece))
-        return F.struct(unescaped(F.substring(role, F.lit(len(OPEN) + 1), F.length(role))).alias("role"), unescaped(text).alias("text"))
+        name = F.substring(role, F.lit(len(OPEN) + 1), F.length(role))
+        return F.struct(unescaped(name).alias("role"), unescaped(text).alias("text"))
 
     return F.transform(pieces, turn)
 

@@ -104,7 +104,8 @@ def _scanner(parts) -> Column:
 
 def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
     """The items in blocks of about ``block_bytes``; one block is in the driver at a time."""
-    items = benchmark.select(F.coalesce(F.col(f"`{item}`").cast("string"), F.lit("")).alias("item"), F.col(f"`{text}`").alias("text"))
+    name = F.coalesce(F.col(f"`{item}`").cast("string"), F.lit(""))
+    items = benchmark.select(name.alias("item"), F.col(f"`{text}`").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, math.ceil(size / block_bytes))
     items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(count)))

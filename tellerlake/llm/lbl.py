@@ -72,7 +72,8 @@ def _texts(batch: pa.RecordBatch) -> Iterator[list[bytes]]:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def emit():
-        return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], ["word", "n"])
+        columns = [pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
     found: Counter[bytes] = Counter()
     for batch in batches:
@@ -213,7 +214,8 @@ def train(training: DataFrame, counts: DataFrame, id: str = "doc_id", text: str
     spelled = F.pmod(F.crc32(F.substring("word", 1, 2)), F.lit(SPELLINGS)) + (CLASSES - SPELLINGS)
     # The classes' words have a fixed bound: WORDS words of LEXICON_BYTES.
     placed = counts.join(F.broadcast(own), F.col("word") == F.col("own"), "left")
-    sums = placed.groupBy(F.when(F.col("own").isNull(), spelled).otherwise(0).alias("class")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
+    group = F.when(F.col("own").isNull(), spelled).otherwise(0).alias("class")
+    sums = placed.groupBy(group).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
     class_total, class_distinct = np.zeros(CLASSES), np.zeros(CLASSES)
     total, distinct = sum(r.n for r in sums), sum(r.v for r in sums)
     for r in sums:
@@ -259,12 +261,14 @@ def _round(texts: DataFrame, numbers: dict, parameters: Parameters, part: int) -
         if seen:
             names, rows, values = zip(*own.rows())
             columns = np.array(values).T
-            arrays_out = [pa.array(names), pa.array(rows, pa.int32()), pa.array([float(seen)] * len(rows))]
-            yield pa.RecordBatch.from_arrays([*arrays_out, *map(pa.array, columns)], ["name", "row", "seen", *(f"v{k}" for k in range(WIDTH))])
+            where = [pa.array(names), pa.array(rows, pa.int32()), pa.array([float(seen)] * len(rows))]
+            titles = ["name", "row", "seen", *(f"v{k}" for k in range(WIDTH))]
+            yield pa.RecordBatch.from_arrays([*where, *map(pa.array, columns)], titles)
 
     schema = "name string, row int, seen double, " + ", ".join(f"v{k} double" for k in range(WIDTH))
     copies = texts.mapInArrow(run, schema).groupBy("name", "row")
-    averaged = copies.agg(F.sum("seen").alias("seen"), *[(F.sum(F.col("seen") * F.col(f"v{k}")) / F.sum("seen")).alias(f"v{k}") for k in range(WIDTH)])
+    weighted = [F.sum(F.col("seen") * F.col(f"v{k}")) / F.sum("seen") for k in range(WIDTH)]
+    averaged = copies.agg(*[w.alias(f"v{k}") for k, w in enumerate(weighted)])
     mixed = Parameters(share)
     mixed.a = {k: v.copy() for k, v in arrays.items()}
     mixed.squares = squares

@@ -71,8 +71,8 @@ def _strings(values: list[str]) -> Column:
 
 def rarity(tokens: DataFrame, words: str) -> dict[str, float]:
     """Inverse document frequency of every index word over all documents."""
-    counted = tokens.select(F.explode(F.array_intersect(_strings(VOCABULARY), F.col(words))).alias("word")).groupBy("word").count().collect()
-    seen = {r["word"]: r["count"] for r in counted}
+    found = tokens.select(F.explode(F.array_intersect(_strings(VOCABULARY), F.col(words))).alias("word"))
+    seen = {r["word"]: r["count"] for r in found.groupBy("word").count().collect()}
     # The words in most documents are the same for any number of documents, so no total is needed.
     most = max(seen.values(), default=1)
     return {w: math.log((1 + most) / (1 + seen.get(w, 0))) for w in VOCABULARY}

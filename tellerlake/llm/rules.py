@@ -55,7 +55,10 @@ def _pairs(array: Column) -> tuple[Column, Column]:
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without ``text``, with its counts: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_capitals, n_exclamations.
+    """``docs`` without ``text``, with its counts.
+
+    These are n_words, word_chars, n_symbols, n_lines, n_dup_lines,
+    n_repeat_words, n_capitals and n_exclamations.
 
     Words in repeated windows: the windows' hashes are sorted with their places,
     equal neighbours give the places that count, and the gaps between those give
@@ -147,7 +150,8 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
 
     def add(s: Column, _: Column) -> Column:
         ratio = s["j"] * (1 - p) / ((s["n"] - s["j"] + 1) * p)
-        return F.struct((s["term"] * ratio).alias("term"), (s["sum"] + s["term"]).alias("sum"), (s["j"] - 1).alias("j"), s["n"].alias("n"))
+        term, total = s["term"] * ratio, s["sum"] + s["term"]
+        return F.struct(term.alias("term"), total.alias("sum"), (s["j"] - 1).alias("j"), s["n"].alias("n"))
 
     def finish(s: Column) -> Column:
         # The next terms shrink at least as fast as this ratio.
@@ -168,12 +172,13 @@ def cutoffs(measured: DataFrame, labels: DataFrame, id: str = "doc_id", label: s
     large = sizes.orderBy(F.desc("size"), "stratum").limit(STRATA).select(F.col("stratum").alias("large"))
     named = held.join(F.broadcast(large), F.col("stratum").eqNullSafe(F.col("large")), "left")
     named = named.select(F.col("large").alias("stratum"), "passed", "n")
-    rejected = [F.sum(F.when(F.col("passed") < level, F.col("n")).otherwise(0)).alias(f"k{level}") for level in range(1, N_LEVELS + 1)]
+    levels = range(1, N_LEVELS + 1)
+    rejected = [F.sum(F.when(F.col("passed") < k, F.col("n")).otherwise(0)).alias(f"k{k}") for k in levels]
     counts = named.groupBy("stratum").agg(F.sum("n").alias("n_good"), *rejected)
     tested = counts.select(
         "stratum",
         "n_good",
-        F.posexplode(F.array(*[F.col(f"k{level}") for level in range(1, N_LEVELS + 1)])).alias("level", "k"),
+        F.posexplode(F.array(*[F.col(f"k{k}") for k in levels])).alias("level", "k"),
     )
     # A fixed number of rows: strata times levels.
     tail = binomial_tail(F.col("n_good"), F.col("k"), ALPHA)

@@ -146,10 +146,14 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     def state(edges):
         return edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
 
+    def downwards(edges):
+        return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
     def star(edges, large: bool):
         turned = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        around = edges.union(turned) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = around.groupBy(F.col("a").alias("center")).agg(F.min("b").alias("least")).withColumn("least", F.least("center", "least"))
+        around = edges.union(turned) if large else downwards(edges)
+        least = around.groupBy(F.col("a").alias("center")).agg(F.min("b").alias("least"))
+        least = least.withColumn("least", F.least("center", "least"))
         met = around.join(least, on_hot_key("a", "center"))
         if large:
             kept = met.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b"))
@@ -159,7 +163,7 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
             )
         return kept.where(F.col("a") != F.col("b")).distinct()
 
-    edges = written(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
+    edges = written(downwards(links.where(F.col("a") != F.col("b"))).distinct(), label)
     before = state(edges)
     while before[0]:
         edges = written(star(star(edges, True), False), label)
@@ -205,11 +209,13 @@ def classes(nodes: DataFrame) -> DataFrame:
 
 def _placed(docs: DataFrame, id: str, text: str, shingle: int) -> tuple[DataFrame, DataFrame]:
     """Rows (id, fp), and per fingerprint (node) the root and the smallest id of its class."""
-    rows = fingerprints(docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")), out="fp", shingle=shingle)
+    rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    rows = fingerprints(rows, out="fp", shingle=shingle)
     rows = written(rows.select("id", "fp"), "simhash-fingerprints")
     nodes = written(rows.groupBy(F.col("fp").alias("node")).agg(F.min("id").alias("least")), "simhash-nodes")
     roots = classes(nodes).select(F.col("node").alias("linked"), "root")
-    placed = nodes.join(roots, on_hot_key("node", "linked"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    placed = nodes.join(roots, on_hot_key("node", "linked"), "left")
+    placed = placed.select("node", "least", F.coalesce("root", "node").alias("root"))
     placed = written(placed, "simhash-placed")
     smallest = placed.groupBy(F.col("root").alias("class")).agg(F.min("least").alias("component_id"))
     return rows, placed.join(smallest, on_hot_key("root", "class")).select("node", "root", "component_id")
@@ -218,7 +224,8 @@ def _placed(docs: DataFrame, id: str, text: str, shingle: int) -> tuple[DataFram
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """Per row of ``docs``: its id, fingerprint and the smallest id that it reaches by links, ``component_id``."""
     rows, named = _placed(docs, id, text, shingle)
-    return rows.join(named, on_hot_key("fp", "node")).select(F.col("id").alias(id), F.col("fp").alias("fingerprint"), "component_id")
+    placed = rows.join(named, on_hot_key("fp", "node"))
+    return placed.select(F.col("id").alias(id), F.col("fp").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:

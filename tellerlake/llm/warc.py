@@ -48,8 +48,14 @@ NUMBER = "X-Page-Id"
 #: The synthetic tables have no time of capture.
 CAPTURED, ADDRESS = "20260101000000", "0.0.0.0"
 
-RECORDS = "page_id long, target string, ip string, date string, block binary, payload_at int, payload_bytes long, payload_digest string"
-READ = "page_id long, target string, date string, record_type string, refers_to long, payload_bytes long, payload_digest string"
+RECORDS = (
+    "page_id long, target string, ip string, date string, block binary, payload_at int, payload_bytes long, "
+    "payload_digest string"
+)
+READ = (
+    "page_id long, target string, date string, record_type string, refers_to long, payload_bytes long, "
+    "payload_digest string"
+)
 
 
 def record_id(number: int | None, digest: str) -> UUID:
@@ -154,7 +160,8 @@ def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 fields, at = http_parts(block)
                 number = fields.get(NUMBER.lower())
                 payload = memoryview(block)[at:]
-                rows.append((number and int(number), target, ip, _iso(date), block, at, len(payload), hashlib.sha256(payload).hexdigest()))
+                digest = hashlib.sha256(payload).hexdigest()
+                rows.append((number and int(number), target, ip, _iso(date), block, at, len(payload), digest))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
@@ -242,9 +249,9 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     size = len(block) - at
                     if hashlib.sha256(memoryview(block)[at:]).hexdigest() != digest:
                         raise ValueError(f"the payload of {fields['warc-record-id']} is not what was archived")
-                rows.append(
-                    (_number(fields["warc-record-id"]), fields["warc-target-uri"], fields["warc-date"], fields["warc-type"], _number(fields.get("warc-refers-to")), size, digest)
-                )
+                number, refers = _number(fields["warc-record-id"]), _number(fields.get("warc-refers-to"))
+                kind, target = fields["warc-type"], fields["warc-target-uri"]
+                rows.append((number, target, fields["warc-date"], kind, refers, size, digest))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
