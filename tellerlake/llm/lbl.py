@@ -93,12 +93,14 @@ class Parameters:
     def __init__(self, share: np.ndarray):
         rng = np.random.default_rng(3)
         self.share = share
+        self.log_expected, self.cumulative = np.log(share * NOISE).astype(np.float32), np.cumsum(share)
         self.a = {k: rng.normal(0, 0.1, s) for k, s in self.SHAPES.items()}
         self.a["place"] = np.concatenate([np.eye(WIDTH), np.eye(WIDTH)]) + self.a["place"] * 0.1
         # Near zero, so that the model starts as the class frequencies and contexts must earn their weight.
         self.a["target"] *= 0.1
         self.a["bias"] = np.log(share)[:, None]
-        self.squares = {k: np.full(s, 1e-2) for k, s in self.SHAPES.items()}
+        self.a = {k: v.astype(np.float32) for k, v in self.a.items()}
+        self.squares = {k: np.full(s, 1e-2, np.float32) for k, s in self.SHAPES.items()}
 
     def _step(self, name: str, gradient: np.ndarray, rows=None):
         rows = slice(None) if rows is None else rows
@@ -108,22 +110,22 @@ class Parameters:
     def train(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, rng: np.random.Generator):
         """One step: contexts (the class before, the one before that), their targets, and shared noise."""
         a, n = self.a, len(target)
-        noise = rng.choice(CLASSES, NOISE, p=self.share)
+        noise = np.minimum(np.searchsorted(self.cumulative, rng.random(NOISE), "right"), CLASSES - 1)
         before, earlier = a["context"][one], a["context"][two]
         near, far = a["place"][:WIDTH], a["place"][WIDTH:]
         predicted = before @ near + earlier @ far
-        log_noise = np.log(self.share)
-        own = (predicted * a["target"][target]).sum(axis=1) + a["bias"][target, 0]
-        other = predicted @ a["target"][noise].T + a["bias"][noise, 0]
-        squash = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        up = squash(own - log_noise[target] - np.log(NOISE)) - 1
-        down = squash(other - log_noise[noise] - np.log(NOISE))
-        d_predicted = up[:, None] * a["target"][target] + down @ a["target"][noise]
+        wanted, sampled = a["target"][target], a["target"][noise]
+        own = np.einsum("ij,ij->i", predicted, wanted) + a["bias"][target, 0] - self.log_expected[target]
+        other = predicted @ sampled.T + (a["bias"][noise, 0] - self.log_expected[noise])
+        up = -1 / (1 + np.exp(np.clip(own, -30, 30)))
+        down = 1 / (1 + np.exp(-np.clip(other, -30, 30)))
+        d_predicted = up[:, None] * wanted + down @ sampled
 
         def gathered(rows: np.ndarray, gradients: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             order = np.argsort(rows, kind="stable")
-            used, first = np.unique(rows[order], return_index=True)
-            return used, np.add.reduceat(gradients[order], first, axis=0)
+            ordered = rows[order]
+            first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+            return ordered[first], np.add.reduceat(gradients[order], first, axis=0)
 
         extended = np.concatenate([up[:, None] * predicted, down.T @ predicted]) / n
         biases = np.concatenate([up, down.sum(axis=0)])[:, None] / n
@@ -156,9 +158,9 @@ class Tables:
     """Normalised log10 probabilities: near[a, w] + far[b, w] - norm[a, b]."""
 
     def __init__(self, p: Parameters):
-        c, t = p.a["context"], p.a["target"]
-        near = c @ p.a["place"][:WIDTH] @ t.T + p.a["bias"][:, 0]
-        far = c @ p.a["place"][WIDTH:] @ t.T
+        c, t, place, bias = (p.a[k].astype(float) for k in ("context", "target", "place", "bias"))
+        near = c @ place[:WIDTH] @ t.T + bias[:, 0]
+        far = c @ place[WIDTH:] @ t.T
         # The sum over all classes for every pair of contexts, as one matrix product.
         top, high = near.max(axis=1, keepdims=True), far.max(axis=1, keepdims=True)
         norm = np.log(np.exp(near - top) @ np.exp(far - high).T) + top + high.T
