@@ -87,10 +87,13 @@ def arc_archive(records: list[tuple[str, str, str, str, bytes]], version: int, n
     return bytes(out)
 
 
+def _plain(data: bytes) -> bytes:
+    return gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+
+
 def parse_arc(data: bytes) -> Iterator[tuple[str, str, str, str, bytes]]:
     """(address, ip, 14-digit date, type, content) of every record of an archive, compressed or not."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
+    data = _plain(data)
     at, version = 0, None
     while at < len(data):
         end = data.find(b"\n", at)
@@ -197,8 +200,8 @@ def _as_string(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary()).view(pa.string())
 
 
-def write(records: DataFrame, path: str) -> None:
-    """Write converted records as WARC files below ``path``."""
+def write(records: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Write converted records as WARC files below ``path``, by default compressed file by file."""
 
     def run(batches):
         for columns in batches:
@@ -211,7 +214,7 @@ def write(records: DataFrame, path: str) -> None:
     shared = written(shared, "warc-shared")
     placed = records.join(shared, on_hot_key("payload_digest", "digest"), "left")
     made = F.arrow_udf(run, "string")("page_id", "target", "ip", "date", "block", "payload_at", "payload_digest", "response")
-    placed.select(made.alias("record")).hint("rebalance").write.option("lineSep", END_OF_RECORD).text(path)
+    placed.select(made.alias("record")).hint("rebalance").write.text(path, compression=compression, lineSep=END_OF_RECORD)
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -240,7 +243,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column(0):
             rows = []
-            for fields, block in parse_warc(content.as_py()):
+            for fields, block in parse_warc(_plain(content.as_py())):
                 digest = fields["warc-payload-digest"].removeprefix("sha256:")
                 http, at = http_parts(block)
                 if fields["warc-type"] == "revisit":
