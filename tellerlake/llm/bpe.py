@@ -37,7 +37,7 @@ LEAF_CHARS = 4096
 #: First reach of a window to either side of a join.
 REACH = 64
 #: Distinct pieces kept a task, and the longest piece that is kept.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 120_000
 CACHE_CHARS = 48
 #: Bytes of text cut into pieces at a time.
 GROUP_BYTES = 1 << 20
