@@ -7,12 +7,30 @@ shared folder and read again, so a lost executor costs no earlier stage.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerlake.llm import bpe, decontaminate, mil, queries, secret_scan, simhash
 from tellerlake.sources.workspace import new_dir
 
+#: Texts travel to Python workers in batches of this size, so that what a worker and
+#: its executor hold beside the heap stays small however long the texts are.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
+def small_batches(stage):
+    """The stage, planned with BATCHES."""
+
+    @wraps(stage)
+    def planned(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for key, value in BATCHES.items():
+            spark.conf.set(key, value)
+        return stage(spark, docs, sf_dir)
+
+    return planned
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the classifier, fitted to the labelled ones among them, rejects."""
@@ -43,11 +61,11 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality classifier", quality),
-    ("SimHash near-dedup", near_duplicates),
-    ("benchmark decontamination", decontamination),
-    ("secret scans", secrets),
-    ("BPE encoding and decoding", tokens),
+    ("quality classifier", small_batches(quality)),
+    ("SimHash near-dedup", small_batches(near_duplicates)),
+    ("benchmark decontamination", small_batches(decontamination)),
+    ("secret scans", small_batches(secrets)),
+    ("BPE encoding and decoding", small_batches(tokens)),
 ]
 
 #: The classifier, the fingerprints and the tokens are beyond SQL.
