@@ -4,8 +4,9 @@ A document is a bag of passages. Each passage is encoded, gated attention
 weighs the passages, and the weighted representation is scored; the weights are
 learned from labels of whole documents. The network is small enough for numpy.
 
-Fitting uses a bounded sample: at most ``max_labels`` labelled rows of the given
-folds, taken in the order of a hash of the id, and of each at most
+Fitting uses a bounded sample: at most ``max_labels`` labelled ids of the given
+folds, taken in the order of a hash of the id, with one text each (of an id with
+several the one of the least hash, whatever its label), and of each at most
 ``max_passages`` passages, evenly spaced. Scoring reads every passage of every
 text, in tasks that need nothing but the weights, a few kilobytes that travel with them.
 
@@ -195,12 +196,15 @@ def train(
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             values = [passages(t, max_passages).astype(np.float32).ravel() for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, kind)], ["y", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, kind), batch.column(2)], ["y", "x", "place"])
 
-    # The sample has a bound, so it may be broadcast; the texts are not shuffled.
+    # The sample has a bound, so it may be broadcast. Each task sends one text of an id, however often the id is repeated.
     chosen = docs.select(F.col(f"`{id}`").alias("own"), F.col(f"`{text}`").alias("text"))
-    chosen = chosen.join(F.broadcast(sample), F.col("own") == F.col("labelled")).select("y", "text", "own")
-    rows = chosen.mapInArrow(bag, "y double, x array<float>").orderBy("y", "x").limit(2 * max_labels).collect()
+    chosen = chosen.join(F.broadcast(sample), F.col("own") == F.col("labelled"))
+    least = F.min(F.struct(F.xxhash64("text").alias("place"), "text"))
+    chosen = chosen.groupBy("labelled", "y").agg(least.alias("least")).select("y", "least.text", F.xxhash64("labelled"))
+    rows = chosen.mapInArrow(bag, "y double, x array<float>, place long").collect()
+    rows.sort(key=lambda r: (r.place, r.y))
     y = np.array([r.y for r in rows])
     bags = [np.array(r.x).reshape(-1, FEATURES) for r in rows]
     prior = float(np.clip(y.mean(), 0.01, 0.99)) if len(y) else 0.5

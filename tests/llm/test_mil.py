@@ -60,3 +60,15 @@ def test_query_is_accurate_on_held_out_rows(spark):
     assert {r.quality for r in rows} == {0, 1}
     assert sum(r.right for r in rows) >= 0.95 * len(rows)
     assert spark.read.parquet(f"{SF}/documents.parquet").count() == queries.QUERIES["op5_quality"](spark, SF).count()
+
+
+def test_repeated_rows_of_labelled_ids_do_not_push_out_a_label(spark):
+    good = [(k, f"A calm and careful sentence about harbour number {k}, with its own ending.") for k in range(8)]
+    bad = [(k, "### $$$ !!! ### buy buy buy !!!") for k in range(8, 16)]
+    docs = spark.createDataFrame(good + bad + bad[:1] * 400 + bad * 40, "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame([(k, int(k < 8)) for k in range(16)], "doc_id long, quality int")
+    model = mil.train(docs, labels, max_labels=16)
+    assert model.trained and model.prior == 0.5
+    means = mil.score(docs, model).groupBy((F.col("doc_id") < 8).alias("good")).agg(F.min("score"), F.max("score")).collect()
+    found = {r.good: r for r in means}
+    assert found[True]["min(score)"] > 0.5 > found[False]["max(score)"]
