@@ -6,9 +6,11 @@ learned from labels of whole documents. The network is small enough for numpy.
 
 Fitting uses a bounded sample: at most ``max_labels`` labelled ids of the given
 folds, taken in the order of a hash of the id, with one text each (of an id with
-several the one of the least hash, whatever its label), and of each at most
-``max_passages`` passages, evenly spaced. Scoring reads every passage of every
-text, in tasks that need nothing but the weights, a few kilobytes that travel with them.
+several the one of the least hash, whatever its label). Every passage of these
+texts is encoded and learnt from. Their features wait in a file, so the driver
+holds the bags of one minibatch at a time, however long the texts are. Scoring
+reads every passage of every text, in tasks that need nothing but the weights, a
+few kilobytes that travel with them.
 
 Defined results: a null or empty text is one passage of zeros and gets a score;
 a null label is no label, and repeated labels of an id are averaged; without
@@ -20,8 +22,9 @@ repeated rows get equal scores; other columns are kept, a column named like
 from __future__ import annotations
 
 import math
+import tempfile
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import pairwise
 
 import numpy as np
@@ -29,9 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tellerlake.operators.joins import written
+
 PASSAGE_WORDS = 64
 MAX_LABELS = 12_000
-MAX_PASSAGES = 64
 HIDDEN, GATES = 24, 12
 #: Documents that are scored in one matrix product.
 BLOCK = 512
@@ -58,7 +62,7 @@ N_CLASSES = len(CLASSES)
 FEATURES = N_CLASSES + 12
 
 
-def passages(text: bytes | None, limit: int | None = None) -> np.ndarray:
+def passages(text: bytes | None) -> np.ndarray:
     """A row of features for each passage of PASSAGE_WORDS words; at least one row."""
     text = text or b""
     words = text.split()
@@ -73,8 +77,6 @@ def passages(text: bytes | None, limit: int | None = None) -> np.ndarray:
         math.log1p(len(lines)) / 10,
     )
     starts = range(0, len(words), PASSAGE_WORDS)
-    if limit and len(starts) > limit:
-        starts = [starts[k * len(starts) // limit] for k in range(limit)]
     out = np.zeros((len(starts), FEATURES))
     for row, start in zip(out, starts):
         part = words[start : start + PASSAGE_WORDS]
@@ -151,7 +153,7 @@ class Model:
         }
         return {k: v + decay * p[k] * (k in "WVUc") for k, v in out.items()}
 
-    def fit(self, bags: list[np.ndarray], y: np.ndarray, epochs: int = 40, batch: int = 128, rate: float = 0.01):
+    def fit(self, bags: Sequence[np.ndarray], y: np.ndarray, epochs: int = 40, batch: int = 128, rate: float = 0.01):
         rng = np.random.default_rng(11)
         first, second = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
         step, steps = 0, epochs * math.ceil(len(bags) / batch)
@@ -177,6 +179,34 @@ class Model:
         return self.forward(np.concatenate(bags), starts)[0]
 
 
+class Bags:
+    """Encoded texts in a file, in the order of a hash; with their labels, and mean and scale over all passages."""
+
+    def __init__(self, file, rows: Iterable):
+        self.file, found, at = file, [], 0
+        for r in rows:
+            file.write(r.x)
+            found.append((r.place, r.y, at, len(r.x)))
+            at += len(r.x)
+        found.sort()
+        self.places = [(start, size) for _, _, start, size in found]
+        self.y = np.array([y for _, y, _, _ in found])
+        n, total, squares = 0, np.zeros(FEATURES), np.zeros(FEATURES)
+        for k in range(len(self)):
+            x = self[k].astype(float)
+            n, total, squares = n + len(x), total + x.sum(axis=0), squares + (x**2).sum(axis=0)
+        self.mean = total / max(1, n)
+        self.scale = np.sqrt(np.maximum(0, squares / max(1, n) - self.mean**2)) + 1e-3
+
+    def __len__(self) -> int:
+        return len(self.places)
+
+    def __getitem__(self, k: int) -> np.ndarray:
+        start, size = self.places[k]
+        self.file.seek(start)
+        return np.frombuffer(self.file.read(size), np.float32).reshape(-1, FEATURES)
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -184,7 +214,6 @@ def train(
     text: str = "text",
     label: str = "quality",
     max_labels: int = MAX_LABELS,
-    max_passages: int = MAX_PASSAGES,
 ) -> Model:
     """A model of ``label`` (0 or 1) fitted to at most ``max_labels`` of the rows of ``labels``."""
     known = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{id}`").isNotNull())
@@ -192,26 +221,25 @@ def train(
     sample = known.orderBy(F.xxhash64("labelled"), "labelled").limit(max_labels)
 
     def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.float32())
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            values = [passages(t, max_passages).astype(np.float32).ravel() for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, kind), batch.column(2)], ["y", "x", "place"])
+            for k, text in enumerate(batch.column(1).cast(pa.binary())):
+                one = batch.slice(k, 1)
+                x = pa.array([passages(text.as_py()).astype(np.float32).tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([one.column(0), x, one.column(2)], ["y", "x", "place"])
 
     # The sample has a bound, so it may be broadcast. Each task sends one text of an id, however often the id is repeated.
     chosen = docs.select(F.col(f"`{id}`").alias("own"), F.col(f"`{text}`").alias("text"))
     chosen = chosen.join(F.broadcast(sample), F.col("own") == F.col("labelled"))
     least = F.min(F.struct(F.xxhash64("text").alias("place"), "text"))
     chosen = chosen.groupBy("labelled", "y").agg(least.alias("least")).select("y", "least.text", F.xxhash64("labelled"))
-    rows = chosen.mapInArrow(bag, "y double, x array<float>, place long").collect()
-    rows.sort(key=lambda r: (r.place, r.y))
-    y = np.array([r.y for r in rows])
-    bags = [np.array(r.x).reshape(-1, FEATURES) for r in rows]
-    prior = float(np.clip(y.mean(), 0.01, 0.99)) if len(y) else 0.5
-    stacked = np.concatenate(bags) if bags else np.zeros((1, FEATURES))
-    model = Model(stacked.mean(axis=0), stacked.std(axis=0) + 1e-3, prior)
-    if 0 < y.sum() < len(y):
-        model.fit(bags, y)
+    encoded = written(chosen.mapInArrow(bag, "y double, x binary, place long"), "mil-bags")
+    with tempfile.TemporaryFile() as file:
+        bags = Bags(file, encoded.toLocalIterator())
+        y = bags.y
+        prior = float(np.clip(y.mean(), 0.01, 0.99)) if len(y) else 0.5
+        model = Model(bags.mean, bags.scale, prior)
+        if 0 < y.sum() < len(y):
+            model.fit(bags, y)
     return model
 
 

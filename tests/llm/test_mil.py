@@ -72,3 +72,21 @@ def test_repeated_rows_of_labelled_ids_do_not_push_out_a_label(spark):
     means = mil.score(docs, model).groupBy((F.col("doc_id") < 8).alias("good")).agg(F.min("score"), F.max("score")).collect()
     found = {r.good: r for r in means}
     assert found[True]["min(score)"] > 0.5 > found[False]["max(score)"]
+
+
+def test_fitting_learns_from_every_passage(spark):
+    calm, junk = "harbour light over quiet water ", "### $$$ !!! ### %%% buy "
+    long = [(k, calm * 2_000) for k in range(40)]
+    # One passage of junk behind some of 160 others, at a different place in each.
+    for k in range(20):
+        words = long[k][1].split()
+        at = 64 * (2 * (3 + 3 * k) + 1)
+        long[k] = (k, " ".join([*words[:at], *(junk * 11).split()[:64], *words[at + 64 :]]))
+    docs = spark.createDataFrame(long, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k >= 20)) for k in range(40)], "doc_id long, quality int")
+    model = mil.train(docs, labels)
+    stacked = np.concatenate([mil.passages(t.encode()) for _, t in long])
+    assert np.allclose(model.mean, stacked.mean(axis=0), atol=1e-5)
+    assert np.allclose(model.scale, stacked.std(axis=0) + 1e-3, atol=1e-4)
+    scores = {r.doc_id: r.score for r in mil.score(docs, model).collect()}
+    assert max(scores[k] for k in range(20)) < 0.5 < min(scores[k] for k in range(20, 40))
