@@ -1,8 +1,10 @@
 """Chat formatting: schema fingerprints choose declarative mappings to canonical turns.
 
 A layout is known by the nested paths of its fields. The fingerprint of a row
-is the hash of those known paths that it has; it selects the layout's mapping,
-which says where the turns are. Canonical turns are (role, text) in order. The
+is the set of those known paths that it has, a bit for each; it selects the most
+specific layout (that of the most paths, then the first listed) whose paths it
+contains, and the layout's mapping says where the turns are. Other known paths
+play no part, but a ``system`` text beside another layout stays as its first turn. Canonical turns are (role, text) in order. The
 template writes a turn as ``<s>role``, a line break, the text and ``</s>``, and
 escapes what could be read as its own marks, so that every output can be read
 back exactly. DataFrame functions only.
@@ -13,14 +15,13 @@ turn by turn into one task, though its one output string is one value.
 
 Defined results: null texts and roles are empty; turns follow their number,
 those that tie (or have none, first) their role and then their text; repeated
-rows are repeated turns; a null conversation id is one conversation; unknown
-layouts give null turns; an empty table gives an empty result; columns outside
+rows are repeated turns; a null conversation id is one conversation; a list
+has the paths that any of its elements has; unknown layouts give null turns; an empty table gives an empty result; columns outside
 the known paths play no part.
 """
 
 from __future__ import annotations
 
-import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,7 +37,7 @@ ASSISTANT = "assistant"
 
 #: Each layout: its paths, and its turns as (role or path of it, paths of the text) or a list of turns.
 LAYOUTS = {
-    "rows": {"paths": ("turn", "role", "text"), "each": ("role", "text")},
+    "rows": {"paths": ("turn", "role", "text"), "order": "turn", "each": ("role", "text")},
     "completion": {"paths": ("prompt", "completion"), "turns": (("user", ("prompt",)), ("assistant", ("completion",)))},
     "response": {"paths": ("prompt", "response"), "turns": (("user", ("prompt",)), ("assistant", ("response",)))},
     "system_response": {
@@ -54,14 +55,17 @@ LAYOUTS = {
 #: Other names of the canonical roles, in layouts whose turns are lists; rows keep their role.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 KNOWN = sorted({p for layout in LAYOUTS.values() for p in layout["paths"]})
+#: Layouts from the most specific on; the sort keeps the order of those with equally many paths.
+SPECIFIC = sorted(LAYOUTS, key=lambda name: -len(LAYOUTS[name]["paths"]))
+SYSTEM = "system"
 
 
-def fingerprint(paths) -> str:
-    """Hash of the known ones among nested field paths."""
-    return hashlib.sha256(",".join(sorted(set(paths) & set(KNOWN))).encode()).hexdigest()
+def fingerprint(paths) -> int:
+    """The known ones among nested field paths, as bits."""
+    return sum(1 << k for k, p in enumerate(KNOWN) if p in set(paths))
 
 
-FINGERPRINTS = {fingerprint(layout["paths"]): name for name, layout in LAYOUTS.items()}
+FINGERPRINTS = {name: fingerprint(LAYOUTS[name]["paths"]) for name in SPECIFIC}
 
 
 def paths_of(schema: StructType, prefix: str = "") -> list[str]:
@@ -76,7 +80,8 @@ def paths_of(schema: StructType, prefix: str = "") -> list[str]:
 
 
 def layout_of(schema: StructType) -> str | None:
-    return FINGERPRINTS.get(fingerprint(paths_of(schema)))
+    own = fingerprint(paths_of(schema))
+    return next((name for name, bits in FINGERPRINTS.items() if own & bits == bits), None)
 
 
 def _string(value: Column, path: str) -> Column:
@@ -88,16 +93,26 @@ def _role(role: Column) -> Column:
     return F.coalesce(names[role], role, F.lit(""))
 
 
+def _turn(role: Column, text: Column) -> Column:
+    return F.struct(role.alias("role"), text.alias("text"))
+
+
 def _mapped(value: Column, layout: dict) -> Column:
     if "list" in layout:
         path, role, text = layout["list"]
-        listed = F.try_variant_get(value, "$." + path, f"array<struct<`{role}`:string,`{text}`:string>>")
-        return F.transform(listed, lambda t: F.struct(_role(t[role]).alias("role"), F.coalesce(t[text], F.lit("")).alias("text")))
-    turns = []
-    for role, paths in layout["turns"]:
-        parts = F.filter(F.array(*[_string(value, p) for p in paths]), lambda p: p != "")
-        turns.append(F.struct(F.lit(role).alias("role"), F.array_join(parts, "\n\n").alias("text")))
-    return F.array(*turns)
+        listed = F.try_variant_get(value, "$." + path, "array<variant>")
+        turns = F.transform(listed, lambda t: _turn(_role(_string(t, role)), _string(t, text)))
+    else:
+        each = []
+        for role, paths in layout["turns"]:
+            parts = F.filter(F.array(*[_string(value, p) for p in paths]), lambda p: p != "")
+            each.append(_turn(F.lit(role), F.array_join(parts, "\n\n")))
+        turns = F.array(*each)
+    if SYSTEM in layout["paths"]:
+        return turns
+    # A list may hold the same system turn itself.
+    said = F.array(_turn(F.lit(SYSTEM), _string(value, SYSTEM)))
+    return F.concat(F.filter(said, lambda t: (t["text"] != "") & ~F.exists(turns, lambda o: o == t)), turns)
 
 
 def json_turns(rows: DataFrame, column: str, out: str = "turns") -> DataFrame:
@@ -106,15 +121,19 @@ def json_turns(rows: DataFrame, column: str, out: str = "turns") -> DataFrame:
     value = F.col("__value")
 
     def has(path: str) -> Column:
-        return F.try_variant_get(value, "$." + path.replace("[]", "[0]"), "variant").isNotNull()
+        start, _, rest = path.partition("[].")
+        if not rest:
+            return F.try_variant_get(value, "$." + path, "variant").isNotNull()
+        listed = F.try_variant_get(value, "$." + start, "array<variant>")
+        return F.exists(listed, lambda t: F.try_variant_get(t, "$." + rest, "variant").isNotNull())
 
-    present = F.concat_ws(",", *[F.when(has(p), F.lit(p)) for p in KNOWN])
-    parsed = parsed.withColumn("__print", F.sha2(present, 256))
-    layouts = {f: LAYOUTS[name] for f, name in FINGERPRINTS.items() if "each" not in LAYOUTS[name]}
-    names = F.create_map(*[F.lit(x) for f in layouts for x in (f, FINGERPRINTS[f])])
-    cases = [F.when(F.col("__print") == f, _mapped(value, layout)) for f, layout in layouts.items()]
-    turns = F.coalesce(*cases).cast(TURNS)
-    return parsed.withColumns({"layout": names[F.col("__print")], out: turns}).drop("__value", "__print")
+    bits = [F.when(has(p), F.lit(1 << k)).otherwise(F.lit(0)) for k, p in enumerate(KNOWN)]
+    parsed = parsed.withColumn("__print", reduce(Column.__add__, bits))
+    layouts = {name: own for name, own in FINGERPRINTS.items() if "each" not in LAYOUTS[name]}
+    names = [F.when(F.col("__print").bitwiseAND(own) == own, F.lit(name)) for name, own in layouts.items()]
+    parsed = parsed.withColumn("layout", F.coalesce(*names))
+    cases = [F.when(F.col("layout") == name, _mapped(value, LAYOUTS[name])) for name in layouts]
+    return parsed.withColumn(out, F.coalesce(*cases).cast(TURNS)).drop("__value", "__print")
 
 
 def escaped(text: Column) -> Column:
@@ -137,10 +156,11 @@ def format_turns(turns: Column) -> Column:
 
 def format_rows(rows: DataFrame, id: str = "conv_id") -> DataFrame:
     """(``id``, formatted) of a table whose layout is a row for each turn."""
-    if layout_of(rows.schema) != "rows":
+    layout = LAYOUTS.get(layout_of(rows.schema), {})
+    if "each" not in layout:
         raise ValueError(f"no layout of a row a turn has the paths {paths_of(rows.schema)}")
-    role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in LAYOUTS["rows"]["each"])
-    number = F.col("turn").cast("long")
+    role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in layout["each"])
+    number = F.col(layout["order"]).cast("long")
     key = F.col(f"`{id}`").alias(id)
     first = F.lit(-(2**63))
     turn = F.struct(

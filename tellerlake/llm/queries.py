@@ -161,7 +161,8 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(CONTROL).alias("text"),
     )
-    rows = rows.select("conv_id", "turn", "role", "text").union(added)
+    # All columns go there: the fingerprint says where the turns are.
+    rows = rows.unionByName(added, allowMissingColumns=True)
     read = chat.format_rows(rows).withColumn("turns", chat.read_back(F.col("formatted")))
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     loss = F.array_join(chat.loss_texts(F.col("turns")), "")

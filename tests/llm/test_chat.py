@@ -86,3 +86,36 @@ def test_query_equals_sql_over_the_whole_table(spark):
     assert not found, found
     plan = queries.QUERIES["op6_chat"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_further_known_fields_lose_no_turns(spark):
+    rows = [
+        {"instruction": "i", "input": "n", "output": "o", "text": "i n o"},
+        {"prompt": "u", "messages": [{"role": "user", "content": "u"}, {"role": "assistant", "content": "a"}]},
+        {"system": "s", "conversations": [{"from": "human", "value": "h"}, {"from": "gpt", "value": "g"}]},
+        {"messages": [{"role": "user"}, {"role": "assistant", "content": "a"}]},
+        {"system": "s", "messages": [{"role": "system", "content": "s"}, {"role": "user", "content": "u"}]},
+        {"system": None, "instruction": "i", "output": "o"},
+        {"messages": [], "prompt": "p", "response": "r"},
+        {"system": "s", "prompt": "p"},
+    ]
+    table = spark.createDataFrame([(k, json.dumps(r)) for k, r in enumerate(rows)], "id long, body string")
+    got = {r.id: (r.layout, r.turns and turns(r.turns)) for r in chat.json_turns(table, "body").collect()}
+    assert got == {
+        0: ("instruction_input", [("user", "i\n\nn"), ("assistant", "o")]),
+        1: ("messages", [("user", "u"), ("assistant", "a")]),
+        2: ("shared", [("system", "s"), ("user", "h"), ("assistant", "g")]),
+        3: ("messages", [("user", ""), ("assistant", "a")]),
+        4: ("messages", [("system", "s"), ("user", "u")]),
+        5: ("instruction", [("user", "i"), ("assistant", "o")]),
+        6: ("response", [("user", "p"), ("assistant", "r")]),
+        7: (None, None),
+    }
+
+
+def test_turn_tables_may_have_columns_of_other_layouts(spark):
+    kinds = "conv_id long, turn int, role string, text string, prompt string, system string, input string, output string, response string"
+    table = spark.createDataFrame([(1, 0, "user", "u", *"abcde"), (1, 1, "assistant", "a", *"abcde")], kinds)
+    assert chat.layout_of(table.schema) == "rows"
+    got = chat.format_rows(table).select(chat.read_back(F.col("formatted")).alias("t")).first()
+    assert turns(got.t) == [("user", "u"), ("assistant", "a")]
