@@ -1,17 +1,22 @@
 """Quality rules whose cutoffs carry a guarantee, in DataFrame functions only.
 
-Each text gets measures that grow with damage. A verdict level is one cutoff
-per measure, from lenient to strict; a text that exceeds a cutoff is rejected.
-Which level a stratum may use is decided on labelled good documents: the level's
-false rejections k of n are tested with the exact binomial tail
-P(Bin(n, ALPHA) <= k). Levels are tested in their fixed order until one fails,
-which needs no correction, and the strata share DELTA (Bonferroni). So with
-probability 1 - DELTA no stratum rejects more than ALPHA of its good documents.
-A stratum without enough labels passes no level and rejects nothing.
-
-Strata are the languages: the STRATA with most labels, and one of all others,
-so that the table of cutoffs has a fixed bound. Measures are written down once;
-labels meet them as a few numbers a document, and texts are never shuffled.
+Each text gets measures that grow with damage, and each measure has levels: its
+cutoffs, from lenient to strict. A text that exceeds a cutoff in use is rejected.
+Which levels a stratum may use is decided on labelled good documents, one measure
+after the other: beside the levels already chosen, the measure's own are tested
+in order until one fails, each by the rejections k of n of all measures together
+with the exact binomial tail P(Bin(n, ALPHA) <= k). A measure that fails at once
+is not used and leaves the others their chance.
+
+The strata and the measures share DELTA equally, and a measure's share is divided
+by the number of choices that may have been made before it. A chain of tests
+whose beginning is fixed needs no correction, so with probability 1 - DELTA no
+stratum rejects more than ALPHA of its good documents. A stratum without enough
+labels passes no level and rejects nothing.
+
+Strata are the languages, each by itself however many there are. Measures are
+written down once; labels meet them as a few numbers a document, and texts are
+never shuffled.
 
 Defined results: a null or empty text has no words and fails the base rules;
 null labels and ids are no labels, repeated labels are averaged; a null
@@ -31,7 +36,6 @@ from pyspark.sql.window import Window
 from tellerlake.operators.joins import on_hot_key, written
 
 ALPHA, DELTA = 0.05, 0.05
-STRATA = 64
 #: Cutoffs of each measure by level, lenient to strict.
 LEVELS = {
     "symbols": (0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05),
@@ -123,14 +127,17 @@ def _shares() -> dict[str, Column]:
     }
 
 
-def strictest_passed() -> Column:
-    """The number of levels whose cutoffs the text stays within, counted from the lenient end."""
+PASSED = {name: f"passed_{name}" for name in LEVELS}
+
+
+def levels_passed() -> dict[str, Column]:
+    """For each measure the number of levels that the text stays within, counted from the lenient end."""
     shares = _shares()
 
-    def within(level: int) -> Column:
-        return reduce(lambda a, b: a & b, [shares[k] <= cutoffs[level] for k, cutoffs in LEVELS.items()])
+    def passed(name: str) -> Column:
+        return reduce(lambda a, b: a + b, [(shares[name] <= cutoff).cast("int") for cutoff in LEVELS[name]])
 
-    return reduce(lambda a, b: a + b, [within(level).cast("int") for level in range(N_LEVELS)])
+    return {column: passed(name) for name, column in PASSED.items()}
 
 
 def log_gamma(x: Column) -> Column:
@@ -163,29 +170,27 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "quality") -> DataFrame:
-    """(stratum, n_good, level): the number of the strictest level that each stratum may use, 0 for none."""
+    """(stratum, n_good, a column for each measure): the strictest levels that each stratum may use, 0 for none."""
     known = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{id}`").isNotNull())
     good = known.groupBy(F.col(f"`{id}`").alias("__labelled")).agg(F.avg(f"`{label}`").alias("__good")).where("__good >= 0.5")
-    held = measured.join(good, on_hot_key(id, "__labelled")).groupBy("stratum", "passed").agg(F.count("*").alias("n"))
-    held = written(held, "rules-held")
-    sizes = held.groupBy("stratum").agg(F.sum("n").alias("size"))
-    large = sizes.orderBy(F.desc("size"), "stratum").limit(STRATA).select(F.col("stratum").alias("large"))
-    named = held.join(F.broadcast(large), F.col("stratum").eqNullSafe(F.col("large")), "left")
-    named = named.select(F.col("large").alias("stratum"), "passed", "n")
+    held = measured.join(good, on_hot_key(id, "__labelled")).groupBy("stratum", *PASSED.values()).agg(F.count("*").alias("n"))
+    held = written(held.withColumn("rejected", F.lit(False)), "rules-held")
+    strata = max(1, held.select("stratum").distinct().count())
     levels = range(1, N_LEVELS + 1)
-    rejected = [F.sum(F.when(F.col("passed") < k, F.col("n")).otherwise(0)).alias(f"k{k}") for k in levels]
-    counts = named.groupBy("stratum").agg(F.sum("n").alias("n_good"), *rejected)
-    tested = counts.select(
-        "stratum",
-        "n_good",
-        F.posexplode(F.array(*[F.col(f"k{k}") for k in levels])).alias("level", "k"),
-    )
-    # A fixed number of rows: strata times levels.
-    tail = binomial_tail(F.col("n_good"), F.col("k"), ALPHA)
-    tested = tested.withColumn("passes", (tail <= DELTA / (STRATA + 1)).cast("int"))
-    ordered = Window.partitionBy("stratum").orderBy("level").rowsBetween(Window.unboundedPreceding, 0)
-    chain = tested.withColumn("chain", F.min("passes").over(ordered))
-    return chain.groupBy("stratum", "n_good").agg(F.sum("chain").alias("level"))
+    for before, (name, passed) in enumerate(PASSED.items()):
+        exceeds = [F.col("rejected") | (F.col(passed) < k) for k in levels]
+        sums = [F.sum(F.when(e, F.col("n")).otherwise(0)) for e in exceeds]
+        counts = held.groupBy("stratum").agg(F.sum("n").alias("n_good"), F.array(*sums).alias("k"))
+        # Strata times levels rows.
+        tested = counts.select("stratum", "n_good", F.posexplode("k").alias("level", "k"))
+        share = DELTA / (strata * len(LEVELS) * (N_LEVELS + 1) ** before)
+        tested = tested.withColumn("passes", (binomial_tail(F.col("n_good"), F.col("k"), ALPHA) <= share).cast("int"))
+        ordered = Window.partitionBy("stratum").orderBy("level").rowsBetween(Window.unboundedPreceding, 0)
+        chain = tested.withColumn("chain", F.min("passes").over(ordered))
+        chosen = chain.groupBy(F.col("stratum").alias("__stratum")).agg(F.sum("chain").alias(name))
+        held = held.join(chosen, on_hot_key("stratum", "__stratum")).drop("__stratum")
+        held = written(held.withColumn("rejected", F.col("rejected") | (F.col(passed) < F.col(name))), "rules-held")
+    return held.groupBy("stratum").agg(F.sum("n").alias("n_good"), *[F.max(name).alias(name) for name in LEVELS])
 
 
 def judge(
@@ -194,14 +199,10 @@ def judge(
     """Per row of ``docs``: its id, counts, ``base_failed`` and ``kept``."""
     columns = [F.col(f"`{id}`").alias(id), F.coalesce(F.col(f"`{stratum}`").cast("string"), F.lit("")).alias("stratum")]
     measured = measure(docs.select(*columns, F.col(f"`{text}`").alias("__body")), "__body")
-    measured = written(measured.withColumn("passed", strictest_passed()), "rules-measured")
-    allowed = cutoffs(measured, labels, id, label).select(F.col("stratum").alias("__stratum"), "level")
-    allowed = written(allowed, "rules-cutoffs")
-    # At most STRATA + 1 rows; the one without a name is for all other strata.
-    own = F.broadcast(allowed.where("__stratum IS NOT NULL"))
-    rest = allowed.where("__stratum IS NULL").agg(F.coalesce(F.max("level"), F.lit(0))).first()[0]
-    judged = measured.join(own, F.col("stratum") == F.col("__stratum"), "left")
-    level = F.coalesce("level", F.lit(rest))
+    measured = written(measured.withColumns(levels_passed()), "rules-measured")
+    allowed = cutoffs(measured, labels, id, label).withColumnRenamed("stratum", "__stratum").drop("n_good")
+    judged = measured.join(written(allowed, "rules-cutoffs"), on_hot_key("stratum", "__stratum"), "left")
+    within = [F.col(passed) >= F.coalesce(name, F.lit(0)) for name, passed in PASSED.items()]
     return judged.select(
         F.col(f"`{id}`"),
         "n_words",
@@ -210,5 +211,5 @@ def judge(
         "n_dup_lines",
         "n_repeat_words",
         base_failed().alias("base_failed"),
-        (~base_failed() & (F.col("passed") >= level)).alias("kept"),
+        reduce(lambda a, b: a & b, within, ~base_failed()).alias("kept"),
     )

@@ -100,3 +100,26 @@ def test_false_rejections_stay_within_the_guarantee(spark):
 def test_plan_is_native(spark):
     plan = queries.QUERIES["op4_rules"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_a_measure_that_a_language_exceeds_leaves_the_others(spark):
+    """Words of over 20 letters are usual where there are no spaces; symbols are not."""
+    plain, loud = " ".join(["w" * 25] * 6 + ["%d" + "v" * 30] * 6), "# some * plain $ words in a & row | here ok now %d"
+    rows = [(k, plain % ((k,) * 6), "zz") for k in range(400)] + [(9001, loud % 1, "zz")]
+    docs = spark.createDataFrame([(k, " ".join(f"{w}{n}" for n, w in enumerate(t.split())), g) for k, t, g in rows], "doc_id long, text string, lang string")
+    labels = docs.where("doc_id < 9000").select("doc_id", F.lit(1).alias("quality"))
+    kept = {r.doc_id: r.kept for r in rules.judge(docs, labels).collect()}
+    assert not kept.pop(9001) and all(kept.values())
+
+
+def test_every_language_has_its_own_cutoffs(spark):
+    """Of 70 languages those with loud good documents keep theirs, the others reject them."""
+    clean, loud = "some plain words in a row here ok now yes %d", "# some * plain $ words in a & row | here ok now %d"
+    docs = spark.range(70 * 500).select(
+        F.col("id").alias("doc_id"),
+        F.when((F.col("id") % 70 < 67) & (F.col("id") >= 70), F.lit(clean)).otherwise(F.lit(loud)).alias("text"),
+        (F.col("id") % 70).cast("string").alias("lang"),
+    )
+    labels = docs.where("doc_id >= 70").select("doc_id", F.lit(1).alias("quality"))
+    judged = rules.judge(docs, labels).where("doc_id < 70").collect()
+    assert {r.doc_id for r in judged if r.kept} == {67, 68, 69}
