@@ -107,12 +107,16 @@ def _verified(label: str) -> Column:
 
 
 def _covered(label: str, places: Column) -> Column:
-    """Share of the notice's words that stand around the first place of its key phrase."""
+    """Greatest share of the notice's words that stand around any place of its key phrase."""
     notice, key = TEMPLATES[label]
     begin = next(k for k in range(len(notice)) if notice[k : k + len(key)] == key)
-    first = F.get(places, F.lit(0)) - begin
-    there = F.filter(_strings(notice), lambda w, k: F.get(F.col("__words"), first + k) == w)
-    return F.when(F.size(places) > 0, F.size(there) / len(notice))
+
+    def share(place: Column) -> Column:
+        there = [F.when(F.get(F.col("__words"), place + (k - begin)) == w, F.lit(1)).otherwise(F.lit(0)) for k, w in enumerate(notice)]
+        return reduce(Column.__add__, there) / len(notice)
+
+    # Where the key phrase is the whole notice, every place has all of it.
+    return F.when(F.size(places) > 0, F.lit(1.0) if notice == key else F.array_max(F.transform(places, share)))
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -63,3 +63,15 @@ def test_query_over_the_whole_table(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
     assert got.where(F.col("n_base") > 0).count() == sum(r.n_base > 0 for r in out)
+
+
+def test_score_is_that_of_the_best_place(spark):
+    rows = []
+    for k, (notice, key) in enumerate(licenses.NOTICES.values()):
+        rows.append((k, f"see the {key} in passing and later {notice} end of file"))
+        rows.append((100 + k, f"{notice} first and then the {key} in passing"))
+    rows.append((1000, "the mozilla public license in passing"))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in licenses.scan(table).collect()}
+    assert 0.5 < got.pop(1000) < 1
+    assert set(got.values()) == {1.0}
