@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from tellerlake.llm.words import alnum_words
 from tellerlake.operators.joins import written
 
-#: Bytes of benchmark text in one broadcast.
-BLOCK_BYTES = 32 << 20
+#: Bytes of index in one broadcast, and about those of a window in it.
+BLOCK_BYTES = 128 << 20
+WINDOW_BYTES = 300
 WINDOW = 13
 
 HITS = "struct<n_words:bigint,words:array<int>,items:array<string>>"
@@ -102,16 +103,21 @@ def _scanner(parts) -> Column:
     return F.arrow_udf(run, HITS)
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
-    """The items in blocks of about ``block_bytes``; one block is in the driver at a time."""
+def _blocks(benchmark: DataFrame, item: str, text: str, window: int, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
+    """The distinct items in blocks with an index of about ``block_bytes``; one block is in the driver at a time."""
     name = F.coalesce(F.col(f"`{item}`").cast("string"), F.lit(""))
-    items = benchmark.select(name.alias("item"), F.col(f"`{text}`").alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = max(1, math.ceil(size / block_bytes))
+    items = benchmark.select(name.alias("item"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    items = written(items.distinct(), "benchmark-items")
+    words = F.regexp_count("text", F.lit(_WORD.pattern))
+    bytes_of = F.octet_length("text") + WINDOW_BYTES * F.greatest(words - window + 1, F.lit(1))
+    sizes = items.agg(F.sum(bytes_of).alias("bytes"), F.count("*").alias("n")).first()
+    count = max(1, min(sizes["n"], math.ceil((sizes["bytes"] or 0) / block_bytes)))
     items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(count)))
     for block in range(count):
         rows = items.where(F.col("block") == block).select("item", "text").collect()
-        yield [(r.item, (r.text or "").encode()) for r in rows]
+        # Without rows only the first block is needed, for the words of the documents.
+        if rows or not block:
+            yield [(r["item"], r.text.encode()) for r in rows]
 
 
 def find(
@@ -127,7 +133,7 @@ def find(
     """``docs`` with ``out``: number of words, positions of the hit words, items found."""
     context = docs.sparkSession.sparkContext
     column, docs, begun = F.col(f"`{text}`"), docs.drop(out), False
-    for rows in _blocks(benchmark, item, item_text, block_bytes):
+    for rows in _blocks(benchmark, item, item_text, window, block_bytes):
         scan = _scanner(context.broadcast(vars(Index(rows, window))))
         if not begun:
             docs, begun = docs.withColumn(out, scan(column)), True

@@ -81,3 +81,17 @@ def test_removal_of_documents_and_spans(spark):
 def test_query_equals_sql_over_the_whole_tables(spark):
     found = differences(queries.QUERIES["op8_decontamination"](spark, SF), duck(SF), entry.oracle_sql()["op8_decontamination"])
     assert not found, found
+
+
+def test_repeated_items_are_collected_once(spark):
+    items = [("a", "one two three four")] * 500 + [(str(k), f"own words of number {k}") for k in range(4)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    docs = spark.createDataFrame([(1, "one two three four")], "doc_id long, text string")
+    seen, whole = [], decontaminate.Index.__init__
+    try:
+        decontaminate.Index.__init__ = lambda self, rows, *a: (seen.extend(rows), whole(self, rows, *a))[1]
+        found = decontaminate.find(docs, bench, block_bytes=600).first().hits
+    finally:
+        decontaminate.Index.__init__ = whole
+    assert sorted(n for n, _ in seen) == ["0", "1", "2", "3", "a"]
+    assert (found["words"], found["items"]) == ([0, 1, 2, 3], ["a"])
