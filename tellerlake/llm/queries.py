@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import bpe, chat, decontaminate, lbl, licenses, mil, rules, secret_scan, simhash, warc
+from tellerlake.llm import bpe, chat, codes, decontaminate, lbl, licenses, mil, rules, secret_scan, shards, simhash, warc, whiten
+from tellerlake.operators.joins import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -224,3 +225,90 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN response <> page_id THEN response END AS refers_to
 FROM f
 """
+
+
+@query
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings"), carry=["label"])
+    coded = written(coded, "codes")
+    by_label = written(coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error")), "label-errors")
+    same = F.col("label").eqNullSafe(F.col("of")) & (F.xxhash64("label") == F.xxhash64("of"))
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    return coded.join(by_label, same).select(
+        "vec_id",
+        F.array_join(F.transform("code", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(digest).alias("codebooks_sha256"),
+    )
+
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    steps = [
+        f"""
+nearest{r} AS (
+  SELECT rid, p, CAST(least_at % {entries} AS INTEGER) AS k, least_at // {entries} AS far
+  FROM (SELECT rid, p, min(CAST(list_inner_product(v, v) - 2 * list_inner_product(v, e) + list_inner_product(e, e) AS BIGINT)
+                           * {entries} + k) AS least_at
+        FROM parts JOIN books{r} USING (p) GROUP BY rid, p))"""
+        + (
+            f""",
+cells{r} AS (
+  SELECT p, k, pos, CAST(floor(CAST(sum(CAST(c AS BIGINT)) AS BIGINT) / count(*)) AS DOUBLE) AS c
+  FROM (SELECT p, k, unnest(v) AS c, generate_subscripts(v, 1) AS pos FROM parts JOIN nearest{r} USING (rid, p)) GROUP BY ALL),
+books{r + 1} AS (
+  SELECT p, k, coalesce(m, e) AS e
+  FROM books{r} LEFT JOIN (SELECT p, k, list(c ORDER BY pos) AS m FROM cells{r} GROUP BY p, k) USING (p, k))"""
+            if r < rounds
+            else ""
+        )
+        for r in range(rounds + 1)
+    ]
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, x) - 1 AS rid, x, len(x) // {parts} AS w
+  FROM (SELECT vec_id, label, list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x FROM embeddings
+        WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)),
+parts AS (SELECT rid, p, x[p * w + 1 : (p + 1) * w] AS v FROM kept, (SELECT unnest(range({parts})) AS p)),
+books0 AS (SELECT p, rid AS k, v AS e FROM parts WHERE rid < {entries}),{",".join(steps)},
+shown AS (
+  SELECT rid, string_agg(printf('%02x', k), '' ORDER BY p) AS code, CAST(sum(far) AS BIGINT) AS error
+  FROM nearest{rounds} GROUP BY rid),
+books AS (
+  SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY p, k, pos)) AS codebooks_sha256
+  FROM (SELECT p, k, unnest(e) AS c, generate_subscripts(e, 1) AS pos FROM books{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN shown USING (rid), books
+"""
+
+
+CHECK_SQL["op11_codes"] = _codes_sql()
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, fitted = whiten.whiten(table(spark, sf_dir, "embeddings"))
+    explained = F.array(*[F.lit(float(x)) for x in fitted.explained]) if len(fitted.values) else F.array().cast("array<double>")
+    return rows.select("vec_id", "n", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        "n",
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(fitted.identity_error).alias("identity_error"),
+    )
+
+
+@query
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written_shards = shards.shuffle(table(spark, sf_dir, "documents"))
+    return written_shards.select(
+        F.col("record.doc_id").alias("doc_id"),
+        "size",
+        F.col("checksum").alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
