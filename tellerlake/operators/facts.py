@@ -73,6 +73,44 @@ def transaction_fact(
     return owned.select("date_key", "customer_id", "account_id", "transaction_id", "transaction_type", "amount")
 
 
+def dates_that_differ(then: DataFrame, now: DataFrame) -> DataFrame:
+    """Dates whose transactions, as far as the rollups read them, are not the same in both.
+
+    Every date folds to a count and a sum of row hashes on either side, with
+    partial sums before the shuffle; no row meets its earlier self.
+    """
+    row = F.xxhash64("transaction_date", "account_id", "transaction_type", "amount").cast("decimal(38,0)")
+    sides = [df.select(F.to_date("transaction_date").alias("date_key"), row.alias("row"), F.lit(s).alias("sign"))
+             for df, s in ((then, -1), (now, 1))]
+    folded = sides[0].unionByName(sides[1]).groupBy("date_key")
+    folded = folded.agg(F.sum("sign").alias("rows"), F.sum(F.col("sign") * F.col("row")).alias("digest"))
+    return folded.where((F.col("rows") != 0) | (F.col("digest") != 0)).select("date_key")
+
+
+def owners_that_differ(then: DataFrame, now: DataFrame) -> DataFrame:
+    """Accounts whose owners, with their number of copies, are not the same in both."""
+    sides = [df.select("account_id", "customer_id", F.lit(s).alias("sign")) for df, s in ((then, -1), (now, 1))]
+    folded = sides[0].unionByName(sides[1]).groupBy("account_id", "customer_id").agg(F.sum("sign").alias("copies"))
+    return folded.where("copies <> 0 AND account_id IS NOT NULL").select("account_id").distinct()
+
+
+def dates_of(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Dates on which one of ``accounts`` has a transaction; reads two columns."""
+    days = transactions.select("account_id", F.to_date("transaction_date").alias("date_key"))
+    owned = accounts.select(F.col("account_id").alias("_owned"))
+    return days.join(owned, on_hot_key("account_id", "_owned"), "left_semi").select("date_key").distinct()
+
+
+def on_dates(transactions: DataFrame, days: DataFrame) -> DataFrame:
+    """Transactions of these dates. Dates are bounded by their type, so they may broadcast;
+    their range reaches the scan."""
+    first, last = days.agg(F.min("date_key"), F.max("date_key")).first()
+    day = F.to_date("transaction_date")
+    ranged = transactions.where(day.between(F.lit(first), F.lit(last)))
+    wanted = F.broadcast(days.select(F.col("date_key").alias("_wanted")))
+    return ranged.join(wanted, day == F.col("_wanted"), "left_semi")
+
+
 def _level(df: DataFrame, level: int) -> DataFrame:
     grain = GRAINS[level]
 

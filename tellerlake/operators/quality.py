@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tellerlake.functions.text import bad_email
 from tellerlake.operators.dimensions import current_versions
+from tellerlake.operators.joins import written
 
 
 @dataclass(frozen=True)
@@ -98,11 +99,116 @@ def failure_counts(
             repeated_key_count(customers, "customer_id", 4),
             orphan_count(accounts, "customer_id", customers, "customer_id", 6),
             orphan_count(transactions, "account_id", accounts, "account_id", 7),
-            repeated_key_count(current_versions(dim_customer), "customer_id", 8),
+            active_version_check(dim_customer),
         ],
     )
 
 
+@dataclass(frozen=True)
+class Change:
+    """A loaded table between two checks: the rows that stayed, and those of changed loads then and now."""
+
+    rest: DataFrame
+    then: DataFrame
+    now: DataFrame
+
+    def sides(self, *columns: str) -> DataFrame:
+        """What changed: ``before`` and ``after`` are 1 for a row that was, or is, there."""
+        then = self.then.select(*columns, F.lit(1).alias("before"), F.lit(0).alias("after"))
+        return then.unionByName(self.now.select(*columns, F.lit(0).alias("before"), F.lit(1).alias("after")))
+
+
+def _among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows whose ``column`` is one of ``keys`` (_key), NULL being one; only the few written keys move."""
+    return rows.join(keys, F.col(column).eqNullSafe(F.col("_key")), "left_semi")
+
+
+def row_check_change(table: Change, tests: dict[int, tuple[str, Column]]) -> DataFrame:
+    """How many more rows than before fail each test of one column."""
+    sides = table.sides(*dict.fromkeys(column for column, _ in tests.values()))
+    moved = F.col("after") - F.col("before")
+    counts = {no: F.coalesce(F.sum(F.when(test, moved)), F.lit(0)) for no, (_, test) in tests.items()}
+    found = sides.agg(*[n.alias(f"n{no}") for no, n in counts.items()])
+    return _tall(found, {no: F.col(f"n{no}") for no in tests})
+
+
+def repeated_key_change(table: Change, key: str, rule_no: int) -> DataFrame:
+    """How many more keys than before are on more than one row.
+
+    Only keys of the changed loads can have begun or ceased to repeat, so only
+    their copies are counted in the rest of the table.
+    """
+    moved = table.sides(key).groupBy(F.col(key).alias("_key")).agg(F.sum("before").alias("before"), F.sum("after").alias("after"))
+    moved = written(moved, "moved-keys")
+    others = _among(table.rest.select(key), key, moved.select("_key")).groupBy(F.col(key).alias("_other"))
+    copies = moved.join(others.agg(F.count(F.lit(1)).alias("others")), F.col("_key").eqNullSafe(F.col("_other")), "left")
+    others = F.coalesce("others", F.lit(0))
+    change = (F.col("after") + others > 1).cast("int") - (F.col("before") + others > 1).cast("int")
+    return _tall(copies.agg(F.coalesce(F.sum(change), F.lit(0)).alias("n")), {rule_no: F.col("n")})
+
+
+def orphan_change(child: Change, fk: str, parent: Change, pk: str, rule_no: int) -> DataFrame:
+    """How many more child rows than before have no parent.
+
+    Children of changed loads are looked up among the parents of their time.
+    Children that stayed change sides only if their parent came or went for good.
+    """
+    keys = parent.sides(pk).groupBy(F.col(pk).alias("_key")).agg(F.max("before").alias("before"), F.max("after").alias("after"))
+    keys = written(keys.where("_key IS NOT NULL AND before <> after"), "moved-parents")
+    staying = _among(parent.rest.select(pk), pk, keys.select("_key")).select(F.col(pk).alias("_key")).distinct()
+    flips = written(keys.join(staying, "_key", "left_anti"), "flipped-parents")
+    stayed = child.rest.select(F.col(fk).alias("_ref")).join(flips, F.col("_ref") == F.col("_key"))
+    stayed = stayed.agg(F.coalesce(F.sum(F.col("before") - F.col("after")), F.lit(0)).alias("n"))
+
+    refs = child.sides(fk).groupBy(F.col(fk).alias("_ref")).agg(F.sum("before").alias("before"), F.sum("after").alias("after"))
+    refs = written(refs, "moved-references")
+    wanted = refs.select(F.col("_ref").alias("_key"))
+    known = _among(parent.rest.select(pk), pk, wanted).select(F.col(pk).alias("_known")).distinct().withColumns({"was": F.lit(1), "is": F.lit(1)})
+    own = _among(parent.sides(pk), pk, wanted).select(F.col(pk).alias("_known"), F.col("before").alias("was"), F.col("after").alias("is"))
+    known = known.unionByName(own).groupBy("_known").agg(F.max("was").alias("was"), F.max("is").alias("is"))
+    # A NULL reference equals no parent.
+    met = refs.join(known, F.col("_ref") == F.col("_known"), "left")
+    lacking = F.when(F.coalesce("is", F.lit(0)) == 0, F.col("after")).otherwise(0)
+    lacked = F.when(F.coalesce("was", F.lit(0)) == 0, F.col("before")).otherwise(0)
+    changed = met.agg(F.coalesce(F.sum(lacking - lacked), F.lit(0)).alias("n"))
+    return _tall(stayed.union(changed).agg(F.sum("n").alias("n")), {rule_no: F.col("n")})
+
+
+def count_changes(customers: Change | None, accounts: Change | None, transactions: Change | None) -> list[DataFrame]:
+    """(rule_no, records_failed) of what the loaded tables' changes add to their rules; None for an unchanged table.
+
+    A rule over two tables needs both as Change, with nothing changed in one of them.
+    """
+    parts = []
+    if customers:
+        email = {5: ("email_address", bad_email(F.col("email_address")))}
+        parts.append(row_check_change(customers, {1: ("customer_id", F.col("customer_id").isNull()), **email}))
+        parts.append(repeated_key_change(customers, "customer_id", 4))
+    if accounts:
+        parts.append(row_check_change(accounts, {2: ("account_id", F.col("account_id").isNull())}))
+    if transactions:
+        parts.append(row_check_change(transactions, {3: ("transaction_id", F.col("transaction_id").isNull())}))
+    if accounts and customers:
+        parts.append(orphan_change(accounts, "customer_id", customers, "customer_id", 6))
+    if transactions and accounts:
+        parts.append(orphan_change(transactions, "account_id", accounts, "account_id", 7))
+    return parts
+
+
+def kept_counts(run: DataFrame) -> DataFrame:
+    """(rule_no, records_failed) of a run's log rows."""
+    numbers = F.create_map(*[F.lit(x) for rule in RULES for x in (f"{rule.table} {rule.check}", rule.number)])
+    return run.select(numbers[F.concat_ws(" ", "table_name", "check_name")].alias("rule_no"), "records_failed")
+
+
+def added_up(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts).groupBy("rule_no").agg(F.sum("records_failed").alias("records_failed"))
+
+
+def active_version_check(dim_customer: DataFrame) -> DataFrame:
+    return repeated_key_count(current_versions(dim_customer), "customer_id", 8)
+
+
 def _by_rule(attribute: str) -> Column:
     pairs = [F.lit(x) for rule in RULES for x in (rule.number, getattr(rule, attribute))]
     return F.create_map(*pairs)[F.col("rule_no")]

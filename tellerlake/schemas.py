@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BinaryType,
     DateType,
     DecimalType,
     DoubleType,
@@ -126,6 +127,23 @@ DATA_QUALITY_LOG = _struct(
     ("details", _S),
 )
 
+# What the monthly trend keeps: sums, sets of numbered values as bitmaps, and the numbers. date_key is the month.
+TREND_COUNTS = _struct(
+    ("transaction_type", _S),
+    ("transaction_count", LongType()),
+    ("amount_count", LongType()),
+    ("total_amount", DecimalType(38, 2)),
+    ("date_key", _D),
+)
+TREND_SETS = _struct(
+    ("transaction_type", _S),
+    ("kind", _S),
+    ("bucket", LongType()),
+    ("bits", BinaryType()),
+    ("date_key", _D),
+)
+VALUE_NUMBERS = _struct(("kind", _S), ("value", _S), ("number", LongType()))
+
 # Snapshot tables hold amounts as DOUBLE, as the columnar deliveries do.
 TRANSACTION_SNAPSHOT = StructType(
     [StructField("amount", DoubleType(), True) if f.name == "amount" else f for f in TRANSACTION_FILE.fields]
@@ -148,6 +166,9 @@ TABLES: dict[str, tuple[StructType, list[str]]] = {
     "silver/dim_date": (DIM_DATE, []),
     "gold/fact_daily_transaction": (FACT_TRANSACTION, [DATE_PART]),
     "gold/fact_daily_agg": (FACT_DAILY_AGG, [DATE_PART]),
+    "gold/trend_counts": (TREND_COUNTS, [DATE_PART]),
+    "gold/trend_sets": (TREND_SETS, [DATE_PART]),
+    "gold/value_numbers": (VALUE_NUMBERS, []),
     "governance/data_quality_log": (DATA_QUALITY_LOG, []),
 }
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +21,13 @@ from pyspark.sql.types import (
 
 from tellerlake.functions.dates import from_epoch_micros
 from tellerlake.functions.text import null_tokens_to_null
-from tellerlake.operators.joins import on_hot_key
+from tellerlake.operators.joins import written
 from tellerlake.schemas import is_required
+from tellerlake.sources.quoted import escaped, read_quoted
 
 # Columns bind by position, the header line is skipped, short rows are padded
 # with NULL, surplus fields are ignored, and "" inside quotes is a quote. A line
-# break inside quotes belongs to the field; therefore a file is read by one task.
+# break inside quotes belongs to the field.
 CSV_OPTIONS = {
     "header": "true",
     "enforceSchema": "true",
@@ -36,7 +39,7 @@ CSV_OPTIONS = {
 
 
 def csv_options(header: bool = True, multi_line: bool = True) -> dict[str, str]:
-    """``multi_line=False`` lets Spark split large files; give it only for sources
+    """``multi_line=False`` spares a look at the quotes; give it only for sources
     known to have no line breaks inside fields, as it would cut such records in two."""
     return {**CSV_OPTIONS, "header": str(header).lower(), "multiLine": str(multi_line).lower()}
 
@@ -48,8 +51,11 @@ def text_schema(schema: StructType) -> StructType:
 def csv_text(
     spark: SparkSession, paths: str | list[str], schema: StructType, header: bool = True, multi_line: bool = True
 ) -> DataFrame:
-    """All fields as text, NULL tokens resolved."""
-    return resolve_nulls(spark.read.schema(text_schema(schema)).options(**csv_options(header, multi_line)).csv(paths))
+    """All fields as text, NULL tokens resolved. Large files are split over tasks either way."""
+    options = csv_options(header, multi_line)
+    if multi_line:
+        return resolve_nulls(read_quoted(spark, paths, text_schema(schema), options, header))
+    return resolve_nulls(spark.read.schema(text_schema(schema)).options(**options).csv(paths))
 
 
 def resolve_nulls(df: DataFrame) -> DataFrame:
@@ -136,15 +142,34 @@ def unloaded_files(files: DataFrame, load_log: DataFrame) -> DataFrame:
     return files.join(load_log.select("path"), "path", "left_anti")
 
 
+def new_files(spark: SparkSession, folder: str, load_log: DataFrame, per_block: int) -> Iterator[list[str]]:
+    """Names of the files below the folder that the log lacks, some ``per_block`` at a time.
+
+    The folder is listed and the names are compared; no content is opened. Spark's
+    reader takes names from the driver, so only a block of them is there at a time.
+    """
+    fresh = written(unloaded_files(list_files(spark, folder), load_log).select("path"), "new-files")
+    blocks = -(-fresh.count() // per_block)
+    for block in range(blocks):
+        yield [row.path for row in fresh.where(F.pmod(F.xxhash64("path"), F.lit(blocks)) == block).collect()]
+
+
 def read_new_csv(
-    spark: SparkSession, folder: str, schema: StructType, load_log: DataFrame, multi_line: bool = True
+    spark: SparkSession,
+    folder: str,
+    schema: StructType,
+    load_log: DataFrame,
+    multi_line: bool = True,
+    per_block: int = 10_000,
 ) -> tuple[DataFrame, DataFrame]:
     """The rows of files not loaded yet, and the log entries to append once they are written.
 
-    Each row's own file name meets the log, so no list of files passes the driver.
+    Loaded files are left out by name, before anything is read: however long the
+    history, a load opens the new delivery only.
     """
-    reader = spark.read.schema(text_schema(schema)).options(**csv_options(multi_line=multi_line))
-    rows = reader.option("recursiveFileLookup", "true").csv(folder).select("*", F.col("_metadata.file_path").alias("_file"))
-    loaded_before = load_log.select(F.col("path").alias("_loaded"))
-    fresh = rows.join(loaded_before, on_hot_key("_file", "_loaded"), "left_anti").drop("_file")
-    return typed(resolve_nulls(fresh), schema), unloaded_files(list_files(spark, folder), load_log).select("path")
+    blocks = list(new_files(spark, folder, load_log, per_block))
+    reads = [read_csv(spark, [escaped(p) for p in paths], schema, multi_line=multi_line) for paths in blocks if paths]
+    empty = spark.createDataFrame([], schema)
+    entries = [spark.createDataFrame([(p,) for p in paths], "path string") for paths in blocks if paths]
+    no_entries = spark.createDataFrame([], "path string")
+    return reduce(DataFrame.union, reads) if reads else empty, reduce(DataFrame.union, entries) if entries else no_entries

@@ -1,13 +1,16 @@
-"""Parquet tables below one root, with a log per table that names its current directory.
+"""Parquet tables below one root, with a log per table that names its current directories.
 
-Plain Parquet cannot update in place. A rewrite goes to a new directory and a
-row appended to the table's log makes it current, so a reader sees the old or
-the new state and a lost job leaves the old one. Partitions are overwritten in
-place; a row that names the settled rows is logged first and cleared after, and
-a lake that finds one open does the overwrite again before anything else. An
-append of new dates logs those dates first; found open, they are taken out, so
-the next load brings them whole. One writer a table at a time; every table has
-log folders of its own, so tables may be written side by side.
+Plain Parquet cannot update in place, so nothing is: every change writes a new
+directory, and one row set appended to the table's log makes it current, all of
+it or nothing. A lost job leaves a directory that no row names; whoever reads
+sees the state before or after. A directory holds one partition (a leaf: a load,
+or a month of a dated table) or, of an unpartitioned table, all rows, so a change
+rewrites what it touches. Old directories stay until ``forget``; until then
+``read(as_of=...)`` gives the state that an earlier version had.
+
+Loads, cleansing and rebuilds of one table may run beside one another as long as
+they change different leaves: their rows simply meet in the log. What reaches the
+driver is the log's fold: a row for every current leaf and appended directory.
 
 Tables with a ``date_key`` are clustered by date: partitioned by its day, month
 or year and sorted by date inside each file, so a date range reads only its
@@ -17,27 +20,63 @@ grain than the data deserves costs a directory listing and a tiny file per day.
 
 from __future__ import annotations
 
-import time
-from collections.abc import Iterable
+import json
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
 from datetime import date
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tellerlake.operators.joins import written
 from tellerlake.schemas import DATE_PART, TABLES
-from tellerlake.sources.workspace import new_dir, remove
+from tellerlake.sources.workspace import exists, folders, remove
 
-_COMMITS = "version long, path string, source string, batch long"
-_MARKS = "version long, load_id int, written_ns long, cleansed boolean"
-_LOADS = "version long, load_id int, source string, batch long"
-_FILES = "version long, path string, load_id int"
-_INTENTS = "intent string, path string, leaves array<string>, days array<date>, is_open boolean"
+#: ``starts``: the row replaces what its leaf had; otherwise its directory is added.
+_LOG = (
+    "version long, leaf string, path string, starts boolean, "
+    "source string, batch long, files string, cleansed boolean, built_from string"
+)
+_COLUMNS = [column.split()[0] for column in _LOG.split(", ")]
 
+#: Leaf of the table as a whole: a row that starts it makes all earlier rows void.
+WHOLE = "*"
 #: Source of a load whose id the caller chose.
 GIVEN = "given"
+LOAD = "_load_id"
+
+
+@dataclass
+class Leaf:
+    """One partition as the log has it: its directories, and what its last row says."""
+
+    begun: int
+    version: int
+    paths: list[str] = field(default_factory=list)
+    source: str | None = None
+    batch: int | None = None
+    files: str | None = None
+    cleansed: bool = False
+    built_from: str | None = None
+
+
+def _apply(state: dict[str, Leaf], entries: list[dict]) -> None:
+    """Bring a state up to date with log rows, in their order."""
+    for e in entries:
+        if e["starts"] and e["leaf"] == WHOLE:
+            state.clear()
+        before = None if e["starts"] else state.get(e["leaf"])
+        leaf = Leaf(before.begun if before else e["version"], e["version"], before.paths if before else [])
+        leaf.paths = leaf.paths + [e["path"]] if e["path"] else leaf.paths
+        for told in ("source", "batch", "files", "cleansed", "built_from"):
+            setattr(leaf, told, e[told])
+        state[e["leaf"]] = leaf
+
+
+def _text(built_from: dict[str, int] | None) -> str | None:
+    return json.dumps(built_from, sort_keys=True) if built_from else None
 
 
 class Lake:
@@ -54,108 +93,119 @@ class Lake:
         self.root = root.rstrip("/")
         self.date_grain = date_grain
         self.tables = tables
-        self._current: dict[str, tuple[int, str] | None] = {}
+        self._folded: dict[tuple[str, int | None], dict[str, Leaf]] = {}
         self._rows: dict[str, int] = {}
 
-    # Logs: one appended row set per change, folded when it is needed
-
-    def _parquet(self, path: str, schema: StructType | str) -> DataFrame:
-        """What is there, or no rows if nothing has been written yet."""
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
-
-    def _log(self, log: str, name: str, schema: str) -> DataFrame:
-        return self._parquet(f"{self.root}/{log}/{name}", schema)
-
-    def _append_log(self, log: str, name: str, schema: str, rows: list[tuple]) -> None:
-        entries = self.spark.createDataFrame(rows, schema).coalesce(1)
-        entries.write.mode("append").parquet(f"{self.root}/{log}/{name}")
-
-    def _state(self, name: str) -> tuple[int, str] | None:
-        """(version, directory) of a table, after whatever a lost driver left open has been redone."""
-        if name not in self._current:
-            newest = self._log("commits", name, _COMMITS).agg(F.max(F.struct("version", "path")).alias("c")).first().c
-            self._current[name] = newest and (newest.version, newest.path)
-            if newest:
-                self._recover(name)
-        return self._current[name]
+    # The log
+
+    def _log(self, name: str) -> DataFrame | None:
+        path = f"{self.root}/log/{name}"
+        return self.spark.read.schema(_LOG).parquet(path) if exists(self.spark, path) else None
+
+    def refresh(self, *names: str) -> None:
+        """See what others have written since; without names, to any table."""
+        for name in names or [held for held, _ in self._folded]:
+            self._folded.pop((name, None), None)
+            self._rows.pop(name, None)
+
+    def _state(self, name: str, as_of: int | None = None) -> dict[str, Leaf]:
+        """The leaves of a table now, or when ``as_of`` was its version."""
+        if (name, as_of) in self._folded:
+            return self._folded[name, as_of]
+        log, state = self._log(name), {}
+        if log is not None:
+            log = log if as_of is None else log.where(F.col("version") <= as_of)
+            by_leaf = log.groupBy("leaf").agg(
+                F.max(F.when(F.col("starts"), F.col("version"))).alias("since"), F.collect_list(F.struct("*")).alias("entries")
+            )
+            # What a later row of the leaf has replaced stays behind.
+            current = F.filter("entries", lambda e: e["version"] >= F.coalesce("since", F.lit(0)))
+            found = [entry.asDict() for row in by_leaf.select(current.alias("e")).collect() for entry in row.e]
+            _apply(state, sorted(found, key=lambda e: (e["version"], e["leaf"] != WHOLE, not e["starts"])))
+        self._folded[name, as_of] = state
+        return state
 
     def version(self, name: str) -> int:
-        """Counts the rewrites of a table; progress, marks and loaded files belong to one version."""
-        self._path(name)
-        return self._current[name][0]
-
-    def _commit(self, name: str, version: int, path: str, source: str | None = None, batch: int | None = None) -> None:
-        self._append_log("commits", name, _COMMITS, [(version, path, source, batch)])
-        self._current[name] = (version, path)
+        """Counts the changes of a table; 0 before the first."""
+        return max((leaf.version for leaf in self._state(name).values()), default=0)
+
+    def generation(self, name: str) -> int:
+        """The version that last replaced or reset the whole table; loads and progress belong to it."""
+        whole = self._state(name).get(WHOLE)
+        return whole.begun if whole else 0
+
+    def _commit(self, name: str, entries: list[dict]) -> None:
+        """Append rows to the log; one file, so all are there or none."""
+        state, log = self._state(name), self._log(name)
+        version = 1 + ((log.agg(F.max("version")).first()[0] or 0) if log is not None else 0)
+        entries = [{**dict.fromkeys(_COLUMNS), "starts": True, "cleansed": False, **e, "version": version} for e in entries]
+        rows = self.spark.createDataFrame([tuple(e[c] for c in _COLUMNS) for e in entries], _LOG).coalesce(1)
+        rows.write.mode("append").parquet(f"{self.root}/log/{name}")
+        _apply(state, entries)
 
     def last_batch(self, name: str, source: str) -> int:
         """The last batch of a stream that a rewrite of the table has applied; -1 for none."""
-        applied = self._log("commits", name, _COMMITS).where(F.col("source") == source)
+        log = self._log(name)
+        if log is None:
+            return -1
+        applied = log.where(F.col("source") == source)
         return applied.agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0]
 
-    # Loads: ids belong to the table, not to who loads
+    def built_from(self, name: str) -> dict[str, int] | None:
+        """Versions of the tables that a whole table was last brought up to date with."""
+        whole = self._state(name).get(WHOLE)
+        return json.loads(whole.built_from) if whole and whole.built_from else None
 
-    def claim_load(self, name: str, source: str, batch: int) -> int:
-        """The load id of a source's batch: the one it had before, else the next of the table."""
-        version = self.version(name)
-        loads = self._log("loads", name, _LOADS).where(F.col("version") == version)
-        own = (F.col("source") == source) & (F.col("batch") == batch)
-        before, highest = loads.agg(F.max(F.when(own, F.col("load_id"))), F.max("load_id")).first()
-        if before is not None:
-            return before
-        self._append_log("loads", name, _LOADS, [(version, (highest or 0) + 1, source, batch)])
-        return (highest or 0) + 1
-
-    def _claim_given(self, name: str, load_id: int) -> bool:
-        """Whether the load is new."""
-        version = self.version(name)
-        owner = self._log("loads", name, _LOADS).where((F.col("version") == version) & (F.col("load_id") == load_id))
-        owner = owner.agg(F.max("source")).first()[0]
-        if owner is None:
-            self._append_log("loads", name, _LOADS, [(version, load_id, GIVEN, load_id)])
-        elif owner != GIVEN:
-            raise ValueError(f"load {load_id} of {name} belongs to {owner}")
-        return owner is None
+    # Loads: partitions of a table, each with its source and whether it has been cleansed
 
-    def loaded_files(self, name: str) -> DataFrame:
-        """(path, load_id) of the files the current version holds."""
-        return self._log("files", name, _FILES).where(F.col("version") == self.version(name)).select("path", "load_id")
+    def _loads(self, name: str, as_of: int | None = None) -> dict[int, Leaf]:
+        state = self._state(name, as_of)
+        return {int(leaf.partition("=")[2]): entry for leaf, entry in state.items() if leaf.startswith(LOAD)}
 
-    def record_files(self, name: str, paths: DataFrame, load_id: int) -> None:
-        rows = paths.select(F.lit(self.version(name)).alias("version"), "path", F.lit(load_id).alias("load_id"))
-        rows.write.mode("append").parquet(f"{self.root}/files/{name}")
+    def load_of(self, name: str, source: str, batch: int) -> int | None:
+        """The load a source's batch has become, if it has been written."""
+        self.refresh(name)
+        return next((n for n, leaf in self._loads(name).items() if (leaf.source, leaf.batch) == (source, batch)), None)
 
-    def mark_loads(self, name: str, load_ids: Iterable[int], cleansed: bool) -> None:
-        """Note that loads have been cleansed, or hold new rows again."""
-        version, now = self.version(name), time.time_ns()
-        rows = [(version, load_id, now, cleansed) for load_id in load_ids]
-        if rows:
-            self._append_log("cleansed", name, _MARKS, rows)
+    def next_load(self, name: str) -> int:
+        return max(self._loads(name), default=0) + 1
 
     def pending_loads(self, name: str) -> list[int]:
-        """Loads in the table that are not marked as cleansed; only these reach the driver."""
-        marks = self._log("cleansed", name, _MARKS).where(F.col("version") == self.version(name))
-        last = marks.groupBy("load_id").agg(F.max_by("cleansed", "written_ns").alias("cleansed")).where("cleansed")
-        present = self.read(name).select(F.col("_load_id").alias("load_id")).distinct()
-        return sorted(row.load_id for row in present.join(last, "load_id", "left_anti").collect())
-
-    def _next(self, name: str) -> tuple[int, str]:
-        version = (self._state(name) or (0, ""))[0] + 1
-        return version, f"{self.root}/{name}/v{version:06d}-{uuid4().hex[:8]}"
-
-    def _path(self, name: str) -> str:
-        """Current directory; a table not written yet gets one."""
-        if self._state(name) is None:
-            self.reset(name)
-        return self._current[name][1]
+        """Loads not cleansed since they were written."""
+        self.refresh(name)
+        return sorted(n for n, leaf in self._loads(name).items() if not leaf.cleansed)
+
+    def changed_leaves(self, name: str, since: int) -> list[str]:
+        """Partitions whose rows are not those that version ``since`` had."""
+        now, then = self._state(name), self._state(name, since)
+
+        def paths(state, leaf):
+            return state[leaf].paths if leaf in state else []
+
+        return sorted(leaf for leaf in {*now, *then} - {WHOLE} if paths(now, leaf) != paths(then, leaf))
+
+    def changed_loads(self, name: str, since: int) -> list[int]:
+        return sorted(int(leaf.partition("=")[2]) for leaf in self.changed_leaves(name, since))
+
+    def comparable(self, name: str, since: int) -> bool:
+        """Whether what has changed since a version can be told: no reset between, and old directories still there."""
+        if self.generation(name) > since:
+            return False
+        then = self._state(name, since)
+        paths = [path for leaf in self.changed_leaves(name, since) if leaf in then for path in then[leaf].paths]
+        return all(exists(self.spark, path) for path in paths)
+
+    def loaded_files(self, name: str) -> DataFrame:
+        """(path) of the files that current loads came from."""
+        kept = [leaf.files for leaf in self._loads(name).values() if leaf.files]
+        reader = self.spark.read.schema("path string")
+        return reader.parquet(*kept) if kept else self.spark.createDataFrame([], "path string")
 
     # Layout
 
+    def _new_path(self, name: str) -> str:
+        return f"{self.root}/{name}/_v={uuid4().hex}"
+
     def _date_part(self, day: Column) -> Column:
         return day if self.date_grain == "day" else F.trunc(day, self.date_grain)
 
@@ -166,42 +216,49 @@ class Lake:
             columns.append(self._date_part(F.col("date_key")).alias(DATE_PART))
         return df.select(*columns)
 
-    def _write(self, name: str, df: DataFrame, path: str, mode: str, dynamic: bool = False) -> int:
-        """Write in the table's layout; the number of rows comes from the write itself."""
+    def _write(self, name: str, df: DataFrame) -> tuple[dict[str, str], int]:
+        """Write rows to a new directory; its leaves, and the number of rows from the write itself."""
         _, parts = self.tables[name]
-        df = self._shaped(name, df)
+        path, df = self._new_path(name), self._shaped(name, df)
         if DATE_PART in parts:
             # Whole files per partition: AQE splits a busy one and merges quiet ones.
             df = df.hint("rebalance", DATE_PART).sortWithinPartitions(DATE_PART, "date_key")
         counted = Observation()
-        writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(mode)
-        if dynamic:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        if parts:
-            writer = writer.partitionBy(*parts)
-        writer.parquet(path)
-        return counted.get.get("rows", 0)
+        writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
+        (writer.partitionBy(*parts) if parts else writer).parquet(path)
+        leaves = {leaf: f"{path}/{leaf}" for leaf in folders(self.spark, path) if "=" in leaf} if parts else {WHOLE: path}
+        return leaves, counted.get.get("rows", 0)
 
     # Reading
 
-    def _stored(self, name: str) -> DataFrame:
-        """The current state with its partition column."""
+    def _stored(self, name: str, state: dict[str, Leaf]) -> DataFrame:
+        """A state with its partition column."""
         schema, parts = self.tables[name]
         if DATE_PART in parts:
             schema = StructType([*schema.fields]).add(DATE_PART, "date")
-        if self._state(name) is None:
+        paths = [path for leaf in state.values() for path in leaf.paths]
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        return self._parquet(self._current[name][1], schema)
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
+        return reader.parquet(*paths).select(*schema.fieldNames())
 
-    def read(self, name: str, start: date | None = None, end: date | None = None) -> DataFrame:
-        """The current state, or of a dated table the dates from ``start`` to ``end``."""
-        df, part, day = self._stored(name), F.col(DATE_PART), F.col("date_key")
+    def read(self, name: str, start: date | None = None, end: date | None = None, as_of: int | None = None) -> DataFrame:
+        """The current state or that of version ``as_of``; of a dated table the dates from ``start`` to ``end``."""
+        df, part, day = self._stored(name, self._state(name, as_of)), F.col(DATE_PART), F.col("date_key")
         if start is not None:
             df = df.where((part >= self._date_part(F.lit(start))) & (day >= F.lit(start)))
         if end is not None:
             df = df.where((part <= self._date_part(F.lit(end))) & (day <= F.lit(end)))
         return df.drop(DATE_PART)
 
+    def read_leaves(self, name: str, leaves: Iterable[str], as_of: int | None = None) -> DataFrame:
+        """Only these partitions, now or as of a version; no other directory is looked into."""
+        state, wanted = self._state(name, as_of), set(leaves)
+        return self._stored(name, {leaf: entry for leaf, entry in state.items() if leaf in wanted}).drop(DATE_PART)
+
+    def read_loads(self, name: str, load_ids: Iterable[int], as_of: int | None = None) -> DataFrame:
+        return self.read_leaves(name, [f"{LOAD}={n}" for n in load_ids], as_of)
+
     def rows(self, name: str) -> int:
         """Rows of a table: counted by the writes of this lake, else by a read."""
         if name not in self._rows:
@@ -210,134 +267,142 @@ class Lake:
 
     # Writing
 
-    def replace(self, name: str, df: DataFrame, source: str | None = None, batch: int | None = None) -> None:
+    def replace(
+        self,
+        name: str,
+        df: DataFrame,
+        source: str | None = None,
+        batch: int | None = None,
+        built_from: dict[str, int] | None = None,
+    ) -> None:
         """Truncate and insert. ``df`` may read the table it replaces."""
-        version, path = self._next(name)
-        rows = self._write(name, df, path, "error")
-        self._commit(name, version, path, source, batch)
+        leaves, rows = self._write(name, df)
+        whole = {"leaf": WHOLE, "path": leaves.pop(WHOLE, None), "source": source, "batch": batch, "built_from": _text(built_from)}
+        self._commit(name, [whole, *[{"leaf": leaf, "path": path} for leaf, path in leaves.items()]])
         self._rows[name] = rows
 
     def reset(self, *names: str) -> None:
-        """Empty tables: a new version whose directory nothing has been written to."""
+        """Empty tables."""
         for name in names:
-            self._commit(name, *self._next(name))
+            self._commit(name, [{"leaf": WHOLE}])
             self._rows[name] = 0
 
-    def append(self, name: str, df: DataFrame, days: list[date] | None = None) -> None:
-        """Add rows. ``days`` are dates the table has no rows of yet; named, they are all or not at all there."""
-        if self._state(name) is None:
-            return self.replace(name, df)
-        before = self._rows.pop(name, None)
-        intent = self._intend(name, None, [], days) if days else None
-        rows = self._write(name, df, self._current[name][1], "append")
-        if intent:
-            self._fulfilled(name, intent)
+    def append(self, name: str, df: DataFrame, built_from: dict[str, int] | None = None) -> None:
+        """Add rows."""
+        before = self._rows.pop(name, None) if self._state(name) else 0
+        leaves, rows = self._write(name, df)
+        entries = [{"leaf": leaf, "path": path, "starts": False} for leaf, path in leaves.items()]
+        if WHOLE in leaves:
+            entries[0]["built_from"] = _text(built_from)
+        self._commit(name, entries)
         if before is not None:
             self._rows[name] = before + rows
 
-    def replace_load(self, name: str, df: DataFrame, load_id: int, claimed: bool = False) -> int:
-        """Overwrite one load's partition, also with no rows; a replay gives the same state.
+    def replace_load(self, name: str, df: DataFrame, load_id: int) -> int:
+        """Overwrite one load whose id the caller chose, also with no rows; a replay gives the same state.
 
-        Without ``claimed`` the id must be free or have been given before. Returns the rows written.
+        Returns the rows written.
         """
-        if claimed or not self._claim_given(name, load_id):
-            self.mark_loads(name, [load_id], cleansed=False)
+        owner = self._loads(name).get(load_id)
+        if owner is not None and owner.source != GIVEN:
+            raise ValueError(f"load {load_id} of {name} belongs to {owner.source}")
+        leaves, rows = self._write(name, df.withColumn(LOAD, F.lit(load_id)))
+        leaf = f"{LOAD}={load_id}"
+        self._commit(name, [{"leaf": leaf, "path": leaves.get(leaf), "source": GIVEN}])
         self._rows.pop(name, None)
-        return self._write_load(name, df, load_id)
+        return rows
 
-    def _write_load(self, name: str, df: DataFrame, load_id: int) -> int:
-        rows = self._shaped(name, df.withColumn("_load_id", F.lit(load_id))).drop("_load_id")
-        counted = Observation()
-        rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode("overwrite").parquet(f"{self._path(name)}/_load_id={load_id}")
-        return counted.get.get("rows", 0)
+    def load_batch(
+        self, name: str, files: DataFrame, rows: Callable[[list[str], int], DataFrame], source: str, batch: int
+    ) -> int:
+        """Write what ``rows`` reads from ``files`` (path) as the next load, unless the source's batch is there already.
 
-    def replace_loads(self, name: str, df: DataFrame, load_ids: list[int]) -> None:
-        """Overwrite the partitions of these loads with ``df``, emptying those it has no rows of.
+        Files that current loads came from are left out by name and not opened. The
+        names of one batch reach the driver, as Spark's reader takes them from there.
+        """
+        if self.load_of(name, source, batch) is not None:
+            return 0
+        fresh = written(files.select("path").join(self.loaded_files(name), "path", "left_anti"), "arrived-files")
+        paths = [row.path for row in fresh.collect()]
+        if not paths:
+            return 0
+        load_id, names = self.next_load(name), f"{self.root}/files/{name}/{uuid4().hex}"
+        leaves, n = self._write(name, rows(paths, load_id).withColumn(LOAD, F.lit(load_id)))
+        fresh.write.parquet(names)
+        leaf = f"{LOAD}={load_id}"
+        self._commit(name, [{"leaf": leaf, "path": leaves.get(leaf), "source": source, "batch": batch, "files": names}])
+        self._rows.pop(name, None)
+        return n
+
+    def replace_loads(self, name: str, df: DataFrame | None, load_ids: list[int], cleansed: Iterable[int] = ()) -> None:
+        """Overwrite these loads with ``df``, emptying those it has no rows of, and note which are cleansed now.
 
         ``df`` may read the table.
         """
-        settled = self._settle(self._shaped(name, df))
-        held = self._read_settled(name, settled).select("_load_id").distinct()
-        present = {row._load_id for row in held.collect()}
-        self._overwrite(name, settled, [f"_load_id={n}" for n in sorted(set(load_ids) - present)])
+        leaves = self._write(name, df)[0] if df is not None else {}
+        loads, entries = self._loads(name), []
+        for n in sorted({*load_ids, *cleansed}):
+            old, leaf = loads[n], f"{LOAD}={n}"
+            same = {"leaf": leaf, "source": old.source, "batch": old.batch, "files": old.files}
+            same["cleansed"] = n in cleansed or old.cleansed
+            paths = [leaves.get(leaf)] if n in load_ids else old.paths or [None]
+            entries += [{**same, "path": path, "starts": k == 0} for k, path in enumerate(paths)]
+        if entries:
+            self._commit(name, entries)
+        if df is not None:
+            self._rows.pop(name, None)
 
     def replace_date(self, name: str, df: DataFrame, day: date) -> None:
         """Delete one date and insert its rows, also if there are none.
 
         The other dates of the partition are carried over; with grain "day" there are none.
         """
-        self._replace_days(name, df.where(F.col("date_key") == F.lit(day)), self._one_day(day))
-
-    def replace_dates(self, name: str, df: DataFrame) -> None:
-        """Replace exactly the dates ``df`` holds, rewriting only the partitions they lie in."""
-        settled = new_dir(self.spark, "dates")
-        df.write.parquet(settled)
-        rows = self.spark.read.schema(df.schema).parquet(settled)
-        self._replace_days(name, rows, rows.select("date_key").distinct())
-        remove(self.spark, settled)
-
-    def _one_day(self, *days: date) -> DataFrame:
-        return self.spark.createDataFrame([(d,) for d in days], "date_key date")
-
-    def _replace_days(self, name: str, df: DataFrame, days: DataFrame) -> None:
-        """Overwrite the partitions of ``days`` with ``df`` and the other dates that lie there."""
-        self._path(name)
-        # Sets of dates are bounded by their type, so both joins may broadcast.
-        parts = days.select(self._date_part(F.col("date_key")).alias(DATE_PART)).distinct()
-        touched = [row[0] for row in parts.collect()]
-        kept = self._stored(name).where(F.col(DATE_PART).isin(touched)).join(F.broadcast(days), "date_key", "left_anti")
+        days = self.spark.createDataFrame([(day,)], "date_key date")
+        self._replace_days(name, df.where(F.col("date_key") == F.lit(day)), days)
+
+    def replace_dates(
+        self, name: str, df: DataFrame, days: DataFrame | None = None, built_from: dict[str, int] | None = None
+    ) -> None:
+        """Replace the dates ``days``, or else exactly those ``df`` holds, rewriting only the partitions they lie in."""
+        df = written(df, "dates")
+        self._replace_days(name, df, df.select("date_key").distinct() if days is None else days, built_from)
+
+    def _replace_days(
+        self, name: str, df: DataFrame, days: DataFrame, built_from: dict[str, int] | None = None
+    ) -> None:
+        # Sets of dates are bounded by their type: they may broadcast and their partitions come to the driver.
+        parts = days.where("date_key IS NOT NULL").select(self._date_part(F.col("date_key")).alias(DATE_PART)).distinct()
+        touched = [f"{DATE_PART}={row[0]}" for row in parts.collect()]
+        state = self._state(name)
+        inside = self._stored(name, {leaf: state[leaf] for leaf in touched if leaf in state})
+        kept = inside.join(F.broadcast(days), "date_key", "left_anti")
         columns = self.tables[name][0].fieldNames()
-        settled = self._settle(self._shaped(name, df.select(*columns).unionByName(kept.select(*columns))))
-        held = self._read_settled(name, settled).select(DATE_PART).distinct()
-        present = {row[0] for row in held.collect()}
-        self._overwrite(name, settled, [f"{DATE_PART}={d}" for d in sorted(set(touched) - present)])
+        leaves, _ = self._write(name, df.select(*columns).unionByName(kept.select(*columns)))
+        entries = [{"leaf": leaf, "path": leaves.get(leaf)} for leaf in sorted({*touched, *leaves})]
+        self._commit(name, entries + self._noted(name, built_from))
+        self._rows.pop(name, None)
 
-    # Overwriting in place
+    def _noted(self, name: str, built_from: dict[str, int] | None) -> list[dict]:
+        return [{"leaf": WHOLE, "starts": False, "built_from": _text(built_from)}] if built_from else []
 
-    def _settle(self, shaped: DataFrame) -> str:
-        """Write first what is about to overwrite its own source."""
-        path = new_dir(self.spark, "overwrite")
-        shaped.write.parquet(path)
-        return path
+    def note_built(self, name: str, built_from: dict[str, int]) -> None:
+        """The table as it is, is up to date with these versions."""
+        self._commit(name, self._noted(name, built_from))
 
-    def _read_settled(self, name: str, path: str) -> DataFrame:
-        schema, parts = self.tables[name]
-        if DATE_PART in parts:
-            schema = StructType([*schema.fields]).add(DATE_PART, "date")
-        return self.spark.read.schema(schema).parquet(path)
+    # Retention
 
-    def _overwrite(self, name: str, settled: str, emptied: list[str]) -> None:
-        """Put settled rows in the place of the partitions they belong to, and empty others."""
-        self._path(name)
-        self._rows.pop(name, None)
-        intent = self._intend(name, settled, emptied, None)
-        self._put(name, settled, emptied)
-        self._fulfilled(name, intent)
-        remove(self.spark, settled)
-
-    def _put(self, name: str, settled: str, emptied: list[str]) -> None:
-        """The same state however often it is done."""
-        path, rows = self._current[name][1], self._read_settled(name, settled)
-        self._write(name, rows, path, "overwrite", dynamic=True)
-        for leaf in emptied:
-            rows.drop(*self.tables[name][1]).limit(0).write.mode("overwrite").parquet(f"{path}/{leaf}")
-
-    def _intend(self, name: str, settled: str | None, emptied: list[str], days: list[date] | None) -> str:
-        intent = uuid4().hex
-        self._append_log("intents", name, _INTENTS, [(intent, settled, emptied, days or [], True)])
-        return intent
-
-    def _fulfilled(self, name: str, intent: str) -> None:
-        self._append_log("intents", name, _INTENTS, [(intent, None, [], [], False)])
-
-    def _recover(self, name: str) -> None:
-        """Finish an overwrite, or take out the dates of an append, that a lost driver left open."""
-        log = self._log("intents", name, _INTENTS)
-        closed = log.where("NOT is_open").select("intent")
-        for left in log.where("is_open").join(closed, "intent", "left_anti").collect():
-            if left.path:
-                self._put(name, left.path, left.leaves)
-            else:
-                self._replace_days(name, self.read(name).limit(0), self._one_day(*left.days))
-            self._fulfilled(name, left.intent)
+    def forget(self, name: str, before: int) -> int:
+        """Remove the directories that only versions before ``before`` need; returns how many went.
+
+        Versions from ``before`` on stay readable, and so does the log.
+        """
+        log = self._log(name)
+        if log is None:
+            return 0
+        later = [row.version for row in log.where(F.col("version") >= before).select("version").distinct().collect()]
+        needed = {path for v in {before, *later} for leaf in self._state(name, v).values() for path in leaf.paths}
+        named = log.where("path IS NOT NULL").select("path").distinct().collect()
+        gone = sorted(row.path for row in named if row.path not in needed and exists(self.spark, row.path))
+        for path in gone:
+            remove(self.spark, path)
+        return len(gone)

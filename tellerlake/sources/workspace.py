@@ -24,7 +24,24 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tellerlake/{label}-{uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) of the cluster's own file interface; used for names only, never for data."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.exists(target)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    system, target = _file_system(spark, path)
+    return sorted(entry.getPath().getName() for entry in system.listStatus(target) if entry.isDirectory())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that is not needed any more."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    system, target = _file_system(spark, path)
+    system.delete(target, True)

@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -6,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tellerlake.schemas import ACCOUNT_FILE, TRANSACTION_FILE
-from tellerlake.sources import files
+from tellerlake.sources import files, quoted
 
 ABC = StructType([StructField(c, StringType()) for c in "abc"])
 
@@ -109,3 +110,68 @@ def test_only_files_not_loaded_yet_are_read(spark, tmp_path):
     rows, entries = files.read_new_csv(spark, str(folder), ABC, known)
     assert [r.a for r in rows.collect()] == ["2"]
     assert [r.path.rpartition("/")[2] for r in entries.collect()] == ["TWO.TXT"]
+
+
+def test_the_content_of_loaded_files_is_never_opened(spark, tmp_path):
+    """The loaded files are broken by now, and one has a name that is a pattern."""
+    folder = tmp_path / "in"
+    (folder / "below").mkdir(parents=True)
+    for name in ("one.csv.gz", "two.csv"):
+        write(folder / name, "a,b,c\n1,x,y\n")
+    log = files.list_files(spark, str(folder)).select("path")
+    known = spark.createDataFrame(log.collect(), log.schema)
+    (folder / "one.csv.gz").write_bytes(b"\x1f\x8b not gzip")
+    for n, name in enumerate(["new [1].csv", "n*w {2}.csv", "below/three.csv", "four.csv", "five.csv"]):
+        write(folder / name, f"a,b,c\n{n},x,y\n{n},x,y\n")
+    rows, entries = files.read_new_csv(spark, str(folder), ABC, known, per_block=2)
+    assert sorted(r.a for r in rows.collect()) == sorted("01234" * 2)
+    assert len(rows.inputFiles()) == 5 == entries.count()
+    rows, entries = files.read_new_csv(spark, str(folder), ABC, known.union(entries))
+    assert (rows.count(), rows.schema, entries.count()) == (0, ABC, 0)
+
+
+def quoted_files(folder, seed, n=300):
+    rng = random.Random(seed)
+    quoted = ['"two\nlines"', '"a, b"', '"say ""hi"""', '"\n\n"', '"""\n"""', '"x\r\ny"', '""']
+    plain = ["plain", "", "NULL", "5", "word word"]
+    folder.mkdir()
+    for k in range(3):
+        end = "\r\n" if k == 1 else "\n"
+        lines = ['"mul\nti",b,c' if k == 0 else "a,b,c"]
+        for row in range(n):
+            some = plain if k == 2 else quoted + plain
+            lines += [",".join([str(row), *rng.choices(some, k=rng.choice([0, 1, 2, 2, 3]))])] + [""] * (rng.random() < 0.05)
+        with open(folder / f"f {k} [é].csv", "w", newline="") as out:
+            out.write(end.join(lines) + end * (k != 2))
+
+
+@pytest.mark.parametrize("range_bytes", [200, 2_000, 128 << 20])
+def test_quoted_line_breaks_are_read_by_many_tasks_as_by_one(spark, tmp_path, range_bytes):
+    quoted_files(tmp_path / "in", range_bytes)
+    want = spark.read.schema(ABC).options(**files.csv_options()).csv(f"{tmp_path}/in")
+    names = {"spark.sql.files.maxPartitionBytes": str(range_bytes), "spark.sql.files.openCostInBytes": "1"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        got = quoted.read_quoted(spark, f"{tmp_path}/in", ABC, files.csv_options(), True)
+        ranges = quoted.lines_of(spark, f"{tmp_path}/in").select("file", "block").distinct().count()
+        assert ranges > 60 if range_bytes == 200 else ranges >= 3
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_files_without_such_breaks_are_left_to_the_plain_reader(spark, tmp_path):
+    path = write(tmp_path / "x.csv", 'a,b,c\n1,"x, y","say ""hi"""\n')
+    got = files.csv_text(spark, path, ABC)
+    assert "MapInArrow" not in got._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in got.collect()] == [("1", "x, y", 'say "hi"')]
+
+
+@pytest.mark.parametrize("broken, message", [('1,"x,y\n2,z,z\n', "unclosed quote"), ('1,5" pipe,y\n2,6" pipe,z\n', "stray quote")])
+def test_broken_quotes_fail_the_load(spark, tmp_path, broken, message):
+    path = write(tmp_path / "x.csv", "a,b,c\n" + broken)
+    with pytest.raises(PySparkException, match=message):
+        files.read_csv(spark, path, ABC).collect()

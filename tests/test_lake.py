@@ -1,7 +1,6 @@
 from datetime import date, datetime
 from decimal import Decimal
 from concurrent.futures import ThreadPoolExecutor
-from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -11,7 +10,6 @@ from tellerlake.operators import snapshots
 from tellerlake.operators.joins import written
 from tellerlake.plans import daily
 from tellerlake.schemas import FACT_TRANSACTION
-from tellerlake.sources import lake as lake_module
 from tellerlake.sources.lake import Lake
 from tellerlake.sources import workspace
 
@@ -169,64 +167,100 @@ def test_shared_folder_comes_from_the_session():
     assert workspace.new_dir(local, "x").startswith("file:/w/tellerlake/x-")
 
 
-def test_an_unfinished_overwrite_is_done_again(spark, tmp_path, monkeypatch):
-    """The driver is lost after a part of the partitions has been replaced."""
-    lake, name = Lake(spark, str(tmp_path)), "bronze/t_account"
-    for load_id in (1, 2, 3):
-        lake.replace_load(name, accounts(spark, load_id, "a", "b"), load_id)
+def lost_before_the_commit(monkeypatch, change):
+    """The change writes its rows, and the driver is gone before the log names them."""
 
-    def lost(self, name, settled, emptied):
-        rows = self._read_settled(name, settled).where("_load_id = 1")
-        self._write(name, rows, self._current[name][1], "overwrite", dynamic=True)
+    def lost(self, name, entries):
         raise ConnectionError("driver lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(Lake, "_put", lost)
+        patch.setattr(Lake, "_commit", lost)
         with pytest.raises(ConnectionError):
-            lake.replace_loads(name, lake.read(name).where("_load_id < 3 AND account_id = 'b'"), [1, 2, 3])
+            change()
+
+
+def test_an_unfinished_overwrite_changes_nothing_and_can_be_done_again(spark, tmp_path, monkeypatch):
+    lake, name = Lake(spark, str(tmp_path)), "bronze/t_account"
+    for load_id in (1, 2, 3):
+        lake.replace_load(name, accounts(spark, load_id, "a", "b"), load_id)
+    overwrite = lambda lk: lk.replace_loads(name, lk.read(name).where("_load_id < 3 AND account_id = 'b'"), [1, 2, 3])
+    lost_before_the_commit(monkeypatch, lambda: overwrite(lake))
+    again = Lake(spark, str(tmp_path))
+    assert again.read(name).count() == 6
     for _ in range(2):
-        got = sorted((r.account_id, r._load_id) for r in Lake(spark, str(tmp_path)).read(name).collect())
-        assert got == [("b", 1), ("b", 2)]
+        overwrite(again)
+        assert sorted((r.account_id, r._load_id) for r in Lake(spark, str(tmp_path)).read(name).collect()) == [("b", 1), ("b", 2)]
 
 
-def test_an_unfinished_append_is_taken_out_and_loaded_whole(spark, tmp_path, monkeypatch):
+def test_an_unfinished_append_is_not_seen_and_loaded_whole(spark, tmp_path, monkeypatch):
     lake = Lake(spark, str(tmp_path))
     lake.append(FACT, fact(spark, D[0], D[2]))
-
-    def lost(self, name, df, path, mode, dynamic=False, write=Lake._write):
-        write(self, name, df.where(F.col("date_key") == F.lit(D[1])).limit(1), path, mode, dynamic)
-        raise ConnectionError("driver lost")
-
-    with monkeypatch.context() as patch:
-        patch.setattr(Lake, "_write", lost)
-        with pytest.raises(ConnectionError):
-            lake.append(FACT, fact(spark, D[1], D[1]), [D[1]])
+    lost_before_the_commit(monkeypatch, lambda: lake.append(FACT, fact(spark, D[1], D[1])))
     again = Lake(spark, str(tmp_path))
     assert dates(again) == [(D[0], 1), (D[2], 1)]
-    again.append(FACT, fact(spark, D[1], D[1]), [D[1]])
+    again.append(FACT, fact(spark, D[1], D[1]))
     assert dates(Lake(spark, str(tmp_path))) == [(D[0], 1), (D[1], 2), (D[2], 1)]
 
 
-def test_settled_rows_are_removed_after_the_overwrite(spark, tmp_path):
+def test_every_version_can_be_read(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
-    lake.append(FACT, fact(spark, *D))
-    made = []
-    new_dir = lake_module.new_dir
-    with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(lake_module, "new_dir", lambda *a: made.append(new_dir(*a)) or made[-1])
-        lake.replace_dates(FACT, fact(spark, D[0], D[0]))
-    assert made and not any(Path(p.removeprefix("file:")).exists() for p in made)
-    assert dates(lake) == [(D[0], 2), (D[1], 1), (D[2], 1)]
+    states = {0: []}
+    for change in (
+        lambda: lake.append(FACT, fact(spark, D[0], D[2])),
+        lambda: lake.replace_date(FACT, fact(spark, D[0], D[0]), D[0]),
+        lambda: lake.append(FACT, fact(spark, D[1])),
+        lambda: lake.replace(FACT, fact(spark, D[2], D[2])),
+        lambda: lake.reset(FACT),
+        lambda: lake.append(FACT, fact(spark, D[1])),
+    ):
+        change()
+        states[lake.version(FACT)] = dates(lake)
+    assert sorted(states) == [0, 1, 2, 3, 4, 5, 6] and states[5] == []
+    for version, want in states.items():
+        held = Lake(spark, str(tmp_path)).read(FACT, as_of=version)
+        assert sorted((r.date_key, r["count"]) for r in held.groupBy("date_key").count().collect()) == want
+
+
+def test_forgotten_versions_go_and_later_ones_stay(spark, tmp_path):
+    lake, name = Lake(spark, str(tmp_path)), "silver/dim_account"
+    row = lambda *ids: spark.createDataFrame([(i, "c", "t", "s", "CAD") for i in ids], lake.tables[name][0])
+    for ids in ("a", "ab", "abc"):
+        lake.replace(name, row(*ids))
+    assert lake.forget(name, 2) == 1 and lake.forget(name, 2) == 0
+    assert [lake.read(name, as_of=v).count() for v in (2, 3)] == [2, 3]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        lake.read(name, as_of=1).count()
+    assert lake.forget("silver/dim_customer", 5) == 0
+
+
+def test_a_load_and_a_cleanse_do_not_disturb_each_other(spark, tmp_path, monkeypatch):
+    """A load arrives between what a cleanse has read and what it writes."""
+    name = "bronze/t_account"
+    lake, other = Lake(spark, str(tmp_path)), Lake(spark, str(tmp_path))
+    lake.replace_load(name, accounts(spark, 1, " a", "b"), 1)
+    replace_loads = Lake.replace_loads
+
+    def beside(self, *args, **options):
+        other.replace_load(name, accounts(spark, 2, " c"), 2)
+        replace_loads(self, *args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Lake, "replace_loads", beside)
+        daily.cleanse_bronze(lake, "t_account")
+    assert sorted(r.account_id for r in Lake(spark, str(tmp_path)).read(name).collect()) == [" c", "a", "b"]
+    assert lake.pending_loads(name) == [2]
+    daily.cleanse_bronze(lake, "t_account")
+    assert sorted(r.account_id for r in lake.read(name).collect()) == ["a", "b", "c"]
 
 
 def test_tables_are_created_side_by_side(spark, tmp_path):
     names = ["bronze/t_customer", "bronze/t_account", "bronze/t_transaction"]
-    for k in range(20):
+    for k in range(5):
         lake = Lake(spark, f"{tmp_path}/{k}")
         with ThreadPoolExecutor(3) as pool:
-            list(pool.map(lake.version, names))
+            list(pool.map(lake.reset, names))
         again = Lake(spark, f"{tmp_path}/{k}")
-        assert [again._state(name)[0] for name in names] == [1, 1, 1]
+        assert [again.version(name) for name in names] == [1, 1, 1]
 
 
 def test_rows_are_counted_by_the_writes(spark, tmp_path):

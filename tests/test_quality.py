@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime
 
 import pytest
@@ -75,3 +76,28 @@ def test_reports(tables, spark):
     assert kpis.total_flagged == 14 == dq.run_summary(run).first().total_failures
     assert [r.severity for r in dq.severity_summary(run).collect()] == ["ERROR", "WARNING"]
     assert dq.run_kpis(run.limit(0)).first().status == "PASS"
+
+
+def test_changes_add_up_to_a_full_check(spark):
+    """Random tables before and after: loads that stayed, went, came and were rewritten, with NULL keys."""
+    rng = random.Random(8)
+    key = lambda: rng.choice([None, *map(str, range(14))])
+    mail = lambda: rng.choice([None, "a@b.com", "nowhere"])
+    kinds = {
+        "c": ("customer_id string, email_address string", lambda: (key(), mail())),
+        "a": ("account_id string, customer_id string", lambda: (key(), key())),
+        "t": ("transaction_id string, account_id string", lambda: (key(), key())),
+    }
+    dim = spark.createDataFrame([], "customer_id string, current_flag string")
+    for _ in range(4):
+        changes, before, after = [], [], []
+        for schema, row in kinds.values():
+            rest, then, now = ([row() for _ in range(rng.choice([0, 4, 9]))] for _ in range(3))
+            made = [spark.createDataFrame(rows, schema) for rows in (rest, then, now)]
+            changes.append(dq.Change(*made))
+            before.append(made[0].union(made[1]))
+            after.append(made[0].union(made[2]))
+        full = lambda tables: {r.rule_no: r.records_failed for r in dq.failure_counts(*tables, dim).collect()}
+        kept = spark.createDataFrame(list(full(before).items()), "rule_no int, records_failed bigint")
+        merged = dq.added_up([kept, *dq.count_changes(*changes)])
+        assert {r.rule_no: r.records_failed for r in merged.collect()} == full(after)

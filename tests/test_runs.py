@@ -8,7 +8,8 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tellerlake.operators import dimensions, load_stats
+from tellerlake.operators import dimensions, load_stats, quality
+from tellerlake.operators.facts import daily_rollups
 from tellerlake.plans import daily
 from tellerlake.schemas import CUSTOMER_FILE, DIM_ACCOUNT
 from tellerlake.sources.lake import Lake
@@ -140,6 +141,67 @@ def test_running_again_changes_nothing(loaded):
     assert counts(lake) == before
 
 
+def agg(lake, **as_of):
+    return sorted(map(str, lake.read("gold/fact_daily_agg", **as_of).collect()))
+
+
+def full_agg(lake):
+    rows = daily_rollups(lake.read("bronze/t_transaction"), lake.read("bronze/t_account"))
+    return sorted(map(str, rows.select(*lake.read("gold/fact_daily_agg").columns).collect()))
+
+
+def quality_counts(lake):
+    log = lake.read("governance/data_quality_log")
+    last = log.agg(F.max("log_id")).first()[0]
+    return {r.check_name: r.records_failed for r in log.where(F.col("log_id") > last - 8).collect()}
+
+
+def full_counts(lake):
+    tables = [lake.read(name) for name in [*daily.LOADED, "silver/dim_customer"]]
+    names = {rule.number: rule.check for rule in quality.RULES}
+    return {names[r.rule_no]: r.records_failed for r in quality.failure_counts(*tables).collect()}
+
+
+def test_only_changed_dates_are_built_and_earlier_states_stay(spark, tmp_path):
+    lake = Lake(spark, f"{tmp_path}/lake")
+
+    def run(how, day):
+        at = lambda: datetime(2024, 1, day)
+        how(lake, daily.from_csv_folders(f"{tmp_path}/in", f"{tmp_path}/cp", at), date(2024, 1, day), at)
+
+    arrive(tmp_path / "in", "history", HISTORY)
+    run(daily.historical_run, 1)
+    name = "gold/fact_daily_agg"
+    first, version = agg(lake), lake.version(name)
+    assert first == full_agg(lake) and quality_counts(lake) == full_counts(lake)
+    january = lake._state(name)["date_part=2023-01-01"].paths
+    # A newer copy of a transaction with another amount, one of a new month, an account with another owner
+    # and no transactions, a malformed mail and an account without a customer.
+    arrive(tmp_path / "in", "second", {
+        "customer": [customer(3, "Toronto", "nowhere")],
+        "account": [account(30, "Active"), "ACCT-031,CUST-777,Savings,Active,,2023-01-01,2023-01-01 00:00:00"],
+        "transaction": [transaction(200, "2023-03-01"), "TXN-00201,ACCT-900,2023-03-02 10:00:00,Fee,1.00,x"],
+    })
+    run(daily.incremental_run, 2)
+    assert lake._state(name)["date_part=2023-01-01"].paths == january
+    assert agg(lake) == full_agg(lake) != first and agg(lake, as_of=version) == first
+    assert quality_counts(lake) == full_counts(lake)
+    assert (full_counts(lake)["FK_ACCOUNT_REF"], full_counts(lake)["FK_CUSTOMER_REF"], full_counts(lake)["EMAIL_FORMAT"]) == (1, 1, 1)
+    # A moved account, a corrected transaction, the missing parents.
+    arrive(tmp_path / "in", "third", {
+        "customer": [customer(777, "Toronto"), customer(3, "Toronto")],
+        "account": ["ACCT-001,CUST-002,Savings,Active,,2023-01-01,2023-01-01 00:00:00", account(900, "Active")],
+        "transaction": ["TXN-00005,ACCT-005,2023-01-09 10:00:00,Fee,77.00,x"],
+    })
+    run(daily.incremental_run, 3)
+    assert agg(lake) == full_agg(lake) and quality_counts(lake) == full_counts(lake)
+    assert full_counts(lake)["FK_ACCOUNT_REF"] == 0 == full_counts(lake)["FK_CUSTOMER_REF"]
+    # Nothing new: nothing is built.
+    before = lake.version(name)
+    daily.load_agg(lake)
+    assert lake.version(name) == before + 1 and lake.read(name, as_of=before).exceptAll(lake.read(name)).count() == 0
+
+
 def test_late_date_can_be_replaced(loaded):
     _, lake, _, _ = loaded
     daily.load_fact(lake, date(2023, 1, 1), mode="replace_dates")
