@@ -5,13 +5,14 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tellerlake.functions.dates import calendar_columns
 from tellerlake.operators.joins import on_hot_key, written
 from tellerlake.schemas import OPEN_END, TRACKED
 
+
 def is_current() -> Column:
     return F.col("current_flag") == F.lit("Y")
 
@@ -127,6 +128,64 @@ def apply_scd2(
     return closed.unionByName(fresh, allowMissingColumns=True)
 
 
+def apply_history(
+    dim: DataFrame,
+    events: DataFrame,
+    key: str = "customer_id",
+    tracked: list[str] = TRACKED,
+    at: str = "created_timestamp",
+) -> DataFrame:
+    """Every version that ``events`` tell of, each from the day it happened to the day before the next.
+
+    Unlike ``apply_scd2``, which knows the state of one day only, a batch may hold
+    several states of a key, and states from before those the dimension has. For
+    the keys it names, states and events are put in order, equal neighbours are
+    one version, and intervals follow from the order; a late event takes its place
+    and shortens the version it falls into. The result does not depend on how the
+    events were cut into batches, and a batch that comes again changes nothing.
+
+    Versions count days: of a key's events on one day the last is its state, and
+    where a version starts on that day already, the event's state replaces it. A
+    change to or from NULL is a change. Versions that stay keep their surrogate,
+    new ones have NULL. Other keys pass through; an event without a time fails.
+    """
+    state = [F.col(c) for c in tracked]
+    dated = F.coalesce(F.col(at), F.raise_error(F.lit("cannot place an event without a time")).cast("timestamp_ntz"))
+    # One row a key and day, combined before the shuffle: a hot key has as many rows as days.
+    daily = events.select(key, dated.alias("_at"), F.struct(*state).alias("_state"))
+    daily = daily.groupBy(key, F.to_date("_at").alias("_day")).agg(F.max(F.struct("_at", "_state")).alias("_last"))
+    daily = written(daily.select(key, "_day", F.col("_last._state").alias("_state")), "daily-states")
+    touched = daily.select(F.col(key).alias("_touched")).distinct()
+    others = dim.join(touched, on_hot_key(key, "_touched"), "left_anti")
+    held = dim.join(touched, on_hot_key(key, "_touched"), "left_semi")
+    extra = [c for c in dim.columns if c not in (key, *tracked, "start_date", "end_date", "current_flag")]
+    # Of several versions of one day the one that lasted longest is its state.
+    held = held.groupBy(key, F.col("start_date").alias("_day")).agg(
+        F.max(F.struct("end_date", F.struct(*state).alias("_state"), F.struct(*extra, F.lit(0)).alias("_extra"))).alias("_last")
+    )
+    both = held.select(key, "_day", F.col("_last._state").alias("_held"), F.col("_last._extra").alias("_extra")).join(
+        daily.withColumnsRenamed({key: "_key", "_day": "_on"}), (F.col(key) == F.col("_key")) & (F.col("_day") == F.col("_on")), "full"
+    )
+    both = both.select(
+        F.coalesce(key, "_key").alias(key),
+        F.coalesce("_day", "_on").alias("_day"),
+        F.coalesce("_state", "_held").alias("_state"),
+        F.when(F.col("_state").isNull() | F.col("_state").eqNullSafe(F.col("_held")), F.col("_extra")).alias("_extra"),
+    )
+    in_time = Window.partitionBy(key).orderBy("_day")
+    runs = both.withColumn("_before", F.lag("_state").over(in_time)).where(~F.col("_state").eqNullSafe(F.col("_before")))
+    runs = runs.withColumn("_next", F.lead("_day").over(in_time))
+    columns = {
+        **{c: F.col(f"_state.{c}") for c in tracked},
+        **{c: F.col(f"_extra.{c}") for c in extra},
+        "start_date": F.col("_day"),
+        "end_date": F.coalesce(F.date_sub("_next", 1), F.lit(OPEN_END).cast("date")),
+        "current_flag": F.when(F.col("_next").isNull(), "Y").otherwise("N"),
+        key: F.col(key),
+    }
+    return others.unionByName(runs.select(*[columns[c].alias(c) for c in dim.columns]))
+
+
 def fill_surrogates(df: DataFrame, column: str = "customer_key", highest: int = 0) -> DataFrame:
     """Number the rows whose surrogate is NULL above ``highest``; unique, with gaps.
 

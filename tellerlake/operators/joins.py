@@ -1,7 +1,8 @@
-"""Join helpers: keys that may be hot, and tables that are written down before they are used twice."""
+"""Helpers for keys that may be hot, in joins and sorts, and for tables that are written before they are used twice."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +32,29 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: What the analyser says of rows that do not come from one table of files.
+NO_PLACE = ("UNRESOLVED_COLUMN.WITH_SUGGESTION", "AMBIGUOUS_REFERENCE", "FIELD_NOT_FOUND")
+
+
+def in_order(df: DataFrame, *keys: Column | str) -> DataFrame:
+    """``df`` sorted by ``keys`` over all its partitions, rows with equal keys over as many as their number asks for.
+
+    A sort cuts its range where a key changes, so however many rows share one
+    key would be one task. Here the place of a row in its file comes after the
+    keys: it is part of what was written, so a task that is run again cuts where
+    the first one did. A table read from files is sorted as it stands, anything
+    else is written first.
+    """
+    try:
+        located = df.select("*", _place().alias("_place"))
+    except AnalysisException as error:
+        if error.getCondition() not in NO_PLACE:
+            raise
+        located = written(df, "unordered").select("*", _place().alias("_place"))
+    return located.orderBy(*keys, "_place").drop("_place")
+
+
+def _place() -> Column:
+    return F.xxhash64("_metadata.file_path", "_metadata.row_index")

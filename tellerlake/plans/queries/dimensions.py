@@ -46,6 +46,42 @@ def replayed_feed(spark, sf_dir):
     return lake.read("silver/dim_customer").drop("customer_key")
 
 
+_EVENTS = """
+  SELECT customer_id, first_name, last_name, email_address, city, state_province, country, start_date AS day FROM dim_prior
+  WHERE customer_id IN (SELECT customer_id FROM people)
+  UNION ALL SELECT customer_id, first_name, last_name, email_address, 'PASSED THROUGH', state_province, country,
+    DATE '2021-07-01' FROM people
+  UNION ALL SELECT customer_id, first_name, last_name, email_address, city, state_province, country, DATE '2024-03-06' FROM people"""
+
+
+@query(
+    "dim_03_history",
+    f"""WITH events AS ({_EVENTS}),
+      runs AS (SELECT *, lag(ROW(first_name, last_name, email_address, city, state_province, country)) OVER w AS before
+               FROM events WINDOW w AS (PARTITION BY customer_id ORDER BY day)),
+      starts AS (SELECT * FROM runs
+                 WHERE before IS NULL OR ROW(first_name, last_name, email_address, city, state_province, country)
+                       IS DISTINCT FROM before),
+      bounded AS (SELECT *, lead(day) OVER (PARTITION BY customer_id ORDER BY day) AS next FROM starts)
+    SELECT customer_id, first_name, last_name, email_address, city, state_province, country,
+      CAST(day AS VARCHAR) AS start_date, CAST(coalesce(next - 1, DATE '9999-12-31') AS VARCHAR) AS end_date,
+      CASE WHEN next IS NULL THEN 'Y' ELSE 'N' END AS current_flag FROM bounded
+    UNION ALL SELECT {_VERSIONS} FROM dim_prior WHERE customer_id NOT IN (SELECT customer_id FROM people)""",
+)
+def every_version(spark, sf_dir):
+    """The states of March come first, those of two years before after them, and both come twice."""
+    lake, name = Lake(spark, new_dir(spark, "history")), "silver/dim_customer"
+    lake.replace(name, bank.dim_prior(spark, sf_dir).withColumn("customer_key", F.lit(None).cast("long")))
+    at = F.lit("2024-03-06 08:00:00").cast("timestamp_ntz")
+    newest = bank.people(spark, sf_dir).drop("overdrawn").withColumn("created_timestamp", at)
+    late = newest.withColumns(
+        {"city": F.lit("PASSED THROUGH"), "created_timestamp": F.lit("2021-07-01 09:00:00").cast("timestamp_ntz")}
+    )
+    for batch in (newest, late, newest.unionByName(late)):
+        lake.replace(name, dim.apply_history(lake.read(name), batch))
+    return lake.read(name).drop("customer_key")
+
+
 # Surrogate values are arbitrary; what can be checked is that each is given once.
 @query(
     "dim_04",

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tellerlake.operators import facts
+from tellerlake.operators import distinct_sets, facts
 from tellerlake.plans import bank
+from tellerlake.plans.daily import kept_trend, load_trend
 from tellerlake.plans.registry import query
+from tellerlake.sources.lake import Lake
+from tellerlake.sources.workspace import new_dir
 
 _FACT = """CAST(date_key AS VARCHAR) AS date_key, customer_id, account_id, transaction_id, transaction_type,
   CAST(amount AS DOUBLE) AS amount"""
@@ -72,3 +75,31 @@ def monthly_spend(spark, sf_dir):
 @query("vw_02", "SELECT * REPLACE (CAST(month_key AS VARCHAR) AS month_key) FROM trend")
 def type_trend(spark, sf_dir):
     return bank.trend(spark, sf_dir)
+
+
+def _kept_trend(spark, sf_dir):
+    """The fact comes in two deliveries that share a month; the second changes its partitions only."""
+    lake, fact = Lake(spark, new_dir(spark, "trend")), bank.fact(spark, sf_dir)
+    early = F.col("date_key") < F.lit(bank.REPORT_DAY)
+    for part in (fact.where(early), fact.where(~early)):
+        lake.append("gold/fact_daily_transaction", part)
+        load_trend(lake)
+    return kept_trend(lake)
+
+
+@query("vw_02_kept", "SELECT * REPLACE (CAST(month_key AS VARCHAR) AS month_key) FROM trend")
+def kept_type_trend(spark, sf_dir):
+    return distinct_sets.trend(*_kept_trend(spark, sf_dir))
+
+
+@query(
+    "ana_03_kept",
+    """SELECT COUNT(*) AS total_transactions, CAST(SUM(amount) AS DOUBLE) AS total_volume,
+              CAST(SUM(amount) AS DOUBLE) / COUNT(amount) AS avg_transaction,
+              COUNT(DISTINCT customer_id) AS unique_customers
+       FROM fact WHERE transaction_type IS NOT NULL""",
+)
+def kept_kpis(spark, sf_dir):
+    """Distinct customers of all months, from the sets of each."""
+    counts, sets = (df.where("transaction_type IS NOT NULL") for df in _kept_trend(spark, sf_dir))
+    return distinct_sets.totals(counts, sets)

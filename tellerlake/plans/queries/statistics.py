@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake.operators import event_log, load_stats, snapshots
@@ -185,6 +187,32 @@ def point_in_time(spark, sf_dir):
     return counts.select(F.col("table_name").alias("state"), "row_count")
 
 
+@query(
+    "snp_05_versions",
+    """SELECT 'customers' AS table_name, 1 AS version, COUNT(*) AS row_count FROM dim_prior
+       UNION ALL SELECT 'customers', 2, COUNT(*) FROM dim_now
+       UNION ALL SELECT 'rollups', 1, COUNT(*) FROM rollups WHERE date_key < DATE '1998-01-01'
+       UNION ALL SELECT 'rollups', 2, COUNT(*) FROM rollups
+       UNION ALL SELECT 'rollups', 3, COUNT(*) FROM rollups WHERE date_key <> DATE '1998-06-13'""",
+)
+def states_of_rewritten_tables(spark, sf_dir):
+    """What the dimension and the aggregate held after each rewrite, read once all are done."""
+    lake, dim, agg = Lake(spark, new_dir(spark, "versions")), "silver/dim_customer", "gold/fact_daily_agg"
+    for state in (bank.dim_prior(spark, sf_dir), bank.dim_now(spark, sf_dir)):
+        lake.replace(dim, state.withColumn("customer_key", F.lit(None).cast("long")))
+    early, rollups = F.col("date_key") < F.lit(bank.CUTOFF), bank.rollups(spark, sf_dir)
+    lake.replace(agg, rollups.where(early))
+    lake.replace_dates(agg, rollups.where(~early))
+    lake.replace_date(agg, rollups.limit(0), bank.REPORT_DAY)
+    states = [("customers", dim, 2), ("rollups", agg, 3)]
+    counts = [
+        lake.read(name, as_of=version).agg(F.lit(shown).alias("table_name"), F.lit(version).alias("version"), F.count(F.lit(1)).alias("row_count"))
+        for shown, name, last in states
+        for version in range(1, last + 1)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query(
     "snp_06",
     """SELECT account_id, customer_id, account_type, status FROM raw_accounts WHERE _load_id = 2

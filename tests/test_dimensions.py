@@ -1,10 +1,11 @@
-from datetime import date
+from datetime import date, datetime
 from random import Random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tellerlake.operators import dimensions as dim
+from tellerlake.operators.joins import written
 from tellerlake.schemas import DIM_CUSTOMER, TRACKED
 
 D0, D1, D2 = date(2024, 1, 1), date(2024, 2, 1), date(2024, 3, 1)
@@ -173,3 +174,62 @@ def test_calendar_refill_adds_only_missing_days(spark):
     more = dim.extend_calendar(first, dim.calendar(spark, date(2024, 1, 8), date(2024, 1, 12)))
     assert more.count() == 12 and more.select("date_key").distinct().count() == 12
     assert dim.extend_calendar(first, first).count() == 10
+
+
+EVENT = "customer_id string, " + ", ".join(f"{c} string" for c in TRACKED) + ", created_timestamp timestamp_ntz"
+
+
+def events(spark, *rows):
+    """Rows of (id, city, time)."""
+    return spark.createDataFrame([(i, "f", "l", "e@x.com", city, "s", "c", at) for i, city, at in rows], EVENT)
+
+
+def history(rows):
+    """Versions of (id, city, time) rows: the last state of a day, equal neighbours as one."""
+    out = []
+    for key in {r[0] for r in rows}:
+        days = {}
+        for _, city, at in sorted((r for r in rows if r[0] == key), key=lambda r: (r[2], r[1] or "")):
+            days[at.date()] = city
+        runs = [(d, c) for n, (d, c) in enumerate(sorted(days.items())) if n == 0 or sorted(days.items())[n - 1][1] != c]
+        for n, (day, city) in enumerate(runs):
+            last = n + 1 == len(runs)
+            end = OPEN if last else date.fromordinal(runs[n + 1][0].toordinal() - 1)
+            out.append((key, city, day, end, "Y" if last else "N"))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_history_does_not_depend_on_how_events_are_batched(spark, seed):
+    rng = Random(seed)
+    # One event a key and time; several a day, in batches that are late against each other.
+    rows = list({(i, d, h): (i, rng.choice(["a", "b", None]), datetime(2024, 1, d, h))
+                 for i, d, h in [(f"c{rng.randrange(5)}", rng.randrange(1, 9), rng.randrange(3)) for _ in range(60)]}.values())
+    by_day = {}
+    for row in rows:
+        by_day.setdefault((row[0], row[2].date()), []).append(row)
+    batches = [[], [], []]
+    for same_day in by_day.values():
+        rng.choice(batches).extend(same_day)
+    held = versions(spark, (7, "other", "x", D0, D1, "N"), (8, "other", "y", D1, OPEN, "Y"))
+    for batch in [*batches, batches[0], rows]:
+        held = written(dim.apply_history(held, events(spark, *batch)), "held")
+    kept = [("other", "x", D0, D1, "N"), ("other", "y", D1, OPEN, "Y")]
+    assert state(held) == sorted(history(rows) + kept, key=str)
+    current = dim.current_versions(held).groupBy("customer_id").count()
+    assert current.where("count > 1").count() == 0
+
+
+def test_late_events_take_their_place_and_versions_keep_their_surrogate(spark):
+    held = versions(spark, (1, "c", "old", D0, date(2024, 2, 29), "N"), (2, "c", "new", D2, OPEN, "Y"))
+    at = lambda day: datetime.combine(day, datetime.min.time())
+    late = dim.apply_history(held, events(spark, ("c", "between", at(D1)), ("d", "first", at(D1))))
+    assert state(late) == [
+        ("c", "between", D1, date(2024, 2, 29), "N"), ("c", "new", D2, OPEN, "Y"), ("c", "old", D0, date(2024, 1, 31), "N"),
+        ("d", "first", D1, OPEN, "Y"),
+    ]
+    assert {r.city: r.customer_key for r in late.collect()} == {"old": 1, "between": None, "new": 2, "first": None}
+    assert state(dim.apply_history(held, events(spark, ("c", "old", at(D1))))) == state(held)
+    assert state(dim.apply_history(held, events(spark))) == state(held)
+    with pytest.raises(Exception, match="without a time"):
+        dim.apply_history(held, events(spark, ("c", "x", None))).collect()

@@ -7,8 +7,11 @@ from random import Random
 import pytest
 from pyspark.sql import functions as F
 
-from tellerlake.operators import cleanse, dashboard, dimensions, facts, load_stats, views
-from tellerlake.schemas import TRACKED, TRANSACTION_FILE
+from tellerlake.operators import cleanse, dashboard, dimensions, distinct_sets, facts, load_stats, views
+from tellerlake.operators.joins import in_order
+from tellerlake.plans import daily
+from tellerlake.schemas import FACT_TRANSACTION, TRACKED, TRANSACTION_FILE
+from tellerlake.sources.lake import Lake
 
 ACCOUNTS = "account_id string, customer_id string"
 
@@ -297,3 +300,53 @@ def test_hot_key_is_split_in_the_dedupe_join(spark, hot):
             newest[key] = max(newest.get(key, at), at)
         assert len(kept.collect()) == sum(at == newest[key] for key, at in rows)
         assert "SortMergeJoin(skew=true)" in final_plan(kept)
+
+
+def test_equal_sort_keys_are_split_over_partitions(spark, tmp_path):
+    """A third of the rows are equal in every column, another third in the keys."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 1000).alias("k"),
+        F.when(F.col("id") % 3 == 1, F.col("id")).otherwise(0).alias("v"),
+    )
+    rows.repartition(6).write.parquet(f"{tmp_path}/t")
+    with settings(spark, shuffle__partitions="8", adaptive__coalescePartitions__enabled="false"):
+        for table in (spark.read.parquet(f"{tmp_path}/t"), rows.groupBy("k", "v").count().drop("count").union(rows)):
+            ordered = in_order(table, F.col("k").desc())
+            assert ordered.columns == table.columns
+            parts = ordered.withColumn("p", F.spark_partition_id()).groupBy("p")
+            parts = sorted(parts.agg(F.count("*").alias("n"), F.max("k").alias("high"), F.min("k").alias("low")).collect())
+            assert len(parts) == 8 and max(r.n for r in parts) < 2 * table.count() / 8
+            assert all(a.low >= b.high for a, b in zip(parts, parts[1:]))
+            assert sorted(map(tuple, ordered.collect())) == sorted(map(tuple, table.collect()))
+
+
+def test_kept_sets_give_the_trend_of_the_whole_fact(spark, tmp_path):
+    """Parts arrive, a date is replaced, one is emptied; months in which nothing changed are not touched."""
+    rng, lake, name = Random(3), Lake(spark, str(tmp_path)), "gold/fact_daily_transaction"
+
+    def part(month, days, n):
+        rows = [(rng.choice(["c1", "c2", "c3", None]), f"a{rng.randrange(9)}", f"t{k}", rng.choice(["Fee", "Cash", None]),
+                 rng.choice([None, Decimal("2.50"), Decimal("1.00")]), date(2024, month, rng.choice(days))) for k in range(n)]
+        return spark.createDataFrame(rows, FACT_TRANSACTION)
+
+    def agrees():
+        views.type_trend(lake.read(name)).createOrReplaceTempView("whole")
+        daily.load_trend(lake)
+        got = distinct_sets.trend(*daily.kept_trend(lake))
+        want = spark.table("whole").select(*got.columns)
+        show = lambda df: sorted(str([float(x) if isinstance(x, Decimal) else x for x in r]) for r in df.collect())
+        assert show(got) == show(want)
+        one = distinct_sets.totals(*daily.kept_trend(lake)).first()
+        assert one.unique_customers == lake.read(name).agg(F.count_distinct("customer_id")).first()[0]
+        return lake._state("gold/trend_sets")
+
+    lake.append(name, part(1, [1, 2], 40).union(part(2, [1, 5], 30)))
+    first = agrees()["date_part=2024-01-01"].paths
+    lake.append(name, part(2, [7], 20).union(part(3, [1], 5)))
+    assert agrees()["date_part=2024-01-01"].paths == first
+    lake.replace_date(name, part(2, [7], 3), date(2024, 2, 7))
+    lake.replace_date(name, part(3, [1], 0), date(2024, 3, 1))
+    state = agrees()
+    assert state["date_part=2024-01-01"].paths == first and state["date_part=2024-03-01"].paths == []
+    numbers = lake.read("gold/value_numbers")
+    assert numbers.count() == numbers.select("number").distinct().count() == numbers.select("kind", "value").distinct().count()
