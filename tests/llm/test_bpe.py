@@ -26,8 +26,45 @@ def reference(plain, text):
 def test_pieces_give_what_the_library_gives(plain):
     rng, encoder = random.Random(2), bpe.Encoder(queries.word_vocabulary())
     texts = ["".join(rng.choices(PARTS, k=rng.randint(0, 12))) for _ in range(3000)]
-    for text, got in zip(texts, encoder([t.encode() for t in texts])):
+    for text, got in zip(texts, encoder(texts)):
         assert got == reference(plain, text), repr(text)
+    assert encoder.by_piece and list(encoder([])) == []
+
+
+@pytest.mark.parametrize("leaf_chars,reach", [(2, 1), (7, 2), (30, 4), (200, 16)])
+def test_joined_halves_of_texts_equal_the_whole(plain, leaf_chars, reach, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 40)
+    rng, encoder = random.Random(leaf_chars), bpe.Encoder(queries.word_vocabulary(), leaf_chars, reach)
+    texts = ["".join(rng.choices(PARTS, k=rng.randint(0, 60))) for _ in range(400)] + ["a " * 300, " " * 500, "\n" * 90 + "x"]
+    for k in range(0, len(texts), 37):
+        for text, got in zip(texts[k : k + 37], encoder(texts[k : k + 37])):
+            assert got == reference(plain, text), repr(text)
+    assert encoder.joins > 50
+
+
+def test_other_vocabularies_are_joined_by_tokens_and_decoded_by_the_library(plain):
+    """A byte-level vocabulary keeps white space in its tokens and has a decoder of its own."""
+    import public_tokenizers
+
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder, whole = bpe.Encoder(path, leaf_chars=50, reach=8), bpe.load(path)
+    assert not encoder.by_piece
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices([p for p in PARTS if "<" not in p], k=rng.randint(0, 80))) for _ in range(60)]
+    for text, (n, ids, decoded) in zip(texts, encoder(texts)):
+        want = whole.encode(text, add_special_tokens=False).ids
+        assert ids == " ".join(map(str, want)) and n == len(want)
+        assert decoded == whole.decode(want, skip_special_tokens=False)
+
+
+def test_long_documents_are_joined(plain):
+    import pyarrow.parquet as pq
+
+    texts = [t for t in pq.read_table(f"{SF}/documents.parquet")["text"].to_pylist() if len(t or "") > bpe.LEAF_CHARS]
+    encoder = bpe.Encoder(queries.word_vocabulary())
+    for text, got in zip(texts, encoder(texts)):
+        assert got == reference(plain, text)
+    assert encoder.joins >= len(texts) > 0
 
 
 @pytest.mark.parametrize("leaf_chars,reach", [(8, 2), (16, 4), (50, 8), (300, 16)])
