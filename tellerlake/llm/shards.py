@@ -41,6 +41,8 @@ from tellerlake.sources.workspace import new_dir
 SHARDS, SEED = 8, 13
 #: Bytes of text in a bucket; a record counts 64 bytes more for its other columns.
 BUCKET_BYTES, RECORD_BYTES = 32 << 20, 64
+#: Of the records written, which are whole texts twice.
+COMPRESSION = "zstd"
 #: The table of first ranks has a row a bucket, so this bounds what is broadcast (2 MB).
 MAX_BUCKETS = 1 << 17
 
@@ -66,7 +68,9 @@ def placed(docs: DataFrame, text: str) -> DataFrame:
         F.crc32(content.cast("binary")).alias("checksum"),
         F.monotonically_increasing_id().alias("place"),
     )
-    return written(rows, "shard-places")
+    path = new_dir(docs.sparkSession, "shard-places")
+    rows.write.option("compression", COMPRESSION).parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def bucket_of(buckets: int, seed: int):
@@ -129,5 +133,5 @@ def shuffle(
     start = F.least(F.col("shard"), F.lit(more)) + F.col("shard").cast("bigint") * F.lit(small)
     sliced = ranked.withColumn("shard", shard).withColumn("slot", rank - start).drop("rank")
     path = path or new_dir(spark, "shards")
-    sliced.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    sliced.sortWithinPartitions("shard", "slot").write.option("compression", COMPRESSION).partitionBy("shard").parquet(path)
     return spark.read.schema(sliced.schema).parquet(path)
