@@ -51,6 +51,8 @@ SEED = 42
 MAX_DISTANCE = 4
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 15
+#: Fingerprints whose keys one task makes: some two million rows.
+NODES_PER_TASK = 20_000
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -176,12 +178,23 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     )
 
 
+def keyed(nodes: DataFrame) -> DataFrame:
+    """(key, node) for every key of every fingerprint.
+
+    A node becomes about a hundred rows, so nodes are dealt to as many tasks as
+    their keys ask for, not to as few as their own bytes would.
+    """
+    tasks = nodes.count() // NODES_PER_TASK + 1
+    return nodes.select("node").repartition(tasks, "node").mapInArrow(_emit_keys, "key long, node long")
+
+
 def classes(nodes: DataFrame) -> DataFrame:
     """(node, root) of the fingerprints in ``nodes`` that link to another one; the root is the smallest of the class."""
-    keys = nodes.select("node").mapInArrow(_emit_keys, "key long, node long")
-    keys = written(keys, "simhash-keys")
+    # Cheaper made twice than written: most keys belong to one node and go no further.
+    keys = keyed(nodes)
     span = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    shared = keys.join(span.withColumnRenamed("key", "shared"), on_hot_key("key", "shared"))
+    span = written(span.withColumnRenamed("key", "shared"), "simhash-spans")
+    shared = keys.join(span, on_hot_key("key", "shared"))
     shared = written(shared.select("key", "node", "low", "high"), "simhash-shared")
     stars = [
         shared.where((F.col("node") != F.col(end)) & _near("node", end)).select(F.col("node").alias("a"), F.col(end).alias("b"))
@@ -231,15 +244,18 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """The row of ``docs`` with the smallest id of each class, unchanged.
 
-    Of rows that repeat that id one stays; of a class without any id, one row.
+    Of rows that repeat that id within the class one stays; of a class without any id, one row.
     """
     rows, named = _placed(docs, id, text, shingle)
     named = written(named, "simhash-named")
-    own = rows.join(named, on_hot_key("fp", "node")).where("id = component_id")
-    ids = written(own.groupBy(F.col("id").alias("__kept")).agg(F.count("*").alias("__rows")), "simhash-kept")
-    kept = docs.join(ids, F.col(f"`{id}`") == F.col("__kept"))
-    single = kept.where("__rows = 1").select(docs.columns)
-    repeated = kept.where("__rows > 1").dropDuplicates(["__kept"]).select(docs.columns)
-    nameless = fingerprints(docs.where(F.col(f"`{id}`").isNull()), text, "__fp", shingle)
-    nameless = nameless.join(named.where("component_id IS NULL"), on_hot_key("__fp", "node"))
-    return single.union(repeated).union(nameless.dropDuplicates(["root"]).select(docs.columns))
+    per_id = rows.where("id IS NOT NULL").join(named, on_hot_key("fp", "node")).groupBy("id")
+    per_id = per_id.agg(F.count("*").alias("n"), F.max(F.col("id") == F.col("component_id")).alias("stays"))
+    # Whole texts meet only the ids that go or repeat, few beside those that stay.
+    aside = written(per_id.where("n > 1 OR NOT stays"), "simhash-aside").select(F.col("id").alias("other"), "n")
+    # The input's columns travel as one, so that no name can clash.
+    records = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"), F.col(f"`{id}`").alias("id"))
+    single = records.where("id IS NOT NULL").join(aside, on_hot_key("id", "other"), "left_anti")
+    again = records.join(aside.where("n > 1"), on_hot_key("id", "other"), "left_semi").union(records.where("id IS NULL"))
+    again = fingerprints(again.withColumn("text", F.col("record").getField(text)), "text", "fp", shingle)
+    again = again.join(named, on_hot_key("fp", "node")).where(F.col("id").eqNullSafe(F.col("component_id")))
+    return single.select("record.*").union(again.dropDuplicates(["root"]).select("record.*"))

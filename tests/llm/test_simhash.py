@@ -129,6 +129,23 @@ def test_edge_rows(spark):
     assert simhash.keep_one(docs.limit(0)).count() == 0
 
 
+def test_columns_of_any_name_and_ids_that_repeat_with_other_texts(spark):
+    rows = [(1, "one two three four five"), (2, "one two three four five"), (2, "quite other words stand here"), (2, "quite other words stand here")]
+    rows += [(3, "a b " * 60_000)]
+    names = "doc_id long, text string, __rows int, __kept int, record int, id int, root int, `n` int"
+    docs = spark.createDataFrame([(*r, 1, 2, 3, 4, 5, 6) for r in rows], names)
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text, r.id) for r in kept.collect()) == sorted((*rows[k], 4) for k in (0, 2, 4))
+
+
+def test_keys_are_made_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "NODES_PER_TASK", 100)
+    rng = random.Random(1)
+    nodes = spark.createDataFrame([(rng.getrandbits(63),) for _ in range(1000)], "node long").coalesce(1)
+    assert simhash.keyed(nodes).select(F.spark_partition_id().alias("p")).distinct().count() >= 8
+
+
 def test_query_over_the_whole_table(spark):
     rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     prints = [brute_fingerprint(t) for _, t in rows]
