@@ -2,17 +2,19 @@
 
 Each text gets measures that grow with damage, and each measure has levels: its
 cutoffs, from lenient to strict. A text that exceeds a cutoff in use is rejected.
-Which levels a stratum may use is decided on labelled good documents, one measure
-after the other: beside the levels already chosen, the measure's own are tested
-in order until one fails, each by the rejections k of n of all measures together
-with the exact binomial tail P(Bin(n, ALPHA) <= k). A measure that fails at once
-is not used and leaves the others their chance.
-
-The strata and the measures share DELTA equally, and a measure's share is divided
-by the number of choices that may have been made before it. A chain of tests
-whose beginning is fixed needs no correction, so with probability 1 - DELTA no
-stratum rejects more than ALPHA of its good documents. A stratum without enough
-labels passes no level and rejects nothing.
+Which levels a stratum may use is decided on its labelled good documents that
+pass the base rules, one trial a labelled id: of an id with several rows the
+worst of each measure counts. A hash splits them into two halves.
+
+The first half proposes: for each measure the strictest level at which it alone
+rejects few. A measure that good documents exceed at every level is proposed none
+and leaves the others their chance. The second half tests the proposal, in the
+order in which all its levels grow together from the first on: each step by its
+rejections k of n with the exact binomial tail P(Bin(n, ALPHA) <= k), until one
+fails. Given the first half that order is fixed, so the chain needs no correction
+for its steps, and the strata share DELTA: with probability 1 - DELTA no stratum
+rejects, beyond the base rules, more than ALPHA of its good documents. A stratum
+without enough labels passes no step and rejects nothing.
 
 Strata are the languages, each by itself however many there are. Measures are
 written down once; labels meet them as a few numbers a document, and texts are
@@ -170,27 +172,49 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "quality") -> DataFrame:
-    """(stratum, n_good, a column for each measure): the strictest levels that each stratum may use, 0 for none."""
+    """(stratum, n_good, a column for each measure): the strictest levels that each stratum may use, 0 for none.
+
+    ``n_good`` counts the labelled ids that were tried, of both halves.
+    """
     known = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{id}`").isNotNull())
     good = known.groupBy(F.col(f"`{id}`").alias("__labelled")).agg(F.avg(f"`{label}`").alias("__good")).where("__good >= 0.5")
-    held = measured.join(good, on_hot_key(id, "__labelled")).groupBy("stratum", *PASSED.values()).agg(F.count("*").alias("n"))
-    held = written(held.withColumn("rejected", F.lit(False)), "rules-held")
-    strata = max(1, held.select("stratum").distinct().count())
+    tried = measured.where(~base_failed()).join(good, on_hot_key(id, "__labelled"))
+    held = tried.groupBy("stratum", "__labelled").agg(*[F.min(passed).alias(passed) for passed in PASSED.values()])
+    half = F.pmod(F.xxhash64(F.lit("half"), "__labelled"), F.lit(2))
+    held = held.select("stratum", half.alias("half"), *PASSED.values()).groupBy("stratum", "half", *PASSED.values())
+    held = written(held.agg(F.count("*").alias("n")), "rules-held")
     levels = range(1, N_LEVELS + 1)
-    for before, (name, passed) in enumerate(PASSED.items()):
-        exceeds = [F.col("rejected") | (F.col(passed) < k) for k in levels]
-        sums = [F.sum(F.when(e, F.col("n")).otherwise(0)) for e in exceeds]
-        counts = held.groupBy("stratum").agg(F.sum("n").alias("n_good"), F.array(*sums).alias("k"))
-        # Strata times levels rows.
-        tested = counts.select("stratum", "n_good", F.posexplode("k").alias("level", "k"))
-        share = DELTA / (strata * len(LEVELS) * (N_LEVELS + 1) ** before)
-        tested = tested.withColumn("passes", (binomial_tail(F.col("n_good"), F.col("k"), ALPHA) <= share).cast("int"))
-        ordered = Window.partitionBy("stratum").orderBy("level").rowsBetween(Window.unboundedPreceding, 0)
-        chain = tested.withColumn("chain", F.min("passes").over(ordered))
-        chosen = chain.groupBy(F.col("stratum").alias("__stratum")).agg(F.sum("chain").alias(name))
-        held = held.join(chosen, on_hot_key("stratum", "__stratum")).drop("__stratum")
-        held = written(held.withColumn("rejected", F.col("rejected") | (F.col(passed) < F.col(name))), "rules-held")
-    return held.groupBy("stratum").agg(F.sum("n").alias("n_good"), *[F.max(name).alias(name) for name in LEVELS])
+
+    def rejections(exceeds: list[Column]) -> Column:
+        return F.array(*[F.sum(F.when(e, F.col("n")).otherwise(0)) for e in exceeds])
+
+    first = F.when(F.col("half") == 0, F.col("n"))
+    alone = [
+        F.array(*[F.coalesce(F.sum(F.when(F.col(passed) < k, first)), F.lit(0)) for k in levels]).alias(name)
+        for name, passed in PASSED.items()
+    ]
+    counted = held.groupBy("stratum").agg(F.sum("n").alias("n_good"), F.coalesce(F.sum(first), F.lit(0)).alias("n"), *alone)
+    few = F.col("n") * (ALPHA / (2 * len(LEVELS)))
+    proposed = counted.select(
+        F.col("stratum").alias("__stratum"), "n_good", *[F.size(F.filter(name, lambda k: k <= few)).alias(name) for name in LEVELS]
+    )
+    proposed = written(proposed, "rules-proposed")
+    strata = max(1, proposed.count())
+    second = held.where("half = 1").join(proposed, on_hot_key("stratum", "__stratum"))
+    exceeds = [
+        reduce(lambda a, b: a | b, [F.col(passed) < F.least(F.col(name), F.lit(k)) for name, passed in PASSED.items()])
+        for k in levels
+    ]
+    counts = second.groupBy("stratum").agg(F.sum("n").alias("n"), rejections(exceeds).alias("k"))
+    # Strata times levels rows.
+    tested = counts.select("stratum", "n", F.posexplode("k").alias("step", "k"))
+    tested = tested.withColumn("passes", (binomial_tail(F.col("n"), F.col("k"), ALPHA) <= DELTA / strata).cast("int"))
+    ordered = Window.partitionBy("stratum").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    chain = tested.withColumn("chain", F.min("passes").over(ordered))
+    steps = chain.groupBy("stratum").agg(F.sum("chain").alias("steps"))
+    allowed = proposed.join(steps, on_hot_key("__stratum", "stratum"), "left")
+    granted = [F.least(F.col(name), F.coalesce("steps", F.lit(0))).cast("int").alias(name) for name in LEVELS]
+    return allowed.select(F.col("__stratum").alias("stratum"), "n_good", *granted)
 
 
 def judge(

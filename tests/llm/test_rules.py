@@ -3,6 +3,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tellerlake.llm import queries, rules
@@ -97,6 +98,36 @@ def test_false_rejections_stay_within_the_guarantee(spark):
     assert share[0] < 0.5
 
 
+def test_copies_of_an_id_are_one_trial(spark):
+    clean = "some plain words in a row here ok now yes"
+    docs = spark.createDataFrame([(1, clean, "aa")] * 400 + [(2, "# $ % " * 9, "aa"), (2, clean, "aa"), (3, "short", "aa")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1) for k in (1, 1, 2, 3)], "doc_id long, quality int")
+    measured = rules.measure(docs.withColumnRenamed("lang", "stratum")).withColumns(rules.levels_passed())
+    found = rules.cutoffs(measured, labels).collect()
+    # The third fails the base rules and is no trial; two prove nothing.
+    assert [(r.stratum, r.n_good, *(r[m] for m in rules.LEVELS)) for r in found] == [("aa", 2, 0, 0, 0, 0, 0, 0)]
+
+
+def test_the_guarantee_holds_over_many_draws(spark):
+    """160 strata whose good documents exceed each step of a measure at known rates: those that are granted a step
+    with a true rate over ALPHA are fewer than DELTA allows for all together, and easy steps are granted."""
+    rng = np.random.default_rng(0)
+    rates = [0.001, 0.002, 0.02, 0.06, 0.08, 0.1, 0.2, 0.3]
+    rows = []
+    for stratum in range(160):
+        draws = rng.random(600)
+        for k, u in enumerate(draws):
+            # Passed levels so that the share passing fewer than j levels is rates[j - 1].
+            within = sum(bool(u >= r) for r in rates)
+            rows.append((stratum * 1000 + k, str(stratum), 50, 0, within, *[rules.N_LEVELS] * 5))
+    names = "doc_id long, stratum string, n_words long, n_repeat_words long, " + ", ".join(f"{c} int" for c in rules.PASSED.values())
+    measured = spark.createDataFrame(rows, names)
+    labels = measured.select("doc_id", F.lit(1).alias("quality"))
+    granted = [r["symbols"] for r in rules.cutoffs(measured, labels).collect()]
+    assert len(granted) == 160 and all(rates[g - 1] <= rules.ALPHA for g in granted if g)
+    assert sum(g >= 2 for g in granted) > 100
+
+
 def test_plan_is_native(spark):
     plan = queries.QUERIES["op4_rules"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
