@@ -7,8 +7,9 @@ learned from labels of whole documents. The network is small enough for numpy.
 Fitting uses a bounded sample: at most ``max_labels`` labelled ids of the given
 folds, taken in the order of a hash of the id, with one text each (of an id with
 several the one of the least hash, whatever its label). Every passage of these
-texts is encoded and learnt from. Their features wait in a file, so the driver
-holds the bags of one minibatch at a time, however long the texts are. Scoring
+texts is encoded and learnt from. Their features are written to the shared folder
+in the order of the hash and streamed from there in every epoch, so the driver
+holds the bags of a few minibatches at a time, however long the texts are. Scoring
 reads every passage of every text, in tasks that need nothing but the weights, a
 few kilobytes that travel with them.
 
@@ -22,9 +23,8 @@ repeated rows get equal scores; other columns are kept, a column named like
 from __future__ import annotations
 
 import math
-import tempfile
 from collections import Counter
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -37,6 +37,8 @@ from tellerlake.operators.joins import written
 PASSAGE_WORDS = 64
 MAX_LABELS = 12_000
 HIDDEN, GATES = 24, 12
+#: Bags, and their bytes, from which minibatches are drawn while an epoch streams by.
+WINDOW, WINDOW_BYTES = 1024, 32 << 20
 #: Documents that are scored in one matrix product.
 BLOCK = 512
 
@@ -153,19 +155,17 @@ class Model:
         }
         return {k: v + decay * p[k] * (k in "WVUc") for k, v in out.items()}
 
-    def fit(self, bags: Sequence[np.ndarray], y: np.ndarray, epochs: int = 40, batch: int = 128, rate: float = 0.01):
+    def fit(self, bags: Bags, epochs: int = 40, batch: int = 128, rate: float = 0.01):
         rng = np.random.default_rng(11)
         first, second = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
-        step, steps = 0, epochs * math.ceil(len(bags) / batch)
+        step, seen = 0, 0
         for _ in range(epochs):
-            order = rng.permutation(len(bags))
-            for k in range(0, len(order), batch):
-                part = order[k : k + batch]
-                x = [bags[i] for i in part]
+            for part in bags.batches(batch, rng):
+                x, y = [bag for bag, _ in part], np.array([label for _, label in part])
                 starts = np.cumsum([0, *map(len, x)])[:-1]
-                step += 1
-                now = rate * (1 - 0.95 * step / steps)
-                for name, g in self.gradients(np.concatenate(x), starts, y[part], 1e-5).items():
+                step, seen = step + 1, seen + len(part)
+                now = rate * (1 - 0.95 * seen / (epochs * bags.count))
+                for name, g in self.gradients(np.concatenate(x), starts, y, 1e-5).items():
                     first[name] = 0.9 * first[name] + 0.1 * g
                     second[name] = 0.999 * second[name] + 0.001 * g**2
                     up = (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.999**step)) + 1e-8)
@@ -180,31 +180,37 @@ class Model:
 
 
 class Bags:
-    """Encoded texts in a file, in the order of a hash; with their labels, and mean and scale over all passages."""
-
-    def __init__(self, file, rows: Iterable):
-        self.file, found, at = file, [], 0
-        for r in rows:
-            file.write(r.x)
-            found.append((r.place, r.y, at, len(r.x)))
-            at += len(r.x)
-        found.sort()
-        self.places = [(start, size) for _, _, start, size in found]
-        self.y = np.array([y for _, y, _, _ in found])
+    """Encoded texts with their labels, streamed from a written table; and mean and scale over all passages."""
+
+    def __init__(self, table: DataFrame):
+        self.table, self.count, self.good = table, 0, 0.0
         n, total, squares = 0, np.zeros(FEATURES), np.zeros(FEATURES)
-        for k in range(len(self)):
-            x = self[k].astype(float)
+        for x, y in self:
+            x = x.astype(float)
             n, total, squares = n + len(x), total + x.sum(axis=0), squares + (x**2).sum(axis=0)
+            self.count, self.good = self.count + 1, self.good + y
         self.mean = total / max(1, n)
         self.scale = np.sqrt(np.maximum(0, squares / max(1, n) - self.mean**2)) + 1e-3
 
-    def __len__(self) -> int:
-        return len(self.places)
-
-    def __getitem__(self, k: int) -> np.ndarray:
-        start, size = self.places[k]
-        self.file.seek(start)
-        return np.frombuffer(self.file.read(size), np.float32).reshape(-1, FEATURES)
+    def __iter__(self) -> Iterator[tuple[np.ndarray, float]]:
+        for row in self.table.toLocalIterator():
+            yield np.frombuffer(row.x, np.float32).reshape(-1, FEATURES), row.y
+
+    def batches(self, size: int, rng: np.random.Generator) -> Iterator[list[tuple[np.ndarray, float]]]:
+        """Minibatches drawn from a window over the hashed order, of WINDOW bags or WINDOW_BYTES."""
+        held, held_bytes = [], 0
+        for bag in self:
+            held.append(bag)
+            held_bytes += bag[0].nbytes
+            if len(held) >= WINDOW or (held_bytes >= WINDOW_BYTES and len(held) >= size):
+                held = [held[k] for k in rng.permutation(len(held))]
+                while len(held) >= size:
+                    yield held[:size]
+                    held = held[size:]
+                held_bytes = sum(x.nbytes for x, _ in held)
+        held = [held[k] for k in rng.permutation(len(held))]
+        for k in range(0, len(held), size):
+            yield held[k : k + size]
 
 
 def train(
@@ -232,14 +238,13 @@ def train(
     chosen = chosen.join(F.broadcast(sample), F.col("own") == F.col("labelled"))
     least = F.min(F.struct(F.xxhash64("text").alias("place"), "text"))
     chosen = chosen.groupBy("labelled", "y").agg(least.alias("least")).select("y", "least.text", F.xxhash64("labelled"))
-    encoded = written(chosen.mapInArrow(bag, "y double, x binary, place long"), "mil-bags")
-    with tempfile.TemporaryFile() as file:
-        bags = Bags(file, encoded.toLocalIterator())
-        y = bags.y
-        prior = float(np.clip(y.mean(), 0.01, 0.99)) if len(y) else 0.5
-        model = Model(bags.mean, bags.scale, prior)
-        if 0 < y.sum() < len(y):
-            model.fit(bags, y)
+    encoded = chosen.mapInArrow(bag, "y double, x binary, place long")
+    # The bounded sample goes to one sorted file, so every epoch streams it in the same order.
+    bags = Bags(written(encoded.repartition(1).sortWithinPartitions("place", "y"), "mil-bags"))
+    prior = float(np.clip(bags.good / bags.count, 0.01, 0.99)) if bags.count else 0.5
+    model = Model(bags.mean, bags.scale, prior)
+    if 0 < bags.good < bags.count:
+        model.fit(bags)
     return model
 
 
