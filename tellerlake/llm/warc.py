@@ -4,9 +4,11 @@ An ARC archive begins with a version block whose second line tells the version:
 records of version 1 have five header fields, those of version 2 ten. Fields
 are cut from the right, as only the address may hold blanks; the last one is
 the length of the content that follows. From these the converter makes the
-WARC record's identifier, timestamp, type and payload digest. Of records with
-equal payloads of MIN_REVISIT bytes or more, the one with the smallest number
-is the response and the others revisit it.
+WARC record's identifier, timestamp, type and payload digest, and from the version
+block a warcinfo record. Of records with equal payloads of MIN_REVISIT bytes or
+more, the one with the smallest number is the response and the others revisit it.
+Records of other makers have no number: they are named by address, date, place in
+their archive and digest, and the earliest capture is the response.
 
 Archives are written by Spark's text writer, a record a row with the blank
 lines that end a record as separator, so every file is committed as any Spark
@@ -15,10 +17,11 @@ reading takes one file at a time and follows the declared lengths.
 
 Defined results: a null payload is empty; a null address is an address made of
 the number; records without a number never become the response while another
-record has one, and are all responses if none has; rows that repeat the
-smallest number are all responses; an empty table gives no record; other
-columns play no part. A header that cannot be read, or content that is shorter
-than declared, raises.
+record has one, and of pages are all responses if none has; rows that repeat the
+smallest number are all responses; what a date leaves out is its least value; an
+archive that is given twice gives the same records twice; an empty table gives
+no record; other columns play no part. A header that cannot be read, or content
+that is shorter than declared, raises.
 """
 
 from __future__ import annotations
@@ -45,26 +48,36 @@ FIELDS = {
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 END_OF_RECORD = "\r\n\r\n"
 NUMBER = "X-Page-Id"
+#: Bytes of the payload that a revisit leaves out.
+SIZE = "X-Payload-Bytes"
 #: The synthetic tables have no time of capture.
 CAPTURED, ADDRESS = "20260101000000", "0.0.0.0"
 
 RECORDS = (
     "page_id long, target string, ip string, date string, block binary, payload_at int, payload_bytes long, "
-    "payload_digest string"
+    "payload_digest string, kind string, record_id string"
 )
 READ = (
     "page_id long, target string, date string, record_type string, refers_to long, payload_bytes long, "
-    "payload_digest string"
+    "payload_digest string, kind string, record_id string, refers_to_id string"
 )
+#: Kind of the record that describes an archive.
+ABOUT = "application/warc-fields"
 
 
 def record_id(number: int | None, digest: str) -> UUID:
     """An identifier that depends only on the record, and from which its number can be read."""
-    mark, low = (0, 0) if number is None else (1, number % 2**64)
+    mark, low = (0, int(digest[16:32], 16)) if number is None else (1, number % 2**64)
     middle = 8 << 12 | (low >> 62) << 10 | mark << 9 | int(digest[12:15], 16) & 0x1FF
     return UUID(int=int(digest[:12], 16) << 80 | middle << 64 | 2 << 62 | low & (2**62 - 1))
 
 
+def foreign_id(target: str, date: str, place: str, digest: str) -> UUID:
+    """An identifier of a record without a number."""
+    named = "\n".join([target, date, place, digest]).encode("utf-8", "surrogateescape")
+    return record_id(None, hashlib.sha256(named).hexdigest())
+
+
 def number_of(identifier: UUID) -> int | None:
     middle = identifier.int >> 64 & 0xFFFF
     if not middle >> 9 & 1:
@@ -91,8 +104,8 @@ def _plain(data: bytes) -> bytes:
     return gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
 
 
-def parse_arc(data: bytes) -> Iterator[tuple[str, str, str, str, bytes]]:
-    """(address, ip, 14-digit date, type, content) of every record of an archive, compressed or not."""
+def parse_arc(data: bytes, about: bool = False) -> Iterator[tuple[str, str, str, str, bytes]]:
+    """(address, ip, date, type, content) of every record of an archive, compressed or not; with ``about`` its version block first."""
     data = _plain(data)
     at, version = 0, None
     while at < len(data):
@@ -113,7 +126,7 @@ def parse_arc(data: bytes) -> Iterator[tuple[str, str, str, str, bytes]]:
         start, size = end + 1, int(fields[-1])
         if start + size > len(data):
             raise ValueError(f"the content at byte {start} is shorter than the declared {size}")
-        if not line.startswith("filedesc://"):
+        if about or not line.startswith("filedesc://"):
             yield fields[0], fields[1], fields[2], fields[3], data[start : start + size]
         at = start + size
 
@@ -129,7 +142,9 @@ def http_parts(block: bytes) -> tuple[dict[str, str], int]:
 
 
 def _iso(date: str) -> str:
-    d = date.ljust(14, "0")
+    """A date of up to 14 digits; month and day that it lacks, or has as zero, are the first."""
+    d = date + "00000101000000"[len(date) :]
+    d = d[:4] + "".join("01" if part == "00" else part for part in (d[4:6], d[6:8])) + d[8:]
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
@@ -153,18 +168,34 @@ def pages_to_arc(pages: DataFrame, id: str = "page_id", url: str = "url", html:
     return named.mapInArrow(_to_arc, "archive binary")
 
 
+def _described(target: str, content: bytes) -> bytes:
+    """The fields of a warcinfo record from a version block."""
+    first, _, rest = content.decode("utf-8", "replace").partition("\n")
+    version, _, maker = (*first.split(" ", 2), "", "")[:3]
+    fields = {"description": f"converted from {target.removeprefix('filedesc://')}", "conformsTo": f"ARC/{version}"}
+    fields |= {"operator": maker.strip(), "isPartOf": rest.partition("\n")[0].strip()}
+    return "".join(f"{k}: {v}\r\n" for k, v in fields.items() if v).encode()
+
+
 def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.int32(), pa.int64(), pa.string()]
+    import xxhash
+
+    kinds = [pa.int64(), *[pa.string()] * 3, pa.binary(), pa.int32(), pa.int64(), *[pa.string()] * 3]
     names = [part.split()[0] for part in RECORDS.split(", ")]
     for batch in batches:
         for archive in batch.column(0):
-            rows = []
-            for target, ip, date, _, block in parse_arc(archive.as_py()):
-                fields, at = http_parts(block)
+            rows, data = [], archive.as_py()
+            mark = xxhash.xxh64_hexdigest(data)
+            for at, (target, ip, date, kind, block) in enumerate(parse_arc(data, about=True)):
+                if not at:
+                    block, kind = _described(target, block), ABOUT
+                fields, begin = http_parts(block)
                 number = fields.get(NUMBER.lower())
-                payload = memoryview(block)[at:]
-                digest = hashlib.sha256(payload).hexdigest()
-                rows.append((number and int(number), target, ip, _iso(date), block, at, len(payload), digest))
+                number = int(number) if number and number.lstrip("-").isdigit() else None
+                payload = memoryview(block)[begin:]
+                digest, iso = hashlib.sha256(payload).hexdigest(), _iso(date)
+                named = foreign_id(target, iso, f"{mark}:{at}", digest) if number is None else record_id(number, digest)
+                rows.append((number, target, ip, iso, block, begin, len(payload), digest, kind, str(named)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
@@ -174,24 +205,21 @@ def convert(archives: DataFrame, column: str = "archive") -> DataFrame:
     return archives.select(F.col(f"`{column}`")).mapInArrow(_convert, RECORDS)
 
 
-def warc_record(number, target, ip, date, block, payload_at, digest, response) -> bytes:
-    """A WARC record without its closing blank lines; ``response`` is the number that a revisit refers to."""
-    revisit = response is not None and response != number
+def warc_record(target, ip, date, block, payload_at, digest, kind, own, response) -> bytes:
+    """A WARC record without its closing blank lines; ``response`` is the identifier that a revisit refers to."""
+    revisit, size = response is not None and response != own, len(block) - payload_at
     if revisit:
         block = block[:payload_at]
     http = block.startswith(b"HTTP/")
-    head = [
-        "WARC/1.0",
-        f"WARC-Type: {'revisit' if revisit else 'response' if http else 'resource'}",
-        f"WARC-Record-ID: <urn:uuid:{record_id(number, digest)}>",
-        f"WARC-Date: {date}",
-        f"WARC-Target-URI: {target}",
-        f"WARC-IP-Address: {ip}",
-        f"WARC-Payload-Digest: sha256:{digest}",
-        f"Content-Type: {'application/http;msgtype=response' if http else 'application/octet-stream'}",
-    ]
+    form = "revisit" if revisit else "warcinfo" if kind == ABOUT else "response" if http else "resource"
+    head = ["WARC/1.0", f"WARC-Type: {form}", f"WARC-Record-ID: <urn:uuid:{own}>", f"WARC-Date: {date}"]
+    if form == "warcinfo":
+        head += [f"WARC-Filename: {target.removeprefix('filedesc://')}"]
+    else:
+        head += [f"WARC-Target-URI: {target}", f"WARC-IP-Address: {ip}", f"WARC-Payload-Digest: sha256:{digest}"]
+    head += [f"Content-Type: {'application/http;msgtype=response' if http else kind}"]
     if revisit:
-        head += [f"WARC-Refers-To: <urn:uuid:{record_id(response, digest)}>", f"WARC-Profile: {PROFILE}"]
+        head += [f"WARC-Refers-To: <urn:uuid:{response}>", f"WARC-Profile: {PROFILE}", f"{SIZE}: {size}"]
     return "\r\n".join([*head, f"Content-Length: {len(block)}", "", ""]).encode("utf-8", "surrogateescape") + block
 
 
@@ -200,20 +228,32 @@ def _as_string(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary()).view(pa.string())
 
 
-def write(records: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Write converted records as WARC files below ``path``, by default compressed file by file."""
+def write(records: DataFrame, path: str, compression: str = "gzip", unnumbered: bool = True) -> None:
+    """Write converted records as WARC files below ``path``, by default compressed file by file.
+
+    ``unnumbered``: whether among equal payloads without any number the earliest capture is revisited by the others.
+    """
 
     def run(batches):
         for columns in batches:
             yield _as_string([warc_record(*(v.as_py() for v in row)) for row in zip(*columns)])
 
-    run.__annotations__ = {"batches": Iterator[tuple[(pa.Array,) * 8]], "return": Iterator[pa.Array]}
-    large = records.where(F.col("payload_bytes") >= MIN_REVISIT)
-    shared = large.groupBy(F.col("payload_digest").alias("digest"))
-    shared = shared.agg(F.min("page_id").alias("response"), F.count("*").alias("n")).where("n > 1").drop("n")
-    shared = written(shared, "warc-shared")
-    placed = records.join(shared, on_hot_key("payload_digest", "digest"), "left")
-    made = F.arrow_udf(run, "string")("page_id", "target", "ip", "date", "block", "payload_at", "payload_digest", "response")
+    run.__annotations__ = {"batches": Iterator[tuple[(pa.Array,) * 9]], "return": Iterator[pa.Array]}
+    # Only what came by HTTP has a header of its own that a revisit keeps.
+    large = records.where((F.col("payload_bytes") >= MIN_REVISIT) & (F.col("payload_at") > 0))
+    # A number goes before none, then date, address and identifier decide.
+    order = F.struct(F.col("page_id").isNull().alias("without"), "page_id", "date", "target", "record_id")
+    shared = large.groupBy(F.col("payload_digest").alias("digest")).agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    shared = shared.where(F.lit(unnumbered) | ~F.col("first.without")).where("n > 1")
+    shared = written(shared.select("digest", F.col("first.record_id").alias("response")), "warc-shared")
+    described = F.col("kind") == ABOUT
+    shared = shared.withColumn("http", F.lit(True))
+    same = on_hot_key("payload_digest", "digest") & ((F.col("payload_at") > 0) == F.col("http"))
+    placed = records.where(~described).join(shared, same, "left")
+    placed = placed.unionByName(records.where(described), allowMissingColumns=True)
+    made = F.arrow_udf(run, "string")(
+        "target", "ip", "date", "block", "payload_at", "payload_digest", "kind", "record_id", "response"
+    )
     placed.select(made.alias("record")).hint("rebalance").write.text(path, compression=compression, lineSep=END_OF_RECORD)
 
 
@@ -233,28 +273,31 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = start + size + 4
 
 
-def _number(reference: str | None) -> int | None:
-    return number_of(UUID(reference.strip("<>").removeprefix("urn:uuid:"))) if reference else None
+def _named(reference: str | None) -> str | None:
+    return reference.strip("<>").removeprefix("urn:uuid:") if reference else None
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+    kinds = [pa.int64(), *[pa.string()] * 3, pa.int64(), pa.int64(), *[pa.string()] * 4]
     names = [part.split()[0] for part in READ.split(", ")]
     for batch in batches:
         for content in batch.column(0):
             rows = []
             for fields, block in parse_warc(_plain(content.as_py())):
+                if fields["warc-type"] == "warcinfo":
+                    continue
                 digest = fields["warc-payload-digest"].removeprefix("sha256:")
                 http, at = http_parts(block)
                 if fields["warc-type"] == "revisit":
-                    size = int(http.get("content-length", 0))
+                    size = int(fields.get(SIZE.lower()) or http.get("content-length", 0))
                 else:
                     size = len(block) - at
                     if hashlib.sha256(memoryview(block)[at:]).hexdigest() != digest:
                         raise ValueError(f"the payload of {fields['warc-record-id']} is not what was archived")
-                number, refers = _number(fields["warc-record-id"]), _number(fields.get("warc-refers-to"))
-                kind, target = fields["warc-type"], fields["warc-target-uri"]
-                rows.append((number, target, fields["warc-date"], kind, refers, size, digest))
+                own, refers = _named(fields["warc-record-id"]), _named(fields.get("warc-refers-to"))
+                number, first = number_of(UUID(own)), refers and number_of(UUID(refers))
+                form, target = fields["warc-type"], fields["warc-target-uri"]
+                rows.append((number, target, fields["warc-date"], form, first, size, digest, fields["content-type"], own, refers))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
@@ -268,5 +311,5 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def archive_pages(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Pages through ARC archives into WARC files, and those read back."""
     path = path or new_dir(pages.sparkSession, "warc")
-    write(convert(pages_to_arc(pages)), path)
+    write(convert(pages_to_arc(pages)), path, unnumbered=False)
     return read(pages.sparkSession, path)

@@ -46,11 +46,35 @@ def test_converted_archives_of_other_makers(spark):
     got = sorted(tuple(r) for r in warc.read(spark, path).collect() if r.target)
     digest = hashlib.sha256(raw).hexdigest()
     assert [(g[1], g[2], g[3], g[5], g[6]) for g in sorted(got, key=lambda g: g[1])] == [
-        ("dns:x", "1999-00-00T00:00:00Z", "resource", 768, digest),
+        ("dns:x", "1999-01-01T00:00:00Z", "resource", 768, digest),
         ("http://y", "1999-12-31T23:59:59Z", "response", 768, digest),
     ]
 
 
+@pytest.mark.parametrize("version", [1, 2])
+def test_captures_of_other_makers_have_names_and_revisits_of_their_own(spark, version):
+    http = b"HTTP/1.0 200 OK\r\nContent-Length: 200\r\n\r\n" + b"p" * 200
+    later = [("http://b", "1.1.1.1", "20020101", "text/html", http), ("http://a", "1.1.1.1", "2001", "text/html", http)]
+    data = [warc.arc_archive(later, version, "one.arc"), warc.arc_archive([("dns:z", "2.2.2.2", "20030230", "text/dns", b"q" * 150), *later[:1]], version, "two.arc")]
+    records = warc.convert(spark.createDataFrame([(bytearray(d),) for d in data], "archive binary"))
+    path = new_dir(spark, "warc-test")
+    warc.write(records, path, "none")
+    got = sorted(warc.read(spark, path).collect(), key=lambda r: (r.date, r.target))
+    assert len({r.record_id for r in got}) == 4 and {r.page_id for r in got} == {None}
+    first = got[0]
+    assert [(r.target, r.date[:10], r.record_type, r.refers_to_id) for r in got] == [
+        ("http://a", "2001-01-01", "response", None),
+        ("http://b", "2002-01-01", "revisit", first.record_id),
+        ("http://b", "2002-01-01", "revisit", first.record_id),
+        ("dns:z", "2003-02-30", "resource", None),
+    ]
+    assert [r.kind for r in got][-1] == "text/dns" and {r.payload_bytes for r in got[:3]} == {200}
+    whole = b"".join(bytes(r.content) for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect())
+    about = [(f, b) for f, b in warc.parse_warc(whole) if f["warc-type"] == "warcinfo"]
+    assert sorted(f["warc-filename"] for f, _ in about) == ["one.arc", "two.arc"]
+    assert all(f"conformsTo: ARC/{version}\r\n".encode() in b and f["content-type"] == warc.ABOUT for f, b in about)
+
+
 def test_edge_rows(spark):
     long, small = "x" * 100, "y" * 99
     rows = [(5, "http://a b\r\n", long), (2, None, long), (9, "", long), (None, "u", long), (7, "u", small), (8, "u", small)]
