@@ -19,6 +19,7 @@ the load instead of shifting the fields of what follows.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from functools import reduce
 from urllib.parse import unquote
@@ -26,6 +27,7 @@ from urllib.parse import unquote
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,6 +36,9 @@ from tellerlake.operators.joins import written
 
 #: Characters of a file name that a path pattern would read as its own.
 _PATTERN = re.compile(r"([\\\[\]{}*?])")
+# What runs in Python workers travels with the job, so executors need no copy of this module.
+register_pickle_by_value(sys.modules[__name__])
+
 _PIECES = "part string, file string, block long, first boolean, text string"
 #: A record whose quotes all stand at an end of their field or are doubled inside one.
 _FIELD = r'("([^"]|"")*"|[^",]*)'
