@@ -10,7 +10,8 @@ rewrites what it touches. Old directories stay until ``forget``; until then
 
 Loading and cleansing one table may run beside one another, as they change
 different leaves and their rows simply meet in the log; but one loader a table at
-a time, since a load takes the next free id. What reaches the driver is the log's fold: a row for every current leaf and appended directory.
+a time, since a load takes the next free id. What reaches the driver is the log's
+fold: a row for every current leaf and appended directory.
 
 Tables with a ``date_key`` are clustered by date: partitioned by its day, month
 or year and sorted by date inside each file, so a date range reads only its
