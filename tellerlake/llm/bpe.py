@@ -55,7 +55,7 @@ CACHE_CHARS = 48
 #: New pieces that the library encodes as one text.
 TOGETHER = 64
 #: Bytes of text cut into pieces at a time.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 
 
 def load(path: str):
@@ -205,8 +205,14 @@ class Encoder:
         found: dict[str, tuple[str, str]] = {}
         short = [p for p in pieces if len(p) <= self.leaf_chars]
         groups = [short[k : k + TOGETHER] for k in range(0, len(short), TOGETHER)]
-        encoded = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
-        for group, encoding in zip(groups, encoded):
+        # What the library returns is many times the text, so it goes before the next lot comes.
+        lots = (groups[k : k + TOGETHER] for k in range(0, len(groups), TOGETHER))
+        encoded = (
+            pair
+            for lot in lots
+            for pair in zip(lot, self.tokenizer.encode_batch([" ".join(g) for g in lot], add_special_tokens=False))
+        )
+        for group, encoding in encoded:
             ids, offsets = encoding.ids, encoding.offsets
             end, first, n = 0, 0, len(ids)
             for piece in group:
