@@ -149,8 +149,10 @@ def _agg_order() -> list:
 
 
 def agg_extract(agg: DataFrame) -> DataFrame:
+    """A rollup level has one row a key, so at most one row a level shares all sort keys: nothing is left to
+    spread, and rows that come from a plan are sorted without being written first."""
     rows = agg.select("date_key", "customer_id", "account_id", "transaction_type", "total_amount", "transaction_count")
-    return in_order(rows, *_agg_order())
+    return rows.orderBy(*_agg_order())
 
 
 def with_grain(agg: DataFrame) -> DataFrame:
