@@ -26,16 +26,15 @@ other; an empty table gives an empty result; other columns play no part.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellerlake.llm.words import spaced_words
 from tellerlake.operators.joins import on_hot_key, written
 
 CLASSES = 1024
@@ -46,9 +45,13 @@ WIDTH = 16
 ROUNDS = 3
 BATCH, NOISE, RATE = 256, 64, 0.05
 LEXICON, LEXICON_BYTES = 100_000, 64
-#: Distinct words that a task counts before it hands them on, and tokens it trains on at a time.
-COUNTED = 300_000
+#: Bytes of texts that a task splits at a time, and those whose distinct words it counts at a time: a word takes some ten
+#: times its bytes while its text is scored, less while it is counted, and larger pieces repeat fewer words.
+PIECE, COUNTED = 1 << 20, 1 << 22
+#: Rows that a task hands on at a time, tokens it trains on at a time, and steps it prepares at a time.
+SENT = 50_000
 TRAINED = 1 << 18
+STEPS = 128
 #: The end of a text, as a token: no word is empty.
 END = b""
 
@@ -58,31 +61,66 @@ def spelling(word: bytes) -> int:
     return CLASSES - SPELLINGS + zlib.crc32(word[:2]) % SPELLINGS
 
 
-class Numbers(dict):
-    """Word to class; words without one fall to their spelling class."""
+@cache
+def _spellings() -> np.ndarray:
+    """The spelling class by the first two bytes, then by the only one, then of the empty word."""
+    heads = [*(bytes(x) for x in np.ndindex(256, 256)), *(bytes([x]) for x in range(256)), END]
+    return np.array(list(map(spelling, heads)), np.int64)
 
-    def __missing__(self, word: bytes) -> int:
-        return spelling(word)
 
+def _buffers(words: pa.BinaryArray) -> tuple[np.ndarray, pa.Buffer]:
+    """Where each word begins and the last ends, and the bytes."""
+    _, offsets, data = words.buffers()
+    return np.frombuffer(offsets, np.int32, len(words) + 1, 4 * words.offset), data or pa.py_buffer(b"")
 
-def _texts(batch: pa.RecordBatch) -> Iterator[list[bytes]]:
-    """The tokens of one text after the other."""
-    return ([*spaced_words(t.as_py()), END] for t in batch.column(0).cast(pa.binary()))
 
+def spellings(words: pa.BinaryArray) -> np.ndarray:
+    """``spelling`` of every word."""
+    offsets, data = _buffers(words)
+    # Two bytes more, so that the last word has a second one, and an empty word a first.
+    head = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(2, np.uint8)]).astype(np.int64)
+    first, size = head[offsets[:-1]], np.diff(offsets)
+    several = (first << 8) + head[offsets[:-1] + 1]
+    return _spellings()[np.where(size > 1, several, np.where(size == 1, 65536 + first, 65792))]
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def emit():
-        columns = [pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
-    found: Counter[bytes] = Counter()
+def places(words: pa.BinaryArray, listed: pa.BinaryArray) -> np.ndarray:
+    """Where each word stands in ``listed``, or -1."""
+    return pc.index_in(words, value_set=listed).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def tokens(texts: pa.Array) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The tokens of all texts in one array, and how many of them each text has."""
+    texts = texts.cast(pa.binary()).fill_null(b"")
+    # Bytes need not be valid UTF-8; the rules are ASCII's.
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    offsets, data = _buffers(parts.values.view(pa.binary()))
+    # The parts lie side by side, so a word is its end: empty parts go, and each text's last end comes again for END.
+    full, of_text = np.diff(offsets) > 0, parts.offsets.to_numpy()
+    sizes = np.diff(np.concatenate([[0], np.cumsum(full)])[of_text]) + 1
+    ends = np.empty(sizes.sum(), np.int32)
+    is_end = np.zeros(len(ends), bool)
+    is_end[np.cumsum(sizes) - 1] = True
+    ends[~is_end], ends[is_end] = offsets[1:][full], offsets[of_text[1:]]
+    where = pa.py_buffer(np.concatenate([offsets[:1], ends]))
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, where, data]), sizes
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], most: int, text: int = 0) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with texts of at most ``most`` bytes, or one longer text; none is empty."""
     for batch in batches:
-        for words in _texts(batch):
-            found.update(words)
-            if len(found) >= COUNTED:
-                yield emit()
-                found = Counter()
-    yield emit()
+        size = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(size):
+            to = max(at + 1, int(np.searchsorted(size, most + (size[at - 1] if at else 0), "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for piece in _pieces(batches, COUNTED):
+        found = tokens(piece.column(0))[0].value_counts()
+        yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"])
 
 
 class Parameters:
@@ -102,40 +140,59 @@ class Parameters:
         self.a = {k: v.astype(np.float32) for k, v in self.a.items()}
         self.squares = {k: np.full(s, 1e-2, np.float32) for k, s in self.SHAPES.items()}
 
-    def _step(self, name: str, gradient: np.ndarray, rows=None):
-        rows = slice(None) if rows is None else rows
-        self.squares[name][rows] += gradient**2
-        self.a[name][rows] -= RATE * gradient / np.sqrt(self.squares[name][rows])
-
     def train(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, rng: np.random.Generator):
-        """One step: contexts (the class before, the one before that), their targets, and shared noise."""
-        a, n = self.a, len(target)
-        noise = np.minimum(np.searchsorted(self.cumulative, rng.random(NOISE), "right"), CLASSES - 1)
-        before, earlier = a["context"][one], a["context"][two]
-        near, far = a["place"][:WIDTH], a["place"][WIDTH:]
-        predicted = before @ near + earlier @ far
-        wanted, sampled = a["target"][target], a["target"][noise]
-        own = np.einsum("ij,ij->i", predicted, wanted) + a["bias"][target, 0] - self.log_expected[target]
-        other = predicted @ sampled.T + (a["bias"][noise, 0] - self.log_expected[noise])
-        up = -1 / (1 + np.exp(np.clip(own, -30, 30)))
-        down = 1 / (1 + np.exp(-np.clip(other, -30, 30)))
-        d_predicted = up[:, None] * wanted + down @ sampled
-
-        def gathered(rows: np.ndarray, gradients: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            order = np.argsort(rows, kind="stable")
-            ordered = rows[order]
-            first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-            return ordered[first], np.add.reduceat(gradients[order], first, axis=0)
-
-        extended = np.concatenate([up[:, None] * predicted, down.T @ predicted]) / n
-        biases = np.concatenate([up, down.sum(axis=0)])[:, None] / n
-        rows, both = gathered(np.concatenate([target, noise]), np.concatenate([extended, biases], axis=1))
-        places = np.concatenate([before.T @ d_predicted, earlier.T @ d_predicted]) / n
-        used, contexts = gathered(np.concatenate([one, two]), np.concatenate([d_predicted @ near.T, d_predicted @ far.T]) / n)
-        self._step("target", both[:, :-1], rows)
-        self._step("bias", both[:, -1:], rows)
-        self._step("context", contexts, used)
-        self._step("place", places)
+        """Steps of BATCH: contexts (the class before, the one before that), their targets, and noise that a step shares."""
+        # Targets and biases meet the same classes, so they move as one array.
+        joint = {"context": (self.a["context"], self.squares["context"]), "place": (self.a["place"], self.squares["place"])}
+        joint["target"] = tuple(np.concatenate([x["target"], x["bias"]], axis=1) for x in (self.a, self.squares))
+        for k in range(0, len(target), BATCH * STEPS):
+            at = slice(k, k + BATCH * STEPS)
+            whole = len(target[at]) // BATCH * BATCH
+            if whole:
+                self._steps(joint, *(x[at][:whole].reshape(-1, BATCH) for x in (one, two, target)), rng)
+            if len(target[at]) > whole:
+                self._steps(joint, *(x[at][None, whole:] for x in (one, two, target)), rng)
+        for x, moved in zip((self.a, self.squares), joint["target"]):
+            x["target"], x["bias"] = moved[:, :-1].copy(), moved[:, -1:].copy()
+
+    def _steps(self, joint: dict, one: np.ndarray, two: np.ndarray, target: np.ndarray, rng: np.random.Generator):
+        """A step for each row; what does not depend on the parameters is prepared for all rows at once."""
+        (context, context_squares), (place, place_squares), (output, output_squares) = joint["context"], joint["place"], joint["target"]
+        near, far = place[:WIDTH], place[WIDTH:]
+        count, n = target.shape
+        noise = np.minimum(np.searchsorted(self.cumulative, rng.random((count, NOISE)), "right"), CLASSES - 1)
+        before_rows, target_rows = np.concatenate([one, two], axis=1), np.concatenate([target, noise], axis=1)
+        expected = self.log_expected[target_rows]
+        for k, (used, rows) in enumerate(zip(_groups(before_rows), _groups(target_rows))):
+            both, wanted = context.take(before_rows[k], axis=0), output.take(target_rows[k], axis=0)
+            before, earlier, sampled = both[:n], both[n:], wanted[n:, :-1]
+            bias, wanted = wanted[:, -1], wanted[:n, :-1]
+            predicted = before @ near
+            predicted += earlier @ far
+            # In single precision 1 + exp(-30) is 1, so one bound is enough.
+            up = np.einsum("ij,ij->i", predicted, wanted) + bias[:n] - expected[k, :n]
+            up = -1 / (1 + np.exp(np.minimum(up, 30)))
+            down = predicted @ sampled.T
+            down += bias[n:] - expected[k, n:]
+            np.exp(np.negative(np.maximum(down, -30, out=down), out=down), out=down)
+            down += 1
+            np.reciprocal(down, out=down)
+            d_predicted = down @ sampled
+            d_predicted += up[:, None] * wanted
+            extended, contexts = np.empty((n + NOISE, WIDTH + 1), np.float32), np.empty((2 * n, WIDTH), np.float32)
+            np.multiply(up[:, None], predicted, out=extended[:n, :-1])
+            extended[n:, :-1] = down.T @ predicted
+            extended[:n, -1], extended[n:, -1] = up, down.sum(axis=0)
+            extended /= n
+            places = np.concatenate([before.T @ d_predicted, earlier.T @ d_predicted])
+            places /= n
+            np.matmul(d_predicted, near.T, out=contexts[:n])
+            np.matmul(d_predicted, far.T, out=contexts[n:])
+            contexts /= n
+            _move(output, output_squares, extended, *rows)
+            _move(context, context_squares, contexts, *used)
+            place_squares += places**2
+            place -= RATE * places / np.sqrt(place_squares)
 
     def rows(self) -> Iterator[tuple[str, int, list[float]]]:
         for name, values in self.a.items():
@@ -143,6 +200,28 @@ class Parameters:
                 yield name, k, [*v.tolist(), *[0.0] * (WIDTH - len(v))]
 
 
+def _groups(keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each row of ``keys``: its order, where a key first stands in that order, and these keys."""
+    order = np.argsort(keys.astype(np.int16), axis=1, kind="stable")
+    ordered = np.take_along_axis(keys, order, axis=1)
+    first = np.ones(keys.shape, bool)
+    first[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
+    for k in range(len(keys)):
+        at = np.flatnonzero(first[k])
+        yield order[k], at, ordered[k].take(at)
+
+
+def _move(values: np.ndarray, squares: np.ndarray, gradients: np.ndarray, order, first, rows):
+    """One step of the rows by their summed gradients."""
+    gradient = np.add.reduceat(gradients.take(order, axis=0), first, axis=0)
+    grown = squares.take(rows, axis=0)
+    grown += gradient * gradient
+    squares[rows] = grown
+    gradient *= RATE
+    gradient /= np.sqrt(grown, out=grown)
+    values[rows] = np.subtract(values.take(rows, axis=0), gradient, out=gradient)
+
+
 def contexts(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(class before, the one before that, target) of all tokens of the texts."""
     target = np.concatenate(ids)
@@ -238,7 +317,7 @@ def _round(texts: DataFrame, numbers: dict, parameters: Parameters, part: int) -
     share, arrays, squares = parameters.share, parameters.a, parameters.squares
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, number, rng = Parameters(share), Numbers(numbers), np.random.default_rng(part)
+        own, listed, rng = Parameters(share), pa.array(numbers, pa.binary()), np.random.default_rng(part)
         own.a = {k: v.copy() for k, v in arrays.items()}
         own.squares = {k: v.copy() for k, v in squares.items()}
         seen, waiting, size = 0, [], 0
@@ -246,14 +325,15 @@ def _round(texts: DataFrame, numbers: dict, parameters: Parameters, part: int) -
         def learn():
             one, two, target = contexts(waiting)
             order = rng.permutation(len(target))
-            for k in range(0, len(order), BATCH):
-                at = order[k : k + BATCH]
-                own.train(one[at], two[at], target[at], rng)
-
-        for batch in batches:
-            for words in _texts(batch):
-                waiting.append(np.array(list(map(number.__getitem__, words)), np.int64))
-                size += len(words)
+            own.train(one[order], two[order], target[order], rng)
+
+        for piece in _pieces(batches, PIECE):
+            words, sizes = tokens(piece.column(0))
+            number = places(words, listed) + 1
+            number = np.where(number > 0, number, spellings(words))
+            for ids in np.split(number, np.cumsum(sizes)[:-1]):
+                waiting.append(ids)
+                size += len(ids)
                 if size >= TRAINED:
                     learn()
                     seen, waiting, size = seen + size, [], 0
@@ -295,6 +375,10 @@ _ROWS = pa.schema(
 )
 
 
+def _rows(*columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROWS)], schema=_ROWS)
+
+
 def _scorer(model, lexicon):
     """Per text a row of sums over its lexicon words, and a row for each other distinct word."""
 
@@ -304,40 +388,43 @@ def _scorer(model, lexicon):
         m, known = model.value, lexicon.value
         tables = Tables.__new__(Tables)
         tables.near, tables.far, tables.norm = m["near"], m["far"], m["norm"]
-        place = {w: k for k, w in enumerate(known)}
+        listed = pa.array(known, pa.binary())
         class_of = np.array([m["numbers"].get(w) or spelling(w) for w in known], np.int64)
         counts = np.array(list(known.values()), float)
         all_log = np.log10(m["total"] + 0.5 * (m["distinct"] + 1))
         class_log = np.log10(m["class_total"] + 0.5 * (m["class_distinct"] + 1))
-        base_of = np.log10(counts + 0.5) - all_log
-        # A word that is a class of its own has the whole of it.
+        # A word that is a class of its own has the whole of it. The last row stands for all that are not listed.
+        base_of = np.append(np.log10(counts + 0.5) - all_log, -all_log)
         share_of = np.where(class_of >= CLASSES - SPELLINGS, np.log10(counts + 0.5) - class_log[class_of], 0.0)
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
-            texts = batch.column(1).cast(pa.binary())
-            out: list[tuple] = []
-            for name, text in zip(ids, texts):
-                raw = text.as_py() or b""
-                words = [*spaced_words(raw), END]
-                digest = xxhash.xxh64_intdigest(raw) - (1 << 63)
-                at = np.array(list(map(place.get, words, repeat(-1))), np.int64)
-                rare = np.flatnonzero(at < 0)
-                classes = class_of[at] if len(class_of) else np.zeros(len(at), np.int64)
-                found = at[at >= 0]
-                base, score = base_of[found].sum(), share_of[found].sum()
-                if len(rare):
-                    others = [words[k] for k in rare]
-                    classes[rare] = list(map(spelling, others))
-                    base -= len(rare) * all_log
-                    score -= class_log[classes[rare]].sum()
-                    out.extend((name, digest, w, n, 0, 0, 0, 0.0, 0.0) for w, n in Counter(others).items())
-                score += tables.log10(*contexts([classes])).sum()
-                out.append((name, digest, None, 0, 1, len(words), len(found), base, score))
-                if len(out) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ROWS)], schema=_ROWS)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ROWS)], schema=_ROWS)
+        class_of, share_of = np.append(class_of, 0), np.append(share_of, 0.0)
+        for piece in _pieces(batches, PIECE, 1):
+            ids, texts = piece.column(0), piece.column(1).cast(pa.binary()).fill_null(b"")
+            digests = np.array([xxhash.xxh64_intdigest(t.as_py()) - (1 << 63) for t in texts], np.int64)
+            words, sizes = tokens(texts)
+            ends = np.cumsum(sizes)
+            at = places(words, listed)
+            rare = np.flatnonzero(at < 0)
+            classes, own = class_of[at], share_of[at]
+            others = words.take(pa.array(rare))
+            classes[rare] = spellings(others)
+            own[rare] = -class_log[classes[rare]]
+            own += tables.log10(*contexts(np.split(classes, ends[:-1])))
+
+            def of_texts(values: np.ndarray) -> np.ndarray:
+                return np.add.reduceat(values, ends - sizes)
+
+            of_text = [sizes, of_texts((at >= 0).astype(np.int64)), of_texts(base_of[at]), of_texts(own)]
+            n = len(sizes)
+            yield _rows(ids, digests, pa.nulls(n, pa.binary()), np.zeros(n, np.int64), np.ones(n, np.int64), *of_text)
+            if len(rare):
+                others = others.dictionary_encode()
+                each = len(others.dictionary)
+                pairs, times = np.unique(np.searchsorted(ends, rare, "right") * each + others.indices.to_numpy(), return_counts=True)
+                for k in range(0, len(pairs), SENT):
+                    of, word = np.divmod(pairs[k : k + SENT], each)
+                    none, nothing = np.zeros(len(of), np.int64), np.zeros(len(of))
+                    named = [ids.take(pa.array(of)), digests[of], others.dictionary.take(pa.array(word)), times[k : k + SENT]]
+                    yield _rows(*named, none, none, none, nothing, nothing)
 
     return run
 
