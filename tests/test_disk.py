@@ -1,0 +1,59 @@
+"""What a run leaves on disk, and what it shuffles to get there."""
+
+import re
+import time
+from datetime import datetime
+from decimal import Decimal
+
+from tellerlake.operators import facts
+from tellerlake.operators.joins import written
+from tellerlake.schemas import ACCOUNT_FILE, TRANSACTION_FILE
+from tellerlake.sources.lake import Lake
+from tellerlake.sources.workspace import _CLEANUP
+
+AGG = "gold/fact_daily_agg"
+DAYS = [datetime(2024, 1, 5, 9), datetime(2024, 1, 6, 9), datetime(2024, 2, 1, 9)]
+
+
+def transactions(spark, days=DAYS):
+    cells = [("a1", "Fee", "1.50"), ("a1", "Fee", "2.00"), ("a1", None, "4.00"), ("a2", "Fee", None), (None, "Cash", "8.00"), ("lost", "Fee", "16.00")]
+    rows = [(f"t{k}", a, day, kind, amount and Decimal(amount), "d") for day in days for k, (a, kind, amount) in enumerate(cells)]
+    return spark.createDataFrame(rows, TRANSACTION_FILE)
+
+
+def accounts(spark, owner="c1"):
+    """The second account has two owners, an account without an id has one."""
+    at = datetime(2023, 1, 1)
+    rows = [(a, c, "Savings", "O", "CAD", at.date(), at) for a, c in (("a1", owner), ("a2", "c1"), ("a2", "c2"), (None, "c3"))]
+    return spark.createDataFrame(rows, ACCOUNT_FILE)
+
+
+def shown(df):
+    return sorted(map(str, df.select(*facts.AGG_COLUMNS).collect()))
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (found.apply(k).getName() for k in range(found.size())) if re.match("shuffle_.*[.]data", name)}
+
+
+def left_behind(spark, before):
+    """Shuffle files that have come and stay; they are removed in the background."""
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    return left
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    lake, held, before = Lake(spark, str(tmp_path)), spark.conf.get(_CLEANUP), shuffle_files(spark)
+    rollups = facts.daily_rollups(transactions(spark), accounts(spark))
+    lake.replace(AGG, rollups)
+    assert left_behind(spark, before) == set()
+    again = written(rollups, "again")
+    assert left_behind(spark, before) == set()
+    # What was shuffled can be computed again.
+    assert shown(again) == shown(rollups) == shown(lake.read(AGG))
+    assert spark.conf.get(_CLEANUP) == held
