@@ -45,7 +45,7 @@ def rebuild(spark, sf_dir):
     """Loaded twice over; the second load replaces the first."""
     lake, name = _lake(spark), "gold/fact_daily_agg"
     for _ in range(2):
-        lake.replace(name, bank.rollups(spark, sf_dir))
+        lake.replace(name, bank.rollups(spark, sf_dir, by_date=True), by_date=True)
     return lake.read(name).groupBy("rollup_level").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("total_amount").alias("total_amount")
     )

@@ -2,11 +2,15 @@
 
 import re
 import time
-from datetime import datetime
+from datetime import date, datetime
 from decimal import Decimal
+from itertools import combinations
+
+from pyspark.sql import functions as F
 
 from tellerlake.operators import facts
 from tellerlake.operators.joins import written
+from tellerlake.plans import daily
 from tellerlake.schemas import ACCOUNT_FILE, TRANSACTION_FILE
 from tellerlake.sources.lake import Lake
 from tellerlake.sources.workspace import _CLEANUP
@@ -57,3 +61,54 @@ def test_writes_leave_no_shuffle_files(spark, tmp_path):
     # What was shuffled can be computed again.
     assert shown(again) == shown(rollups) == shown(lake.read(AGG))
     assert spark.conf.get(_CLEANUP) == held
+
+
+def test_the_levels_share_one_shuffle_by_date_and_id(spark, tmp_path):
+    transactions(spark).where("account_id IS NOT NULL").write.parquet(f"{tmp_path}/t")
+    accounts(spark).write.parquet(f"{tmp_path}/a")
+    inputs = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/a")
+    for by_date, kind in ((True, "rangepartitioning"), (False, "hashpartitioning")):
+        found = facts.daily_rollups(*inputs, by_date=by_date)
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        spread = [line for line in plan.splitlines() if f"Exchange {kind}(date_key" in line and "REPARTITION_BY_COL" in line]
+        assert sum("ReusedExchange" not in line for line in spread) == 1 and len(spread) == 2, plan
+        # No level has a shuffle of its own.
+        assert not re.search(r"hashpartitioning\([^)]*customer_id#", plan), plan
+
+
+def test_any_choice_of_levels_gives_the_same_rows(spark):
+    every = facts.daily_rollups(transactions(spark), accounts(spark))
+    want = {level: shown(every.where(F.col("rollup_level") == level)) for level in facts.GRAINS}
+    # Per day: c1, c2; a1, a2, no account, a lost one; customers and types; accounts and types.
+    assert {level: len(rows) / len(DAYS) for level, rows in want.items()} == {1: 2, 2: 4, 3: 3, 4: 5}
+    one = every.where("date_key = '2024-02-01' AND rollup_level = 1 AND customer_id = 'c1'").collect()
+    assert [(r.total_amount, r.transaction_count) for r in one] == [(Decimal("7.50"), 4)]
+    for n in (1, 2, 4):
+        for levels in combinations(facts.GRAINS, n):
+            got = facts.daily_rollups(transactions(spark), accounts(spark), levels=levels, by_date=n == 2)
+            assert shown(got) == sorted(row for level in levels for row in want[level]), levels
+
+
+def test_the_aggregate_is_written_as_its_rollups_lie(spark, tmp_path, monkeypatch):
+    """No shuffle of all levels before the write, when built whole and when some dates are built anew."""
+    lake, seen = Lake(spark, str(tmp_path)), []
+    frame = type(spark.range(1))
+    real = frame.hint
+    monkeypatch.setattr(frame, "hint", lambda df, name, *args: seen.append(name) or real(df, name, *args))
+
+    def load(load_id, **tables):
+        tables = {table: df.where("account_id IS NOT NULL") for table, df in tables.items()}
+        daily.from_tables(tables, load_id, datetime(2024, 3, load_id))(lake)
+        seen.clear()
+        daily.load_agg(lake)
+        assert "rebalance" not in seen
+        want = facts.daily_rollups(lake.read("bronze/t_transaction"), lake.read("bronze/t_account"))
+        assert shown(lake.read(AGG)) == shown(want)
+
+    load(1, t_transaction=transactions(spark), t_account=accounts(spark))
+    january = lake._state(AGG)["date_part=2024-01-01"].paths
+    load(2, t_transaction=transactions(spark, [datetime(2024, 2, 2, 9)]))
+    # The month in which nothing changed is where it was; the other one has its earlier day still.
+    assert lake._state(AGG)["date_part=2024-01-01"].paths == january
+    assert lake.read(AGG, date(2024, 2, 1), date(2024, 2, 1)).count() > 0
