@@ -1,19 +1,21 @@
 """What a run leaves on disk, and what it shuffles to get there."""
 
+import os
 import re
 import time
 from datetime import date, datetime
 from decimal import Decimal
-from itertools import combinations
+from itertools import combinations, count
 
+import pytest
 from pyspark.sql import functions as F
 
 from tellerlake.operators import facts
 from tellerlake.operators.joins import written
 from tellerlake.plans import daily
-from tellerlake.schemas import ACCOUNT_FILE, TRANSACTION_FILE
+from tellerlake.schemas import ACCOUNT_FILE, CUSTOMER_FILE, TRANSACTION_FILE
 from tellerlake.sources.lake import Lake
-from tellerlake.sources.workspace import _CLEANUP
+from tellerlake.sources.workspace import _CLEANUP, shared_root
 
 AGG = "gold/fact_daily_agg"
 DAYS = [datetime(2024, 1, 5, 9), datetime(2024, 1, 6, 9), datetime(2024, 2, 1, 9)]
@@ -112,3 +114,40 @@ def test_the_aggregate_is_written_as_its_rollups_lie(spark, tmp_path, monkeypatc
     # The month in which nothing changed is where it was; the other one has its earlier day still.
     assert lake._state(AGG)["date_part=2024-01-01"].paths == january
     assert lake.read(AGG, date(2024, 2, 1), date(2024, 2, 1)).count() > 0
+
+
+def test_a_run_leaves_lake_tables_only(spark, tmp_path):
+    lake, root, ticks = Lake(spark, str(tmp_path)), f"{shared_root(spark)}/tellerlake", count()
+    at = datetime(2023, 1, 1)
+
+    def load(load_id, city):
+        people = spark.createDataFrame([(c, "F", "L", "a@b.com", "1", city, "ON", "Canada", at) for c in ("c1", "c2")], CUSTOMER_FILE)
+        known = "account_id = 'a1'"
+        tables = {"t_customer": people, "t_account": accounts(spark).where(known), "t_transaction": transactions(spark).where(known)}
+        return daily.from_tables(tables, load_id, datetime(2024, 3, load_id))
+
+    held = {*os.listdir(root)} if os.path.isdir(root) else set()
+    for load_id, city in ((1, "Rome"), (2, "Oslo")):
+        daily.incremental_run(lake, load(load_id, city), date(2024, 3, load_id), lambda: datetime(2024, 3, 1, 0, 0, next(ticks)))
+    assert {*os.listdir(root)} <= held
+    assert lake.read("silver/dim_customer").count() == 4 and lake.read("bronze/t_transaction").count() == 9
+
+    def broken(lake):
+        written(spark.range(1), "half-done")
+        raise OSError("no space")
+
+    with pytest.raises(daily.StepFailed, match="load"):
+        daily.incremental_run(lake, broken, date(2024, 3, 3))
+    assert {*os.listdir(root)} <= held
+
+
+def test_one_load_is_cleansed_without_a_shuffle_of_its_rows(spark, tmp_path, monkeypatch):
+    lake, seen, frame = Lake(spark, str(tmp_path)), [], type(spark.range(1))
+    real = frame.hint
+    monkeypatch.setattr(frame, "hint", lambda df, name, *args: seen.append((name, *args)) or real(df, name, *args))
+    for load_id, padded, hints in ((1, " a1 ", []), (2, " a1", [("rebalance", "_load_id")])):
+        rows = accounts(spark).where("account_id = 'a1'").withColumn("account_id", F.lit(padded))
+        daily.from_tables({"t_account": rows}, load_id, datetime(2024, 3, load_id))(lake)
+        daily.cleanse_bronze(lake, "t_account")
+        assert seen == hints
+        assert [(r.account_id, r._load_id) for r in lake.read("bronze/t_account").collect()] == [("a1", load_id)]
